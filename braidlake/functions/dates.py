@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from braidlake.functions import fixed
+from braidlake.functions.casts import safe_int, safe_to_date
 
 __all__ = [
     "add_months", "clean_date", "clean_time", "cohort_age", "date_key", "month_of", "month_range",
@@ -59,7 +60,7 @@ def cohort_age(month: Column | str, first: Column | str) -> Column:
 def clean_date(col: Column | str, fmt: str = "yyyyMMdd") -> Column:
     """Date of raw text; placeholders and unreadable text become NULL."""
     col = _c(col)
-    return F.when(~col.isin(*fixed.BLANK_DATES), F.try_to_date(col, fmt))
+    return F.when(~col.isin(*fixed.BLANK_DATES), safe_to_date(col, fmt))
 
 
 def clean_time(col: Column | str) -> Column:
@@ -74,14 +75,14 @@ def clean_time(col: Column | str) -> Column:
 def date_key(col: Column | str) -> Column:
     """Integer calendar key of raw ``yyyyMMdd`` text, -1 when absent or a placeholder."""
     col = _c(col)
-    key = F.when(~col.isin(*fixed.BLANK_DATES), col.try_cast("int"))
+    key = F.when(~col.isin(*fixed.BLANK_DATES), safe_int(col))
     return F.coalesce(key, F.lit(-1))
 
 
 def time_key(col: Column | str) -> Column:
     """Integer ``HHmm`` key of raw ``HHmmss`` text, -1 when absent or a placeholder."""
     col = _c(col)
-    key = F.when(~col.isin(*fixed.BLANK_TIMES), F.substring(col, 1, 4).try_cast("int"))
+    key = F.when(~col.isin(*fixed.BLANK_TIMES), safe_int(F.substring(col, 1, 4)))
     return F.coalesce(key, F.lit(-1))
 
 

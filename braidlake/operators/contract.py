@@ -6,10 +6,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from braidlake.functions.casts import safe_cast
+
 
 @dataclass(frozen=True)
 class Field:
@@ -76,11 +78,14 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     return typed.dropna(subset=required) if required else typed
 
 
+def _value(df: DataFrame, f: Field) -> Column:
+    return safe_cast(F.col(f.name), f.type, df.schema[f.name].dataType)
+
+
 def _typed(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(
         *[
-            (F.col(f.name).try_cast(f.type) if f.name in df.columns else F.lit(None).cast(f.type))
-            .alias(f.name)
+            (_value(df, f) if f.name in df.columns else F.lit(None).cast(f.type)).alias(f.name)
             for f in contract.fields
         ]
     )
@@ -97,7 +102,7 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
         if f.required:
             checks.append((f.name, "required", col.isNull()))
         if f.name in df.columns:
-            checks.append((f.name, "type", col.isNotNull() & col.try_cast(f.type).isNull()))
+            checks.append((f.name, "type", col.isNotNull() & _value(df, f).isNull()))
     counts = df.agg(
         *[F.count(F.when(bad, 1)).alias(f"_{i}") for i, (_, _, bad) in enumerate(checks)]
     )
@@ -120,7 +125,7 @@ def violating_rows(df: DataFrame, contract: Contract, name: str = "violations")
         if f.required:
             found.append(F.when(col.isNull(), F.lit(f"required:{f.name}")))
         if f.name in df.columns:
-            wrong = col.isNotNull() & col.try_cast(f.type).isNull()
+            wrong = col.isNotNull() & _value(df, f).isNull()
             found.append(F.when(wrong, F.lit(f"type:{f.name}")))
     broken = reduce(lambda a, b: a | b, [c.isNotNull() for c in found])
     return df.filter(broken).withColumn(name, F.concat_ws(",", *found))

@@ -166,7 +166,9 @@ def upsert_scd2(
     * equal fingerprint, or key absent from the source: unchanged.
 
     One full outer join of source and active rows decides everything; closed rows and versions
-    come from one ``explode`` of the step list instead of a second pass over both tables.
+    come from one ``explode`` of the step list instead of a second pass over both tables. Every
+    source row is given a candidate key before the join and inserts keep theirs, so keys have
+    gaps but nothing is joined twice.
     """
     current = target.filter(F.col(active) == 1)
     history = target.filter(~F.col(active).eqNullSafe(1))
@@ -179,12 +181,15 @@ def upsert_scd2(
         .when(_in_source() & stale, F.array(F.lit("update")))
         .otherwise(F.array(F.lit("keep")))
     )
-    pair = _paired(current, source, keys).withColumn("_step", F.explode(steps))
+    numbered = allocate_keys(source, keys, target.agg(F.max(surrogate)).scalar(), "_new_key")
+    pair = _paired(current, numbered, keys).withColumn("_step", F.explode(steps))
     step = F.col("_step")
     new_row = step.isin("insert", "version")
     from_source = step.isin("insert", "version", "update")
     special = {
-        surrogate: F.col(f"t.{surrogate}"),
+        surrogate: F.when(step == "insert", F.col("s._new_key")).otherwise(
+            F.col(f"t.{surrogate}")
+        ),
         active: F.when(step == "close", F.lit(0)).when(new_row, F.lit(1)).otherwise(
             F.col(f"t.{active}")
         ),
@@ -203,12 +208,7 @@ def upsert_scd2(
         ).cast(types[c]).alias(c)
         for c in target.columns
     ]
-    rows = pair.select(*out, step)
-    inserts = allocate_keys(
-        rows.filter(step == "insert"), keys, target.agg(F.max(surrogate)).scalar(), surrogate
-    ).select(*target.columns)
-    rest = rows.filter(step != "insert").select(*target.columns)
-    return history.unionByName(rest).unionByName(inserts)
+    return history.unionByName(pair.select(*out))
 
 
 def reload_window(target: DataFrame, source: DataFrame, date_col: str, start) -> DataFrame:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from braidlake.functions import dates, keys, text
+from braidlake.functions import casts, dates, keys, text
 from braidlake.operators import asof, contract, golden, kpi, protect, select, union, upsert
 from braidlake.plans.registry import (
     NOW_TEXT, RUN, Tables, day, money, now, query, sql_money, sql_month,
@@ -278,8 +278,9 @@ def dimension(t: Tables) -> DataFrame:
     old AS ({SQL_PROFILE.format(**OLDER)}),
     top AS (SELECT max(custkey + 1) m FROM (SELECT custkey FROM t UNION ALL
                                             SELECT custkey FROM old)),
-    fresh AS (SELECT *, ('0x' || substr(md5(custkey::VARCHAR), 1, 8))::BIGINT % 4096 AS b
-              FROM c WHERE action = 'insert')
+    num AS (SELECT custkey, b, row_number() OVER (PARTITION BY b ORDER BY custkey) - 1 AS rn FROM
+            (SELECT custkey, ('0x' || substr(md5(custkey::VARCHAR), 1, 8))::BIGINT % 4096 AS b
+             FROM s))
     SELECT custkey + 1 AS sk, custkey, last_priority, n_orders, row_hash, 0 AS is_active,
            '1995-04-01 00:00:00' AS valid_from, '1995-06-30 00:00:00' AS valid_to,
            '1995-04-01 00:00:00' AS inserted_at, '1995-04-01 00:00:00' AS changed_at FROM old
@@ -296,9 +297,9 @@ def dimension(t: Tables) -> DataFrame:
     SELECT custkey + 1, custkey, last_priority, n_orders, row_hash, 1, '2000-06-14 12:00:00', NULL,
            '{NOW_TEXT}', '{NOW_TEXT}' FROM c WHERE action = 'version'
     UNION ALL
-    SELECT m + b + 1 + (row_number() OVER (PARTITION BY b ORDER BY custkey) - 1) * 4096, custkey,
-           last_priority, n_orders, row_hash, 1, '2000-06-14 12:00:00', NULL, '{NOW_TEXT}',
-           '{NOW_TEXT}' FROM fresh, top
+    SELECT m + b + 1 + rn * 4096, custkey, last_priority, n_orders, row_hash, 1,
+           '2000-06-14 12:00:00', NULL, '{NOW_TEXT}', '{NOW_TEXT}'
+    FROM c JOIN num USING (custkey), top WHERE action = 'insert'
     """,
 )
 def upsert_scd2(t: Tables):
@@ -778,7 +779,7 @@ def scalar_numbers(t: Tables):
         F.greatest("l_quantity", F.lit(None).cast("double"), F.lit(10.0)).alias("floored"),
         F.abs(price * -1).alias("positive"),
         F.when(disc != 0, F.try_divide("l_quantity", F.lit(4))).alias("quarter"),
-        F.col("l_returnflag").try_cast("int").alias("bad_int"),
+        casts.safe_int("l_returnflag").alias("bad_int"),
         F.col("l_quantity").cast("int").alias("qty"),
     )
 

@@ -628,7 +628,7 @@ def trailing_interval_join(t: Tables):
     f"""
     SELECT l_suppkey, CAST(sum({PRICE}) AS DOUBLE) AS total, count(l_orderkey) AS n_lines,
            count(DISTINCT l_orderkey) AS n_orders, count(DISTINCT l_partkey) AS n_parts,
-           CAST(min(l_shipdate) AS DATE)::VARCHAR AS first_ship, max(l_returnflag) AS any_flag,
+           CAST(min(l_shipdate) AS DATE)::VARCHAR AS first_ship,
            CAST(sum(coalesce(CASE WHEN l_returnflag = 'R' THEN {PRICE} END, 0)) AS DOUBLE)
                AS returned,
            max(CASE WHEN l_discount > 0.09 THEN 1 ELSE 0 END) AS had_big_discount
@@ -643,12 +643,26 @@ def group_aggregates(t: Tables):
         F.count_distinct("l_orderkey").alias("n_orders"),
         F.count_distinct("l_partkey").alias("n_parts"),
         F.min("l_shipdate").cast("date").alias("first_ship"),
-        F.max("l_returnflag").alias("any_flag"),
         F.sum(F.coalesce(F.when(F.col("l_returnflag") == "R", price), F.lit(0))).alias("returned"),
         F.max(F.when(F.col("l_discount") > 0.09, 1).otherwise(0)).alias("had_big_discount"),
     )
 
 
+@query(
+    "pick_any",
+    """
+    SELECT source, max(lang) AS lang, max(n_chars) AS n_chars, min(doc_id) AS first_doc
+    FROM documents GROUP BY 1
+    """,
+)
+def pick_any(t: Tables):
+    # One deterministic value per attribute collapses a key to one row.
+    return t.documents.groupBy("source").agg(
+        F.max("lang").alias("lang"), F.max("n_chars").alias("n_chars"),
+        F.min("doc_id").alias("first_doc"),
+    )
+
+
 @query(
     "filtered_aggs",
     f"""
