@@ -15,7 +15,8 @@ from braidlake.functions.keys import all_equal, any_differs
 class KpiSpec:
     """What a KPI fact holds.
 
-    ``sums``, ``distincts`` and ``means`` map output to input columns; ``ratios`` map an output to
+    ``sums``, ``distincts`` and ``means`` map output to input columns (amounts as decimals);
+    ``ratios`` map an output to
     (numerator, denominator, factor) and are rounded half up to two decimals; ``alerts`` map an
     output to (column, threshold, label below it, label otherwise); ``rank`` is (output, columns
     of the group, column ranked from high to low).
@@ -39,6 +40,12 @@ def ratio(numerator: Column, denominator: Column, factor: int = 1, scale: int =
     return F.round(F.try_divide(top, denominator.cast("decimal(18,2)")), scale)
 
 
+def mean(col: Column, scale: int = 6) -> Column:
+    """Average of amounts with up to four decimals, rounded half up; NULLs do not count."""
+    total, count = F.sum(col).cast("decimal(22,4)"), F.count(col).cast("decimal(18,0)")
+    return F.round(F.try_divide(total, count), scale)
+
+
 def kpi_gold(df: DataFrame, spec: KpiSpec) -> DataFrame:
     """Grouped KPIs, their ratios, alert labels and the rank of each row in its group.
 
@@ -48,7 +55,7 @@ def kpi_gold(df: DataFrame, spec: KpiSpec) -> DataFrame:
     out = df.groupBy(*spec.dims).agg(
         *[F.sum(c).alias(n) for n, c in spec.sums.items()],
         *[F.count_distinct(F.col(c)).alias(n) for n, c in spec.distincts.items()],
-        *[F.avg(c).alias(n) for n, c in spec.means.items()],
+        *[mean(F.col(c)).alias(n) for n, c in spec.means.items()],
     )
     out = out.withColumns(
         {n: ratio(F.col(a), F.col(b), k) for n, (a, b, k) in spec.ratios.items()}

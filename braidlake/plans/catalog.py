@@ -1,6 +1,13 @@
 """All registered queries."""
 
-from braidlake.plans import dimensions, figures, history, relational  # noqa: F401
+from braidlake.plans import (  # noqa: F401
+    dimensions,
+    figures,
+    history,
+    party_jobs,
+    relational,
+    sales_job,
+)
 from braidlake.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
