@@ -12,41 +12,52 @@ from pyspark.sql import functions as F
 from braidlake.functions.dates import month_of
 
 
+def share_of(
+    amount: str, gross: str, reversal: str | None = None, scale: int = 12
+) -> Column:
+    """amount / gross rounded to ``scale``: NULL for a gross of zero, 0 when ``reversal`` equals
+    the amount."""
+    raw = F.round(
+        F.try_divide(F.col(amount).cast("decimal(18,2)"), F.col(gross).cast("decimal(18,2)")),
+        scale,
+    )
+    if reversal is not None:
+        raw = F.when(F.col(reversal) == F.col(amount), F.lit(0)).otherwise(raw)
+    return raw.cast(f"decimal(20,{scale})")
+
+
+def spread(measures: Sequence[str], share: str, scale: int = 5) -> dict[str, Column]:
+    """``alloc_<measure>``: the measure times the share, rounded to ``scale``."""
+    return {
+        f"alloc_{m}": F.round(F.col(m).cast("decimal(16,2)") * F.col(share), scale).cast(
+            f"decimal(24,{scale})"
+        )
+        for m in measures
+    }
+
+
 def allocate(
     docs: DataFrame,
     txns: DataFrame,
     keys: Sequence[str],
     amount: str,
-    gross: str,
-    measures: Sequence[str],
+    shares: Mapping[str, tuple[str, Sequence[str]]],
     reversal: str | None = None,
-    share_scale: int = 12,
-    value_scale: int = 5,
-    share: str = "share",
 ) -> DataFrame:
     """Spread document totals over the document's transactions.
 
-    share = amount / gross, rounded to ``share_scale``; each measure times the share is rounded to
-    ``value_scale`` and named ``alloc_<measure>``. A gross of zero gives NULL shares. When the
-    ``reversal`` of the document equals the transaction amount the share is 0. Documents hold one
-    row per key, so only the transaction side can be skewed and a hot document is split by AQE.
+    ``shares`` maps a share column to (gross column, measures it spreads): a document may have
+    several bases, for example all transactions and those of one issuer. Documents hold one row
+    per key, so only the transaction side can be skewed, and AQE splits a hot document.
     """
     joined = docs.join(txns, list(keys), "inner")
-    raw = F.round(
-        F.try_divide(F.col(amount).cast("decimal(18,2)"), F.col(gross).cast("decimal(18,2)")),
-        share_scale,
-    )
-    if reversal is not None:
-        raw = F.when(F.col(reversal) == F.col(amount), F.lit(0)).otherwise(raw)
-    shared = joined.withColumn(share, raw.cast(f"decimal(20,{share_scale})"))
-    return shared.withColumns(
-        {
-            f"alloc_{m}": F.round(
-                F.col(m).cast("decimal(16,2)") * F.col(share), value_scale
-            ).cast(f"decimal(24,{value_scale})")
-            for m in measures
-        }
+    shared = joined.withColumns(
+        {name: share_of(amount, gross, reversal) for name, (gross, _) in shares.items()}
     )
+    allocated: dict[str, Column] = {}
+    for name, (_, measures) in shares.items():
+        allocated |= spread(measures, name)
+    return shared.withColumns(allocated)
 
 
 def stack_signed(

@@ -1,12 +1,14 @@
 """All registered queries."""
 
 from braidlake.plans import (  # noqa: F401
+    credit_job,
     dimensions,
     figures,
     history,
     party_jobs,
     relational,
     sales_job,
+    settlement_jobs,
 )
 from braidlake.plans.registry import ORACLE, QUERIES
 

@@ -165,7 +165,7 @@ def allocate(t: Tables):
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", price.alias("amount")
     )
     return mo.allocate(
-        docs, lines, ["l_orderkey"], "amount", "gross", ["total"], reversal="reversal"
+        docs, lines, ["l_orderkey"], "amount", {"share": ("gross", ["total"])}, reversal="reversal"
     ).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "share", "alloc_total")
 
 
