@@ -148,7 +148,7 @@ TOTAL = sql_money("o_totalprice")
     "reimbursement_transactions",
     f"""
     WITH d AS (SELECT o_orderkey AS doc, o_custkey AS party, {TOTAL} AS net,
-                 CAST(round({TOTAL} / 100, 2) AS DECIMAL(18,2)) AS fee, gross, own, reversal
+                 CAST(((CAST({TOTAL} * 100 AS BIGINT) + 50) // 100) AS DOUBLE) / 100 AS fee, gross, own, reversal
                FROM orders JOIN (SELECT l_orderkey k, sum({PRICE}) AS gross,
                    sum({PRICE}) FILTER (WHERE l_linestatus = 'O') AS own,
                    max({PRICE}) FILTER (WHERE l_returnflag = 'R') AS reversal
@@ -168,7 +168,7 @@ TOTAL = sql_money("o_totalprice")
               sign(ac) * ((2 * abs(ac) * 1000000000000 + oc) // (2 * nullif(oc, 0))) END AS so FROM x),
     z AS (SELECT *, CAST(sign(sh) * ((2 * abs(sh) * CAST(net * 100 AS HUGEINT) + 1000000000)
               // 2000000000) AS HUGEINT) AS an,
-            CAST(sign(so) * ((2 * abs(so) * CAST(fee * 100 AS HUGEINT) + 1000000000) // 2000000000)
+            CAST(sign(so) * ((2 * abs(so) * CAST(round(fee * 100) AS HUGEINT) + 1000000000) // 2000000000)
               AS HUGEINT) AS af FROM y)
     SELECT doc, line, part, shop, kind, CAST(amount AS DOUBLE) AS amount,
            CAST(sh AS DOUBLE) / 1000000000000 AS share, CAST(so AS DOUBLE) / 1000000000000
