@@ -5,6 +5,7 @@ from braidlake.plans import (  # noqa: F401
     dimensions,
     figures,
     history,
+    maintenance_job,
     party_jobs,
     relational,
     sales_job,
