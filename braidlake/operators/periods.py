@@ -199,7 +199,7 @@ def restrict_to_young(df: DataFrame, month: str, first: str, ages: Sequence[int]
     )
 
 
-def _per_anchor(
+def per_anchor(
     df: DataFrame,
     keys: Sequence[str],
     anchors: Sequence[dt.date | str],
@@ -208,6 +208,8 @@ def _per_anchor(
 ) -> DataFrame:
     """One pass that aggregates once per anchor side by side, then turns anchors into rows.
 
+    ``measures`` map an output to a function of the anchor month that returns an aggregate.
+
     For windows without a lower bound, copying rows to anchors would multiply the whole history;
     conditional aggregates do not.
     """
@@ -250,7 +252,7 @@ def cumulative_distinct(
         .groupBy(*keys, entity)
         .agg(F.min(date_col).alias("_first"))
     )
-    counts = _per_anchor(
+    counts = per_anchor(
         first, keys, anchors,
         {name: lambda m: F.count(F.when(F.col("_first") < F.lit(add_months(m, 1)), 1))}, anchor,
     )
@@ -268,7 +270,7 @@ def running_high(
 ) -> DataFrame:
     """All-time high of ``value`` up to each anchor, with the anchor's own value beside it."""
     last = add_months(max(month_of(a) for a in anchors), 1)
-    out = _per_anchor(
+    out = per_anchor(
         monthly.filter(F.col(month) < F.lit(last)), keys, anchors,
         {
             name: lambda m: F.max(F.when(F.col(month) <= F.lit(m), F.col(value))),

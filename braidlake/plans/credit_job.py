@@ -40,6 +40,54 @@ def monthly_base(credits: DataFrame, since: dt.date, run: dt.date) -> DataFrame:
     )
 
 
+def worker_history(credits: DataFrame, anchors: Sequence[dt.date]) -> DataFrame:
+    """First and last credit of every worker, as known in each anchor month.
+
+    The one pass over the whole history; everything that has no lower bound is read from here.
+    """
+    filtered = F.when(F.col("is_plain"), F.col("credit_date"))
+
+    def until(value, month: dt.date):
+        return F.max(F.when(F.col("credit_date") < F.lit(add_months(month, 1)), value))
+
+    return (
+        credits.filter(F.col("credit_date") < F.lit(add_months(max(anchors), 1)))
+        .groupBy(*KEYS, "worker")
+        .agg(
+            F.min("credit_date").alias("first_any"),
+            F.min(filtered).alias("first_plain"),
+            *[until(F.col("credit_date"), m).alias(f"last_any_{m:%Y%m}") for m in anchors],
+            *[until(filtered, m).alias(f"last_plain_{m:%Y%m}") for m in anchors],
+        )
+    )
+
+
+def standing(history: DataFrame, anchors: Sequence[dt.date], idle_months: int = 3) -> DataFrame:
+    """Per key and anchor: first and last credits, workers ever seen, new and gone dormant."""
+
+    def by(month: dt.date, col: str):
+        return F.when(F.col(col) < F.lit(add_months(month, 1)), F.col(col))
+
+    def in_month(col: str, month: dt.date):
+        return (F.col(col) >= F.lit(month)) & (F.col(col) < F.lit(add_months(month, 1)))
+
+    out = periods.per_anchor(
+        history, KEYS, anchors,
+        {
+            "first_any": lambda m: F.min(by(m, "first_any")),
+            "first_plain": lambda m: F.min(by(m, "first_plain")),
+            "last_plain": lambda m: F.max(f"last_plain_{m:%Y%m}"),
+            "n_ever": lambda m: F.count(by(m, "first_any")),
+            "n_first": lambda m: F.count(F.when(in_month("first_plain", m), 1)),
+            "n_dormant": lambda m: F.count(
+                F.when(in_month(f"last_any_{m:%Y%m}", add_months(m, -idle_months)), 1)
+            ),
+        },
+        ANCHOR,
+    )
+    return out.filter(F.col("first_any").isNotNull())
+
+
 def credit_fact(
     credits: DataFrame,
     seeds: DataFrame,
@@ -59,8 +107,10 @@ def credit_fact(
     previous snapshot (company, issuer, seed_month, seed). ``delinquency``: company, snapshot
     date ``d`` and amount. ``exceptions``: company, kind, start_date, end_date.
 
-    With ``staged`` the monthly base is written to the shared folder once and read from there by
-    the four measures that use it; without it Spark re-reads the credits for each.
+    The credits are read three times: the whole history grouped per worker, the months of the
+    windows, and the days of the 40-day windows. All inputs of the joins are grouped by the join
+    key, so the joins add no shuffle. With ``staged`` the monthly base is written to the shared
+    folder once; otherwise each measure that uses it groups the credits again.
     """
     run = month_of(run_month)
     anchors = [add_months(run, -i) for i in range(months)]
@@ -87,26 +137,10 @@ def credit_fact(
         measures={"last_credit_40d": ("max", F.col("credit_date"))},
         entity="worker", entity_flags={"n_40d": F.col("is_plain")},
     )
-    ever = periods.cumulative_distinct(credits, KEYS, "worker", "credit_date", anchors)
-    gone = periods.dormant_count(credits, KEYS, "worker", "credit_date", anchors)
-    first = periods.first_event_cohort(
-        credits.filter("is_plain"), KEYS, "worker", "credit_date", anchors
-    )
-    filtered_day = F.when(F.col("is_plain"), F.col("credit_date"))
-    spine = periods._per_anchor(
-        credits.filter(F.col("credit_date") < F.lit(add_months(run, 1))),
-        KEYS,
-        anchors,
-        {
-            "first_any": lambda m: F.min(_until("credit_date", F.col("credit_date"), m)),
-            "first_plain": lambda m: F.min(_until("credit_date", filtered_day, m)),
-            "last_plain": lambda m: F.max(_until("credit_date", filtered_day, m)),
-        },
-        ANCHOR,
-    ).filter(F.col("first_any").isNotNull())
+    spine = standing(worker_history(credits, anchors), anchors)
     wide = reduce(
         lambda left, right: left.join(right, [ANCHOR, *KEYS], "left"),
-        [recent, best_3m, best_12m, days_40, ever, gone, first],
+        [recent, best_3m, best_12m, days_40],
         spine,
     ).join(seeds, KEYS, "left")
     counted = periods.months_active(
@@ -115,7 +149,7 @@ def credit_fact(
     ).withColumn("age", cohort_age(ANCHOR, "first_any"))
     young = F.col("age").isin(1, 2, 3)
     flows = periods.stock_flow(
-        counted.withColumn("n_new", F.when(young, F.coalesce("n_first", F.lit(0))).otherwise(0)),
+        counted.withColumn("n_new", F.when(young, F.col("n_first")).otherwise(0)),
         KEYS, ANCHOR, ["max_n_workers"], new={"max_n_workers": "n_new"},
     )
     late = (
@@ -147,10 +181,6 @@ def credit_fact(
     return out.withColumn("row_hash", key_functions.fingerprint(out.columns))
 
 
-def _until(date_col: str, value, month: dt.date):
-    return F.when(F.col(date_col) < F.lit(add_months(month, 1)), value)
-
-
 # ---- registered on the sample tables --------------------------------------------------------
 
 TOTAL = sql_money("o_totalprice")
@@ -234,8 +264,8 @@ WINDOW = "PARTITION BY company, issuer ORDER BY a"
              max(CASE WHEN kind = 'project' THEN 1 ELSE 0 END) AS ep
            FROM sp LEFT JOIN ex ON ex.company = sp.company AND sp.a >= {sql_month('lo')}
              AND sp.a < {sql_month('hi')} GROUP BY ALL),
-    j AS (SELECT sp.*, n_now, n_3m, n_txn_3m, mn, mv, sz, sm, n_40d, l40, n_dormant, n_first, seed,
-            smo, late, eo, ep, datediff('month', {sql_month('fa')}, sp.a) + 1 AS age,
+    j AS (SELECT sp.*, n_now, n_3m, n_txn_3m, mn, mv, sz, sm, n_40d, l40, coalesce(n_dormant, 0) AS n_dormant,
+            coalesce(n_first, 0) AS n_first, seed, smo, late, eo, ep, datediff('month', {sql_month('fa')}, sp.a) + 1 AS age,
             lag({sql_month('lp')}) OVER w AS pl, lag(sp.a) OVER w AS pa,
             lag(seed, 1, 0) OVER w AS ps, coalesce(lag(mn, 1, 0) OVER w, 0) AS bop
           FROM sp LEFT JOIN r3 USING (a, company, issuer) LEFT JOIN b3 USING (a, company, issuer)
@@ -271,4 +301,5 @@ WINDOW = "PARTITION BY company, issuer ORDER BY a"
     """,
 )
 def credit_fact_query(t: Tables):
-    return credit_fact(*sample_inputs(t), RUN, counting_from="1995-06-01").drop("row_hash")
+    fact = credit_fact(*sample_inputs(t), RUN, counting_from="1995-06-01", staged=True)
+    return fact.drop("row_hash")

@@ -237,8 +237,9 @@ def maintenance_fact(
 ) -> DataFrame:
     """Frozen operations with their status at closing, one row per operation and planning month.
 
-    The version table feeds the snapshot, the frozen rows and the closing status; with ``staged``
-    it is written to the shared folder once instead of being computed for each.
+    The version table feeds the snapshot, the frozen rows and the closing status, and the frozen
+    rows are read twice by the closing lookup; with ``staged`` both are written to the shared
+    folder once instead of being computed for each use.
     """
     _, until = planning_bounds(inputs.calendar, run_date)
     versions = order_operations(inputs, rules, run_date)
@@ -257,6 +258,8 @@ def maintenance_fact(
         frozen, inputs.rollout, "SK_UNIDADE", "DATA_INICIO_BASE", "DATA_ROLLOUT", "ORIGEM", "ECC",
         "HANA",
     )
+    if staged:
+        split = lake.stage(split, "frozen_operations")
     status = F.upper("Status_Operacao")
     closing = versions.select(
         "ID_ORDEM_OPERACAO", "CREATED_DATE_HZ",
