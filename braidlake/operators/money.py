@@ -193,9 +193,7 @@ def blend_manual(
 
 def unexplained_adjustments(
     adjustments: DataFrame,
-    explained: DataFrame,
-    on: Sequence[str],
-    residual: Column,
+    alternatives: Sequence[tuple[DataFrame, Mapping[str, str]]],
     distinct: Sequence[str],
     amount: str,
     billed: str,
@@ -204,19 +202,21 @@ def unexplained_adjustments(
 ) -> DataFrame:
     """Adjustments that neither a billed line nor another event accounts for.
 
-    ``explained`` drops an adjustment when it shares the keys and the ``residual`` condition
-    (written on columns ``a.*`` and ``e.*``) holds; amounts equal to the billed line count as 0.
-    The keys keep this a hash anti-join however many alternatives the residual has.
+    Each alternative is a frame and the columns that must be equal (adjustment column -> its
+    column); an adjustment that meets any of them is dropped. "Not exists (k and (x or y))" is the
+    same as "not exists (k and x) and not exists (k and y)", so every alternative is an anti-join
+    on its own equality key: a document with very many lines never compares all its pairs.
+    Amounts equal to the billed line count as 0.
     """
-    a, e = adjustments.alias("a"), explained.alias("e")
-    keys = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"e.{k}") for k in on])
-    left = a.join(e, keys & residual, "left_anti").select(
-        *dict.fromkeys([*distinct, *group, amount, billed])
-    )
+    left = adjustments
+    for frame, on in alternatives:
+        known = frame.select(*[F.col(e).alias(a) for a, e in on.items()]).distinct()
+        left = left.join(known, list(on), "left_anti")
     value = F.when(F.col(amount) == F.col(billed), F.lit(0)).otherwise(
         F.coalesce(F.col(amount), F.lit(0))
     )
-    return left.distinct().groupBy(*group).agg(F.sum(value).alias(total))
+    rows = left.select(*dict.fromkeys([*distinct, *group, amount, billed])).distinct()
+    return rows.groupBy(*group).agg(F.sum(value).alias(total))
 
 
 def revenue_breakdown(

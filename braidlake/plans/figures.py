@@ -330,7 +330,7 @@ def blend_manual(t: Tables):
           WHERE l_returnflag = 'A')
     SELECT s AS l_suppkey, CAST(sum(CASE WHEN amount = billed THEN 0 ELSE amount END) AS DOUBLE)
            AS adjustment
-    FROM a WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.k = a.k AND (e.v > a.amount OR e.p = a.p))
+    FROM a WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.k = a.k AND (e.v = a.amount OR e.p = a.p))
     GROUP BY 1
     """,
 )
@@ -344,10 +344,13 @@ def unexplained(t: Tables):
     explained = t.lineitem.filter("l_returnflag = 'A'").select(
         "l_orderkey", "l_partkey", price.alias("v")
     )
-    residual = (F.col("e.v") > F.col("a.amount")) | (F.col("e.l_partkey") == F.col("a.l_partkey"))
     return mo.unexplained_adjustments(
-        adjustments, explained, ["l_orderkey"], residual, ["l_orderkey", "l_partkey"], "amount",
-        "billed", ["l_suppkey"],
+        adjustments,
+        [
+            (explained, {"l_orderkey": "l_orderkey", "amount": "v"}),
+            (explained, {"l_orderkey": "l_orderkey", "l_partkey": "l_partkey"}),
+        ],
+        ["l_orderkey", "l_partkey"], "amount", "billed", ["l_suppkey"],
     )
 
 

@@ -260,10 +260,14 @@ def join_constants_in_on(t: Tables):
     """,
 )
 def left_right_filter(t: Tables):
-    urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT")
-    return (
-        t.customer.join(urgent, t.customer.c_custkey == urgent.o_custkey, "left")
-        .groupBy("c_custkey").agg(F.count("o_orderkey").alias("n_urgent"))
+    # Counted before the join: the right side of an outer join cannot be split when it is skewed.
+    urgent = (
+        t.orders.filter(F.col("o_orderpriority") == "1-URGENT")
+        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        .agg(F.count("o_orderkey").alias("n_urgent"))
+    )
+    return t.customer.join(urgent, "c_custkey", "left").select(
+        "c_custkey", F.coalesce("n_urgent", F.lit(0)).alias("n_urgent")
     )
 
 
@@ -277,9 +281,10 @@ def left_right_filter(t: Tables):
 )
 def left_on_filter(t: Tables):
     # The condition is on the left side: every customer stays, only BUILDING ones find orders.
+    counts = t.orders.groupBy("o_custkey").agg(F.count("o_orderkey").alias("n"))
     on = (F.col("c_custkey") == F.col("o_custkey")) & (F.col("c_mktsegment") == "BUILDING")
-    return t.customer.join(t.orders, on, "left").groupBy("c_custkey", "c_mktsegment").agg(
-        F.count("o_orderkey").alias("n_orders")
+    return t.customer.join(counts, on, "left").select(
+        "c_custkey", "c_mktsegment", F.coalesce("n", F.lit(0)).alias("n_orders")
     )
 
 
@@ -333,10 +338,12 @@ def full_outer_month_offset(t: Tables):
     """,
 )
 def semi_exists(t: Tables):
-    big = t.orders.filter(F.col("o_totalprice") > 400000)
-    return t.customer.join(
-        big, t.customer.c_custkey == big.o_custkey, "left_semi"
-    ).select("c_custkey", "c_name")
+    # Distinct keys first: a customer with very many orders is one row on the right side.
+    big = (
+        t.orders.filter(F.col("o_totalprice") > 400000)
+        .select(F.col("o_custkey").alias("c_custkey")).distinct()
+    )
+    return t.customer.join(big, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
 @query(
@@ -369,11 +376,10 @@ def semi_in_or_flag(t: Tables):
     """,
 )
 def anti_not_exists(t: Tables):
-    c, o = t.customer, t.orders
-    on = (c.c_custkey == o.o_custkey) & (
-        (o.o_totalprice > 450000) | (o.o_orderdate >= F.lit(dt.date(2001, 7, 1)))
-    )
-    return c.join(o, on, "left_anti").select("c_custkey")
+    # Both alternatives are about the inner rows only, so they are a filter of that side.
+    hit = (F.col("o_totalprice") > 450000) | (F.col("o_orderdate") >= F.lit(dt.date(2001, 7, 1)))
+    found = t.orders.filter(hit).select(F.col("o_custkey").alias("c_custkey")).distinct()
+    return t.customer.join(found, "c_custkey", "left_anti").select("c_custkey")
 
 
 @query(
@@ -384,9 +390,8 @@ def anti_not_exists(t: Tables):
     """,
 )
 def anti_null_test(t: Tables):
-    return t.orders.join(
-        t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti"
-    ).select("o_orderkey")
+    with_lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    return t.orders.join(with_lines, "o_orderkey", "left_anti").select("o_orderkey")
 
 
 @query(
