@@ -4,9 +4,6 @@
 ACCENTED = "ŠŽšžŸÁÇÉÍÓÚÀÈÌÒÙÂÊÎÔÛÃÕËÜÏÖÑÝåáçéíóúàèìòùâêîôûãõëüïöñýÿ"
 UNACCENTED = "SZszYACEIOUAEIOUAEIOUAOEUIONYaaceiouaeiouaeiouaoeuionyy"
 
-# Tax document that means "nobody".
-BLANK_PERSON_ID = "00000000000"
-
 # Raw placeholders for "no date" and "no time".
 BLANK_DATES = ("00000000", "0")
 BLANK_TIMES = ("000000",)
@@ -36,12 +33,6 @@ RISK_PREFIXES = ("BL", "QA", "SF", "EV")
 # System status words that close a maintenance order.
 CLOSED_STATUS_WORDS = ("CONF", "MREL", "NEXE", "ENTE", "ENCE", "NEJE", "PTBO")
 
-# Products left out of "filtered" credit measures.
-NON_BENEFIT_PRODUCTS = [
-    "COM-COMPRAS-SRV", "VRS-VRSAUDE-SRV", "NAT-NATAL-SRV", "VBT-TRANSPORTE-SRV",
-    "AVR-TRANSPORTE-SRV",
-]
-
 # Sales rules of the order-item KPI fact.
 SALE_STATUSES = ["FATURADO", "PARCIALMENTE_FATURADO"]
 SALE_MOVEMENTS = ["VENDA", "UPSELL", "RENOVACAO"]

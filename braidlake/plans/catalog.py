@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from braidlake.plans import (  # noqa: F401
+    contracts,
     credit_job,
     dimensions,
     figures,
