@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,7 +82,3 @@ def time_key(col: Column | str) -> Column:
     col = _c(col)
     key = F.when(~col.isin(*fixed.BLANK_TIMES), safe_int(F.substring(col, 1, 4)))
     return F.coalesce(key, F.lit(-1))
-
-
-def literal_dates(days: Sequence[dt.date]) -> list[Column]:
-    return [F.lit(d) for d in days]

@@ -30,7 +30,8 @@ def asof_latest(
     The sort runs per (key, time bucket): a key that holds a third of the events is spread over
     its buckets. What a bucket inherits from earlier ones is the newest right row of each bucket,
     a table of one row per key and bucket, found by a window over that small table. Choose
-    ``bucket`` so that one key has a bounded number of rows in it.
+    ``bucket`` so that one key has a bounded number of rows in it. Both sides are read twice (the
+    second time keys and times only), so stage a side that is expensive to compute.
     """
     held = F.struct(*dict.fromkeys([right_ts, *tie_break, *payload]))
     configs = right.dropna(subset=[*keys, right_ts]).select(

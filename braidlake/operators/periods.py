@@ -9,7 +9,7 @@ of anchors) and everything after that is partial aggregation.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -203,7 +203,7 @@ def per_anchor(
     df: DataFrame,
     keys: Sequence[str],
     anchors: Sequence[dt.date | str],
-    measures: Mapping[str, "callable"],
+    measures: Mapping[str, Callable[[dt.date], Column]],
     anchor: str,
 ) -> DataFrame:
     """One pass that aggregates once per anchor side by side, then turns anchors into rows.

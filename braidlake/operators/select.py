@@ -75,26 +75,24 @@ def rank_within(
     if not slices:
         window = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window))
-    names = [f"_s_{n}" for n, _, _ in slices]
-    cut = df.withColumns({f"_s_{n}": expr for n, expr, _ in slices})
-    counts = cut.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("_n"))
+    # Key and slice travel as one struct: structs with NULL fields are equal to each other, so the
+    # join below needs no null-safe key and keeps the partitioning and order of the window.
+    place = F.struct(*keys, *[expr.alias(f"_s_{n}") for n, expr, _ in slices])
+    placed = df.withColumn("_at", place)
+    counts = placed.groupBy("_at").agg(F.count(F.lit(1)).alias("_n"))
     slice_order = [
-        F.col(n).desc_nulls_last() if desc else F.col(n).asc_nulls_first()
-        for n, (_, _, desc) in zip(names, slices)
+        F.col(f"_at._s_{n}").desc_nulls_last() if desc else F.col(f"_at._s_{n}").asc_nulls_first()
+        for n, _, desc in slices
     ]
     before = (
-        Window.partitionBy(*keys)
+        Window.partitionBy(*[F.col(f"_at.{k}") for k in keys])
         .orderBy(*slice_order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = counts.select(
-        *[F.col(c).alias(f"_j_{c}") for c in (*keys, *names)],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-    )
-    inside = Window.partitionBy(*keys, *names).orderBy(*order)
-    numbered = cut.withColumn("_rn", F.row_number().over(inside))
-    on = all_equal([(numbered[c], starts[f"_j_{c}"]) for c in (*keys, *names)])
-    return numbered.join(starts, on, "inner").select(
+    starts = counts.select("_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_at").orderBy(*order)
+    numbered = placed.withColumn("_rn", F.row_number().over(inside))
+    return numbered.join(starts, "_at", "inner").select(
         *df.columns, (F.col("_start") + F.col("_rn")).cast("bigint").alias(name)
     )
 

@@ -15,6 +15,7 @@ from braidlake.operators import asof, select, union
 from braidlake.plans.registry import Tables, query
 from braidlake.sources import lake
 
+# The column names of the source tables.
 DATE_COLS = [
     "Primeiro_data_inicio", "Data_Entrada", "Data_Modificacao", "Data_fim_real",
     "Primeiro_data_fim", "Data_referencia", "Data_pedido", "Inicio_Base", "Confirmado_em",

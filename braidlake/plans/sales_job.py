@@ -78,6 +78,7 @@ def sales_kpi(df: DataFrame, rules: SalesRules) -> DataFrame:
 
 # ---- order-item job -------------------------------------------------------------------------
 
+# The column names of the job's tables.
 CUSTOMER_COLS = [
     "cliente_id", "segmento_cliente", "canal_preferencial", "cidade", "estado", "data_cadastro",
     "cluster_valor", "tier_relacionamento",

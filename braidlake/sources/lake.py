@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -106,7 +106,7 @@ def commit(df: DataFrame, sinks: Sequence[Sink]) -> None:
             write(shared, sink)
 
 
-def commit_all(base: DataFrame, outputs: Sequence[tuple[callable, Sink]]) -> None:
+def commit_all(base: DataFrame, outputs: Sequence[tuple[Callable[[DataFrame], DataFrame], Sink]]) -> None:
     """Write several frames derived from one input (curated, gold, audit), computing it once."""
     with cached(base) as shared:
         for derive, sink in outputs:

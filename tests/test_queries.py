@@ -58,3 +58,14 @@ def test_sales_job_writes_three_tables(spark, tmp_path):
     assert set(curated.columns) == set(sales_job.CURATED_COLS)
     assert gold.count() and "gerado_em" in gold.columns
     assert audit.agg({"pedidos": "sum"}).first()[0] > 0
+
+
+def test_survivors_are_limited_before_the_shuffle(spark):
+    for name in ("latest_order", "drop_duplicates", "prefer_direct"):
+        text = entry.queries()[name](spark, ROOT)._jdf.queryExecution().executedPlan().toString()
+        assert text.count("WindowGroupLimit") >= 2, name
+
+
+def test_sliced_ranks_shuffle_the_rows_once(spark):
+    counts, _ = plan_report.summary(entry.queries()["row_number_kept"](spark, ROOT))
+    assert counts["Exchange hashpartitioning"] <= 4
