@@ -46,7 +46,7 @@ def upsert_scd1(
 
     ``scope`` is a condition on target columns (for example a month window): target rows outside
     it are passed through without being shuffled, and a date condition on a partition column
-    prunes the scan of the joined part.
+    prunes the scan of the joined part. The source must lie inside the scope as well.
     """
     outside = None
     if scope is not None:

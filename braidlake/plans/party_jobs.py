@@ -115,6 +115,22 @@ def company_dimension(
     )
 
 
+def load_versions(
+    stored: DataFrame,
+    record: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    described: Sequence[str],
+    stamp: Column,
+) -> DataFrame:
+    """New state of a type-2 dimension after loading a record set.
+
+    ``described`` columns make the fingerprint; a change in a ``tracked`` one opens a version.
+    """
+    hashed = record.withColumn("row_hash", keys.fingerprint([key, *described], upper=True))
+    return upsert.upsert_scd2(stored, hashed, [key], tracked, "row_hash", stamp)
+
+
 # ---- accounts -------------------------------------------------------------------------------
 
 
@@ -233,17 +249,15 @@ def contact_dimension_query(t: Tables):
     return out.drop("row_hash")
 
 
-@query(
-    "company_dimension",
-    """
-    WITH r AS (SELECT c_custkey AS company, c_name AS name, c_mktsegment AS segment FROM customer
-               WHERE c_acctbal > 0),
+SQL_COMPANY = """
+    r AS (SELECT c_custkey AS company, c_name AS name, c_mktsegment AS segment FROM customer
+          WHERE c_acctbal > 0),
     b AS (SELECT o_custkey AS company, CAST(min(o_orderdate) AS DATE) AS created FROM orders
           GROUP BY 1),
     d AS (SELECT doc_id AS company, max(source || ' ação') AS name,
                  max(lang) AS segment FROM documents GROUP BY 1),
-    k AS (SELECT company FROM r UNION SELECT company FROM b UNION SELECT company FROM d)
-    SELECT k.company, upper(coalesce(r.name, replace(d.name, 'çã', 'ca'))) AS name,
+    k AS (SELECT company FROM r UNION SELECT company FROM b UNION SELECT company FROM d),
+    n AS (SELECT k.company, upper(coalesce(r.name, replace(d.name, 'çã', 'ca'))) AS name,
            CASE WHEN d.company IS NOT NULL THEN d.segment ELSE r.segment END AS segment,
            b.created::VARCHAR AS created, substr(k.company::VARCHAR, 1, 8) AS root,
            concat_ws(', ', CASE WHEN b.company IS NOT NULL THEN 'buyers' END,
@@ -252,10 +266,16 @@ def contact_dimension_query(t: Tables):
            CASE WHEN b.company IS NOT NULL THEN 1 ELSE 0 END AS in_buyers,
            CASE WHEN d.company IS NOT NULL THEN 1 ELSE 0 END AS in_documents,
            CASE WHEN r.company IS NOT NULL THEN 1 ELSE 0 END AS in_registry
-    FROM k LEFT JOIN r USING (company) LEFT JOIN b USING (company) LEFT JOIN d USING (company)
-    """,
-)
+    FROM k LEFT JOIN r USING (company) LEFT JOIN b USING (company) LEFT JOIN d USING (company))
+"""
+
+
+@query("company_dimension", f"WITH {SQL_COMPANY} SELECT * FROM n")
 def company_dimension_query(t: Tables):
+    return company_record(t)
+
+
+def company_sources(t: Tables) -> dict[str, DataFrame]:
     registry = t.customer.filter("c_acctbal > 0").select(
         F.col("c_custkey").alias("company"), F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("segment"),
@@ -267,8 +287,12 @@ def company_dimension_query(t: Tables):
         F.col("doc_id").alias("company"), F.concat("source", F.lit(" ação")).alias("name"),
         F.col("lang").alias("segment"),
     )
+    return {"registry": registry, "buyers": buyers, "documents": docs}
+
+
+def company_record(t: Tables) -> DataFrame:
     return company_dimension(
-        {"registry": registry, "buyers": buyers, "documents": docs},
+        company_sources(t),
         {
             "name": ("first", ["registry", "documents"]),
             "segment": ("owner", ["documents", "registry"]),
@@ -278,6 +302,56 @@ def company_dimension_query(t: Tables):
     )
 
 
+@query(
+    "company_load",
+    f"""
+    WITH {SQL_COMPANY},
+    s AS (SELECT company, name, segment, sources, md5(upper(company::VARCHAR || coalesce(name, '') ||
+            coalesce(segment, '') || sources)) AS h FROM n),
+    o AS (SELECT company, upper(name) AS name, segment, 'registry' AS sources,
+            md5(upper(company::VARCHAR || name || segment || 'registry')) AS h FROM r),
+    num AS (SELECT company, b, row_number() OVER (PARTITION BY b ORDER BY company) - 1 AS rn FROM
+             (SELECT company, ('0x' || substr(md5(company::VARCHAR), 1, 8))::BIGINT % 4096 AS b
+              FROM s)),
+    c AS (SELECT s.*, CASE WHEN o.company IS NULL THEN 'insert'
+             WHEN s.segment IS DISTINCT FROM o.segment THEN 'version' ELSE 'update' END AS act
+          FROM s LEFT JOIN o USING (company) WHERE coalesce(o.h, '') <> s.h)
+    SELECT o.company + 1 AS sk, o.company, CASE WHEN act = 'update' THEN c.name ELSE o.name END
+             AS name, CASE WHEN act = 'update' THEN c.segment ELSE o.segment END AS segment,
+           CASE WHEN act = 'update' THEN c.sources ELSE o.sources END AS sources,
+           CASE WHEN act = 'version' THEN 0 ELSE 1 END AS is_active,
+           CASE WHEN act = 'version' THEN '2000-06-14 12:00:00' END AS valid_to,
+           CASE WHEN act IS NOT NULL THEN '{NOW_TEXT}' ELSE '2000-01-01 00:00:00' END AS changed_at
+    FROM o LEFT JOIN c USING (company)
+    UNION ALL
+    SELECT company + 1, company, name, segment, sources, 1, NULL, '{NOW_TEXT}' FROM c
+    WHERE act = 'version'
+    UNION ALL
+    SELECT (SELECT max(company + 1) FROM o) + b + 1 + rn * 4096, company, name, segment, sources, 1,
+           NULL, '{NOW_TEXT}' FROM c JOIN num USING (company) WHERE act = 'insert'
+    """,
+)
+def company_load(t: Tables):
+    described = ["name", "segment", "sources"]
+    stamp = F.lit("2000-01-01").cast("timestamp_ntz")
+    before = company_dimension(
+        {"registry": company_sources(t)["registry"]},
+        {"name": ("first", ["registry"]), "segment": ("owner", ["registry"])},
+        ["name"],
+    ).select("company", *described)
+    stored = before.select(
+        (F.col("company") + 1).alias("sk"), "company", *described,
+        keys.fingerprint(["company", *described], upper=True).alias("row_hash"),
+        F.lit(1).alias("is_active"), stamp.alias("valid_from"),
+        F.lit(None).cast("timestamp_ntz").alias("valid_to"), stamp.alias("inserted_at"),
+        stamp.alias("changed_at"),
+    )
+    record = company_record(t).select("company", *described)
+    return load_versions(stored, record, "company", ["segment"], described, now()).drop(
+        "row_hash", "valid_from", "inserted_at"
+    )
+
+
 @query(
     "account_dimension",
     """
