@@ -104,32 +104,91 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     return out
 
 
-# ---------------------------------------------------------------- bounded filter of possible hits
-def hit_filter(keys: DataFrame, key: str, bits: int = 1 << 25) -> Callable[[Column], Column]:
-    """Test that holds for every 64-bit key of ``keys`` and for few others; at most ``bits`` bits.
+# ---------------------------------------------------------------- links inside buckets
+Verify = Callable[[DataFrame], DataFrame]
 
-    One bit per key, OR-ed in bytes by a grouping, so what reaches the driver is bounded by
-    ``bits`` / 8 bytes (4 MB) whatever the size of ``keys``. With very many keys it lets everything
-    pass, which costs a shuffle and no result: an exact join follows.
-    """
-    n = bits // 8
-    slot = F.pmod(F.col(key), F.lit(bits))
-    rows = (
-        keys.select(slot.alias("s"))
-        .groupBy(F.expr("s div 512").alias("w"), F.expr("(s div 8) % 64").alias("byte"))
-        .agg(F.expr("bit_or(shiftleft(1, cast(s % 8 as int)))").alias("m"))
-    )
-    blob = bytearray(n)
-    for r in rows.toLocalIterator():
-        blob[r["w"] * 64 + r["byte"]] = r["m"]
-    table = F.lit(bytes(blob))
 
-    def test(col: Column) -> Column:
-        at = F.pmod(col, F.lit(bits))
-        byte = F.conv(F.hex(F.substr(table, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10)
-        return F.getbit(byte.cast("bigint"), (at % 8).cast("int")) == 1
+def connect(members: DataFrame, verify: Verify, alike: float, pivot_rounds: int = 3) -> Staged:
+    """Components (node, root) of the links that ``verify`` confirms between members of a bucket.
 
-    return test
+    ``members`` has (key, node, n): a node of set size n in bucket key, once each. ``verify`` turns
+    pairs (a, b) into (a, b, linked, far), far being the exact Jaccard distance. Every member is
+    compared with the smallest node of its bucket, and in buckets that then hold several
+    components with further pivots. Last come all pairs of a bucket that lie in different
+    components, unless sizes or the triangle inequality of distances to the first pivot show that
+    they are less than ``alike`` similar. So no link inside a bucket is lost, and a group of like
+    documents costs about one comparison per member instead of all its pairs.
+    """
+    first = members.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot <> last")
+    held = Staged(members.join(first.select("key", "pivot"), "key"), "members")
+    pairs = held.df.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    tables = [Staged(verify(pairs), "verified")]
+    judged = tables[0].df
+    roots = components(judged.filter("linked"))
+    for step in range(1, pivot_rounds + 2):
+        here = Staged(
+            held.df.join(roots.df, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted"
+        )
+        several = here.df.groupBy("key").agg(F.min("root").alias("m"), F.max("root").alias("x")).filter("m <> x")
+        unsettled = here.df.join(several.select("key"), "key", "left_semi")
+        if step <= pivot_rounds:
+            draw = F.xxhash64("node", F.lit(step))
+            chosen = unsettled.groupBy("key").agg(*[F.min_by(c, draw).alias(f"p_{c}") for c in ("node", "root", "n")])
+            pairs = (
+                unsettled.join(chosen, "key")
+                .filter("root <> p_root")
+                .filter(F.least("n", "p_n") >= alike * F.greatest("n", "p_n"))
+                .select(F.least("p_node", "node").alias("a"), F.greatest("p_node", "node").alias("b"))
+            )
+        else:
+            far = judged.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "far")
+            placed = (
+                unsettled.join(far, ["pivot", "node"], "left")
+                .withColumn("far", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("far")))
+                .select("key", "node", "root", "n", "far")
+            )
+            other = placed.select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "root", "n", "far")])
+            pairs = (
+                placed.join(other, "key")
+                .filter((F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")))
+                .filter(F.least("n", "o_n") >= alike * F.greatest("n", "o_n"))
+                .filter(F.abs(F.col("far") - F.col("o_far")) <= 1 - alike + 1e-9)
+                .select(F.col("node").alias("a"), F.col("o_node").alias("b"))
+            )
+        known = judged.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        fresh = Staged(pairs.distinct().join(known, ["a", "b"], "left_anti"), "pairs")
+        here.drop()
+        if fresh.df.limit(1).count():
+            tables.append(Staged(verify(fresh.df), "verified"))
+            judged = judged.union(tables[-1].df)
+            if tables[-1].df.filter("linked").limit(1).count():
+                roots.drop()
+                roots = components(judged.filter("linked"))
+        fresh.drop()
+    for table in (held, *tables):
+        table.drop()
+    return roots
+
+
+def possible_hits(
+    df: DataFrame, column: str, keys: DataFrame, key: str, bits: int = 1 << 23, how: str = "left_semi"
+) -> DataFrame:
+    """Rows of ``df`` whose 64-bit ``column`` may be among ``keys``; no hit is lost, few others stay.
+
+    A bit set of fixed size, in rows of 64 bits: at most ``bits`` / 64 rows (131,072, a few MB)
+    whatever the number of keys, so it can always be broadcast. With very many keys everything
+    passes, which costs shuffle and no result: an exact join follows. With ``how="left_anti"`` the
+    other rows: certainly no hits.
+    """
+    bit = F.pmod(F.col(key), F.lit(bits))
+    table = (
+        keys.select(bit.alias("_bit"))
+        .groupBy(F.expr("_bit div 64").alias("_word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(_bit % 64 as int)))").alias("_mask"))
+    )
+    own = F.pmod(F.col(column), F.lit(bits))
+    held = (F.floor(own / 64) == F.col("_word")) & (F.getbit(F.col("_mask"), (own % 64).cast("int")) == 1)
+    return df.join(F.broadcast(table), held, how)
 
 
 # ---------------------------------------------------------------- Python kernels

@@ -45,3 +45,49 @@ def _byte_bpe(spark, read):
     from braidlake.llm import bpe
 
     return bpe.digests(read("documents"), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op2_quality")
+def _quality(spark, read):
+    from braidlake.llm import quality
+
+    docs = read("documents")
+    return quality.judge(docs, quality.references(docs))
+
+
+@query("op5_minhash")
+def _minhash(spark, read):
+    from braidlake.llm import minhash
+
+    return minhash.near_duplicates(read("documents"), minhash.Settings(words=4)).drop("mark")
+
+
+@query("op9_mixing")
+def _mixing(spark, read):
+    from pyspark.sql import functions as F
+
+    from braidlake.llm import mixing
+
+    docs = read("documents")
+    mixed = mixing.mix(docs, mixing.rates(docs, F.length("text")), seed=17)
+    return mixed.select("doc_id", "source", "copy", "n_copies", "shuffle_key", F.md5("text").alias("text_md5"))
+
+
+@query("op3_line_dedup")
+def _line_dedup(spark, read):
+    from pyspark.sql import functions as F
+
+    from braidlake.llm import line_dedup
+
+    out = line_dedup.dedup(read("documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
+@query("op6_debruijn")
+def _debruijn(spark, read):
+    from pyspark.sql import functions as F
+
+    from braidlake.llm import debruijn
+
+    out = debruijn.remove(read("documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
