@@ -91,3 +91,40 @@ def _debruijn(spark, read):
 
     out = debruijn.remove(read("documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_ann_tree")
+def _ann(spark, read):
+    from pyspark.sql import functions as F
+
+    from braidlake.llm import ann_tree
+
+    return ann_tree.search(read("embeddings"), F.col("id") % 20 == 0)
+
+
+URL_RULES = (
+    "allow org/",
+    "block example.org/es/",
+    "block example.org/en/1",
+    "allow com/fr/",
+    "block com/de/",
+)
+
+
+@query("op7_url_filter")
+def _urls(spark, read):
+    from pyspark.sql import functions as F
+
+    from braidlake.llm import url_filter
+
+    pages = read("pages")
+    # The list of blocked URLs is read off the table: what hosts with such names publish.
+    listed = pages.select("url").filter(url_filter.host_of(F.col("url")).rlike("spam|casino|poker|pills|porn"))
+    return url_filter.judge(pages, url_filter.rules(*URL_RULES), listed)
+
+
+@query("op10_licenses")
+def _licenses(spark, read):
+    from braidlake.llm import licenses
+
+    return licenses.scan(read("documents"))
