@@ -21,7 +21,7 @@ shingle; other columns are not read; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,7 +56,12 @@ class Settings:
     window: int = 8
     stride: int = 4
     bands: int = 12
-    contained: float = 0.8
+    contained: float = 0.9
+
+
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where ``use`` reads it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def tokens(text: Column) -> Column:
@@ -83,24 +88,28 @@ def band_keys(hashes: Column, first: Column, s: Settings) -> Column:
 
     def of(c: int) -> Column:
         moved = F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(c)))
-        return F.transform(first, lambda i: F.array_min(F.slice(moved, i, s.window - 1)))
+        return bind(moved, lambda m: F.transform(first, lambda i: F.array_min(F.slice(m, i, s.window - 1))))
 
     return F.concat(*[of(c) for c in constants(s.bands)])
 
 
+def sketched(text: Column, s: Settings) -> Column:
+    """Struct of the number of tokens, p (their pairs), first (window starts) and keys of a text."""
+
+    def parts(t: Column, p: Column, first: Column) -> Column:
+        return F.struct(
+            F.size(t).alias("length"), p.alias("p"), first.alias("first"), band_keys(p, first, s).alias("keys")
+        )
+
+    return bind(tokens(text), lambda t: bind(pairs(t), lambda p: bind(starts(p, s), lambda first: parts(t, p, first))))
+
+
 def templates(spark: SparkSession, texts: Mapping[str, str], s: Settings) -> tuple[DataFrame, DataFrame]:
     """(name, shingles, length) and (key, name) of the templates."""
     rows = spark.createDataFrame(sorted(texts.items()), "name string, text string")
-    held = (
-        rows.select("name", tokens(F.col("text")).alias("t"))
-        .filter(F.size("t") > 0)
-        .withColumn("p", pairs(F.col("t")))
-        .select("name", "p", F.array_distinct("p").alias("shingles"), F.size("t").alias("length"))
-    )
-    keys = held.withColumn("first", starts(F.col("p"), s)).select(
-        F.explode(band_keys(F.col("p"), F.col("first"), s)).alias("key"), "name"
-    )
-    return held.drop("p"), keys.distinct()
+    held = rows.select("name", sketched(F.col("text"), s).alias("w")).filter("w.length > 0")
+    known = held.select("name", F.array_distinct("w.p").alias("shingles"), F.col("w.length").alias("length"))
+    return known, held.select(F.explode("w.keys").alias("key"), "name").distinct()
 
 
 def scan(docs: DataFrame, texts: Mapping[str, str] = NOTICES, s: Settings = Settings()) -> DataFrame:
@@ -115,14 +124,12 @@ def scan(docs: DataFrame, texts: Mapping[str, str] = NOTICES, s: Settings = Sett
         raise ValueError(f"{bound} template bands; at most {MOST_BANDS} are broadcast")
     table = F.broadcast(keys.join(known, "name"))
     text = F.col("text").cast("string")
-    scanned = (
-        docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("mark"), tokens(text).alias("t"))
-        .filter(F.size("t") > 0)
-        .withColumn("p", pairs(F.col("t")))
-        .withColumn("first", starts(F.col("p"), s))
-        .withColumn("keys", band_keys(F.col("p"), F.col("first"), s))
-    )
-    hits = scanned.select("doc_id", "mark", "p", "first", F.posexplode("keys").alias("at", "key")).join(table, "key")
+    scanned = docs.select(
+        F.col("doc_id").cast("long"), F.xxhash64(text).alias("mark"), sketched(text, s).alias("w")
+    ).filter("w.length > 0")
+    hits = scanned.select(
+        "doc_id", "mark", F.col("w.p").alias("p"), F.col("w.first").alias("first"), F.posexplode("w.keys").alias("at", "key")
+    ).join(table, "key")
     place = F.get("first", F.expr("at % size(first)"))
     around = F.slice(
         F.col("p"), F.greatest(F.lit(1), place - F.col("length")), F.lit(s.window) + 2 * F.col("length")

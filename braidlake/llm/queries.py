@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from braidlake.llm import twins
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -55,14 +57,14 @@ def _quality(spark, read):
     return quality.judge(docs, quality.references(docs))
 
 
-@query("op5_minhash")
+@query("op5_minhash", twins.NEAR)
 def _minhash(spark, read):
     from braidlake.llm import minhash
 
     return minhash.near_duplicates(read("documents"), minhash.Settings(words=4)).drop("mark")
 
 
-@query("op9_mixing")
+@query("op9_mixing", twins.MIX)
 def _mixing(spark, read):
     from pyspark.sql import functions as F
 
@@ -73,7 +75,7 @@ def _mixing(spark, read):
     return mixed.select("doc_id", "source", "copy", "n_copies", "shuffle_key", F.md5("text").alias("text_md5"))
 
 
-@query("op3_line_dedup")
+@query("op3_line_dedup", twins.LINES)
 def _line_dedup(spark, read):
     from pyspark.sql import functions as F
 
@@ -83,7 +85,7 @@ def _line_dedup(spark, read):
     return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
 
 
-@query("op6_debruijn")
+@query("op6_debruijn", twins.REPEATS)
 def _debruijn(spark, read):
     from pyspark.sql import functions as F
 
@@ -111,7 +113,7 @@ URL_RULES = (
 )
 
 
-@query("op7_url_filter")
+@query("op7_url_filter", twins.URLS)
 def _urls(spark, read):
     from pyspark.sql import functions as F
 

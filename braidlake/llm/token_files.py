@@ -42,7 +42,9 @@ from braidlake.llm.common import Staged, drop, map_text, new_path
 NULL_ID = np.iinfo(np.int64).min
 BLOCK_VALUES = 1 << 18
 CACHED_CHARS = 64
-CACHED_PIECES = 600_000
+CACHED_PIECES = 1_000_000  # entries; a full cache is emptied
+CACHED_STEMS = 800_000
+STOPS = ".,;:!?"
 
 # A space before something that is not white space starts a pre-token of this tokenizer family.
 PIECES = re.compile(r"(?= \S)")
@@ -64,6 +66,7 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.pieces: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
         size = self.tokenizer.get_vocab_size()
         # every character of a byte-level token stands for one byte
         self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
@@ -72,12 +75,10 @@ class TextEncoder:
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _new(self, keys: list[str]) -> dict[str, bytes]:
-        out = {}
+    def _join(self, keys: list[str]) -> dict[str, bytes]:
+        """Ids of pieces from the library; named as in ``encode_all``."""
+        out = {k: self._encode(k[1:]).tobytes() for k in keys if k[0] == " "}
         plain = [k for k in keys if k[0] != " "]
-        for k in keys:
-            if k[0] == " ":
-                out[k] = self._encode(k[1:]).tobytes()
         for start in range(0, len(plain), 4000):
             part = plain[start : start + 4000]
             ids = self._encode(" " + " ".join(part))
@@ -88,6 +89,33 @@ class TextEncoder:
             out.update((k, flat[a:b]) for k, a, b in zip(part, [0, *cuts], cuts))
         return out
 
+    def _new(self, keys: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that the cache lacks.
+
+        Letters followed by stops end a pre-token there, so such a piece is put together from the
+        ids of its letters, which other pieces share, and those of the stops.
+        """
+        parts, whole = {}, []
+        for k in keys:
+            stem = k.rstrip(STOPS)
+            if stem != k and stem.isalpha():
+                parts[k] = stem, k[len(stem) :]
+            else:
+                whole.append(k)
+        # " ." names the stops as they stand after letters
+        needed = {x for stem, tail in parts.values() for x in (stem, " " + tail)} | {k for k in whole if k.isalpha()}
+        lacking = needed - self.stems.keys()
+        found = self._join([*lacking, *(k for k in whole if k not in needed)])
+        known = self.stems.get
+        out = {k: found.get(k) or known(k) for k in whole}
+        for k, (stem, tail) in parts.items():
+            tail = " " + tail
+            out[k] = (found.get(stem) or known(stem)) + (found.get(tail) or known(tail))
+        if len(self.stems) + len(lacking) > CACHED_STEMS:
+            self.stems.clear()
+        self.stems.update((k, found[k]) for k in lacking if len(k) <= CACHED_CHARS)
+        return out
+
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""
         keys = []
@@ -107,7 +135,7 @@ class TextEncoder:
         for ks, found in zip(keys, held):
             if not all(found):
                 fresh.update(k for k, ids in zip(ks, found) if not ids)
-        new = self._new(list(fresh))
+        new = self._new(fresh) if fresh else {}
         out = [
             b"".join(found) if all(found) else b"".join([i or new[k] for k, i in zip(ks, found)])
             for ks, found in zip(keys, held)
@@ -187,9 +215,9 @@ ENCODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("id
 MANIFEST = "shard int, path string, first_doc long, last_doc long, n_docs long, n_tokens long, n_bytes long"
 
 
-def _squeeze(ids: bytes | np.ndarray) -> bytes:
-    """Values for the shuffle: 16-bit where they fit, then zstd."""
-    values = np.frombuffer(ids, "<u4") if isinstance(ids, bytes) else ids
+def _squeeze(ids: bytes) -> bytes:
+    """Ids for the staged table and the shuffle: 16-bit where they fit, then zstd."""
+    values = np.frombuffer(ids, "<u4")
     wide = bool(len(values)) and int(values.max()) > 0xFFFF
     raw = values.astype("<u4" if wide else "<u2").tobytes()
     return bytes([wide]) + len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
@@ -235,8 +263,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = Non
     """Encode every document and write the folder.
 
     Three passes: encode into a staged table, count ids (one row per id of the vocabulary reaches
-    the driver, so its size is bounded), then put ranks for ids, sort by doc_id with a range
-    shuffle and write one shard per task.
+    the driver, so its size is bounded), then sort by doc_id with a range shuffle, put ranks for ids
+    and write one shard per task.
     """
     spark = docs.sparkSession
     staged = Staged(encode(docs, tokenizer, end_id), "encoded")
@@ -248,11 +276,6 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = Non
     rank_of[np.array(order, np.int64)] = np.arange(len(order))
     ranks = spark.sparkContext.broadcast(rank_of)  # at most one entry per id of the vocabulary
 
-    def recode(batches):
-        for batch in batches:
-            blobs = [_squeeze(ranks.value[_loosen(b)]) for b in batch["ids"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(blobs, pa.binary())], names=["doc_id", "ids"])
-
     def put(batches):
         from pyspark import TaskContext
 
@@ -271,7 +294,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = Non
 
         for batch in batches:
             for doc, blob in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist()):
-                values = _loosen(blob)
+                values = ranks.value[_loosen(blob)]
                 if held and held + len(values) > BLOCK_VALUES:
                     flush()
                 doc_ids.append(NULL_ID if doc is None else doc)
@@ -293,8 +316,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = Non
 
     # The digest splits and orders what shares a doc_id.
     ordered = (
-        staged.df.mapInArrow(recode, ENCODED)
-        .withColumn("tie", F.xxhash64("ids"))
+        staged.df.withColumn("tie", F.xxhash64("ids"))
         .repartitionByRange(F.col("doc_id").asc_nulls_first(), "tie")
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
         .select("doc_id", "ids")
