@@ -57,6 +57,12 @@ class Staged:
         drop(self.spark, self.path)
 
 
+# ---------------------------------------------------------------- expressions
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 # ---------------------------------------------------------------- connected components
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> Staged:
     """Union-find over a table of links: (node, root), root being the smallest node reachable.

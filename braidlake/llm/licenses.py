@@ -21,12 +21,13 @@ shingle; other columns are not read; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from braidlake.llm.common import bind
 from braidlake.llm.line_dedup import constants
 
 MOST_BANDS = 200_000  # rows of the broadcast table
@@ -59,11 +60,6 @@ class Settings:
     contained: float = 0.9
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, also where ``use`` reads it inside a lambda."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda t: t != "")
 

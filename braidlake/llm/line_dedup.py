@@ -2,9 +2,8 @@
 
 Two lines are linked if the Jaccard similarity of their character shingles (every run of ``chars``
 characters; a shorter line is its own shingle) is at least ``alike``. The signature takes the
-shingles that begin where a word begins (after white space or punctuation, or at a character of a
-script without spaces), a sample that the content itself determines and that costs a sixth of all
-positions. Each of its minima is taken under another permutation (the hash XOR a constant); bands of
+shingles that begin after a blank or a punctuation mark, a sample that the content itself determines
+and that costs a sixth of all positions; a line with few such marks is sketched by all. Each of its minima is taken under another permutation (the hash XOR a constant); bands of
 few rows make the recall high, and all shingles decide in the end.
 
 Equal lines are one class from the start, told apart by two 64-bit hashes. Links become components by
@@ -26,12 +25,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from braidlake.llm.common import Staged, connect, free_name, possible_hits
+from braidlake.llm.common import Staged, bind, connect, free_name, possible_hits
 
-WORD_START = (
-    r"(?s)(?:(?<![^\s\p{Punct}])|(?=[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]))"
-    r"(?=([^\s\p{Punct}].{0,%d}))"
-)
+# What follows a blank or an ASCII punctuation mark, up to as many characters as a shingle has.
+AFTER_BREAK = r"(?s)[ -/:-@\[-`{-~](?=(.{1,%d}))"
 
 
 @dataclass(frozen=True)
@@ -57,18 +54,18 @@ def constants(n: int) -> list[int]:
 
 
 def shingles(line: Column, chars: int) -> Column:
-    """Hashes of all distinct shingles of a line."""
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(line) - chars + 1))
-    return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substr(line, i, F.lit(chars)))))
+    """Hashes of all distinct shingles of a line, in time linear in its length."""
+    every = F.regexp_extract_all(line, F.lit(r"(?s)(?=(.{%d}))" % chars), F.lit(1))
+    hashed = F.array_distinct(F.transform(every, lambda x: F.xxhash64(x)))
+    return F.when(F.length(line) < chars, F.array(F.xxhash64(line))).otherwise(hashed)
 
 
 def bands(line: Column, s: Settings) -> tuple[Column, Column]:
-    """The sampled hashes (to be named ``_hashes``) and the band keys made from them.
-
-    A line without any word start is sampled as a whole.
-    """
-    anchored = F.regexp_extract_all(line, F.lit(WORD_START % (s.chars - 1)), F.lit(1))
-    hashes = F.transform(anchored, lambda x: F.xxhash64(x))
+    """The sampled hashes (to be named ``_hashes``) and the band keys made from them."""
+    anchored = F.regexp_extract_all(F.concat(F.lit(" "), line), F.lit(AFTER_BREAK % s.chars), F.lit(1))
+    sampled = F.transform(anchored, lambda x: F.xxhash64(x))
+    # Too few breaks to sample from (scripts without spaces, long tokens): every shingle counts.
+    hashes = F.when(F.size(sampled) * 24 < F.length(line), shingles(line, s.chars)).otherwise(sampled)
     whole = F.xxhash64(line)
 
     def least(c: int) -> Column:
@@ -90,14 +87,16 @@ def lines_of(docs: DataFrame, s: Settings) -> DataFrame:
 
 def verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """(a, b, linked, far) from all shingles of both lines."""
-    both = (
-        pairs.join(texts.select(F.col("node").alias("b"), F.col("line").alias("lb")), "b")
-        .join(texts.select(F.col("node").alias("a"), F.col("line").alias("la")), "a")
-        .select("a", "b", shingles(F.col("la"), s.chars).alias("sa"), shingles(F.col("lb"), s.chars).alias("sb"))
-        .select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("i"))
+    both = pairs.join(texts.select(F.col("node").alias("b"), F.col("line").alias("lb")), "b").join(
+        texts.select(F.col("node").alias("a"), F.col("line").alias("la")), "a"
     )
-    alike = F.col("i") / (F.col("na") + F.col("nb") - F.col("i"))
-    return both.select("a", "b", (alike >= s.alike).alias("linked"), (1 - alike).alias("far"))
+
+    def judged(one: Column, other: Column) -> Column:
+        common = F.size(F.array_intersect(one, other))
+        return bind(common / (F.size(one) + F.size(other) - common), lambda j: F.struct((j >= s.alike).alias("linked"), (1 - j).alias("far")))
+
+    sets = bind(shingles(F.col("la"), s.chars), lambda one: bind(shingles(F.col("lb"), s.chars), lambda other: judged(one, other)))
+    return both.select("a", "b", F.inline(F.array(sets)))
 
 
 def removed(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
