@@ -10,13 +10,18 @@ from pyspark.sql import types as T
 
 __all__ = ["safe_cast", "safe_int", "safe_to_date"]
 
-_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
-_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-_DATE = r"^\s*[0-9]{4,7}(-[0-9]{1,2}(-[0-9]{1,2}([ T].*)?)?)?\s*$"
-_TIME = r"^\s*[0-9].*$"
+# What the patterns let through is a superset of what a cast accepts: casts trim white space and
+# control characters, read decimals with any digits, and doubles also as NaN, Infinity, with a
+# type suffix or in hexadecimal; times may lack the date.
+_BLANK = r"[\p{javaWhitespace}\p{Cntrl}\x7F-\x9F]*"
+_WHOLE = rf"^{_BLANK}[+-]?[0-9]+{_BLANK}$"
+_DECIMAL = rf"^{_BLANK}[+-]?[\p{{Nd}}.][\p{{Nd}}.eE+-]*{_BLANK}$"
+_DOUBLE = rf"(?i)^{_BLANK}[+-]?(?:[0-9.][0-9a-fpx.+-]*|nan|inf|infinity){_BLANK}$"
+_DATE = rf"(?s)^{_BLANK}[+-]?[0-9]{{4,7}}(?:[-T\p{{javaWhitespace}}].*)?{_BLANK}$"
+_TIME = rf"^{_BLANK}[+T-]?[0-9]"
 _GUARDS = {
     T.ByteType: _WHOLE, T.ShortType: _WHOLE, T.IntegerType: _WHOLE, T.LongType: _WHOLE,
-    T.DecimalType: _NUMBER, T.FloatType: _NUMBER, T.DoubleType: _NUMBER, T.DateType: _DATE,
+    T.DecimalType: _DECIMAL, T.FloatType: _DOUBLE, T.DoubleType: _DOUBLE, T.DateType: _DATE,
     T.TimestampType: _TIME, T.TimestampNTZType: _TIME,
 }
 

@@ -19,62 +19,75 @@ def asof_latest(
     payload: Sequence[str],
     tie_break: Sequence[str] = (),
     strict: bool = False,
-    bucket: str = "DAY",
 ) -> DataFrame:
     """Each left row with the payload of the newest right row at or before its time.
 
     ``strict`` asks for a right row strictly before. Right rows on the same instant are ordered
-    by ``tie_break``. Rows without a match keep NULLs.
-
-    Both sides are stacked and read in time order, so the cost is one sort, never rows x rows.
-    The sort runs per (key, time bucket): a key that holds a third of the events is spread over
-    its buckets. What a bucket inherits from earlier ones is the newest right row of each bucket,
-    a table of one row per key and bucket, found by a window over that small table. Choose
-    ``bucket`` so that one key has a bounded number of rows in it. Both sides are read twice (the
-    second time keys and times only), so stage a side that is expensive to compute.
+    by ``tie_break``. Rows without a match keep NULLs; left rows without a key or a time cannot
+    match and are passed by, so they are never gathered anywhere.
+
+    Both sides are first reduced to one row per key and instant. The instants are read in time
+    order per (key, hour), so a key that holds all rows of a day still has 24 groups, and a group
+    has no more rows than an hour has instants. What an hour inherits from earlier ones is the
+    newest right row of each hour, found by a window over a table of one row per key and hour.
+    The answers are then joined back to the left rows; that join can be split where one instant
+    has many of them. No pairs of rows are formed.
     """
     held = F.struct(*dict.fromkeys([right_ts, *tie_break, *payload]))
-    configs = right.dropna(subset=[*keys, right_ts]).select(
-        *keys,
-        F.col(right_ts).alias("_ts"),
-        F.lit(1 if strict else 0).alias("_side"),
-        held.alias("_held"),
+    newest = (
+        right.dropna(subset=[*keys, right_ts])
+        .select(*keys, F.col(right_ts).alias("_ts"), held.alias("_held"))
+        .groupBy(*keys, "_ts")
+        .agg(F.max("_held").alias("_held"))
+        .withColumn("_side", F.lit(1 if strict else 0))
     )
-    events = left.select(
-        *keys,
-        F.col(left_ts).alias("_ts"),
-        F.lit(0 if strict else 1).alias("_side"),
-        F.struct(*left.columns).alias("_row"),
+    known = F.col(left_ts).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    asked = (
+        left.filter(known)
+        .select(*keys, F.col(left_ts).alias("_ts"))
+        .distinct()
+        .withColumn("_side", F.lit(0 if strict else 1))
     )
-    stacked = events.unionByName(configs, allowMissingColumns=True).withColumn(
-        "_bucket", F.date_trunc(bucket, F.col("_ts"))
+    stacked = asked.unionByName(newest, allowMissingColumns=True).withColumn(
+        "_hour", F.date_trunc("HOUR", F.col("_ts"))
     )
-    group = [*keys, "_bucket"]
+    group = [*keys, "_hour"]
     inside = (
         Window.partitionBy(*group)
-        .orderBy("_ts", "_side", F.col("_held").asc_nulls_first())
+        .orderBy("_ts", "_side")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = (
         stacked.withColumn("_hit", F.last("_held", ignorenulls=True).over(inside))
-        .filter(F.col("_row").isNotNull())
-        .select(*group, "_row", "_hit")
+        .filter(F.col("_held").isNull())
+        .select(*group, "_ts", "_hit")
     )
-    newest = stacked.groupBy(*group).agg(F.max("_held").alias("_held"))
     earlier = (
         Window.partitionBy(*keys)
-        .orderBy("_bucket")
+        .orderBy("_hour")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = newest.select(
+    per_hour = stacked.groupBy(*group).agg(F.max("_held").alias("_held"))
+    carried = per_hour.select(
         *[F.col(c).alias(f"_c_{c}") for c in group],
         F.last("_held", ignorenulls=True).over(earlier).alias("_carry"),
     ).filter(F.col("_carry").isNotNull())
-    on = [found[c] == carried[f"_c_{c}"] for c in group]
-    hit = F.coalesce(F.col("_hit"), F.col("_carry"))
-    return found.join(carried, on, "left").select(
-        "_row.*", *[hit[c].alias(c if c not in left.columns else f"asof_{c}") for c in payload]
+    answers = found.join(carried, [found[c] == carried[f"_c_{c}"] for c in group], "left").select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_ts"),
+        F.coalesce("_hit", "_carry").alias("_answer"),
     )
+    on = [left[k] == answers[f"_k_{k}"] for k in keys] + [left[left_ts] == answers["_ts"]]
+    matched = left.filter(known).join(answers, on, "left")
+    names = {c: c if c not in left.columns else f"asof_{c}" for c in payload}
+    types = {f.name: f.dataType for f in right.schema.fields}
+    out = matched.select(*[left[c] for c in left.columns], *[F.col(f"_answer.{c}").alias(n) for c, n in names.items()])
+    unasked = left.filter(~known).select(
+        "*", *[F.lit(None).cast(types[c]).alias(n) for c, n in names.items()]
+    )
+    return out.unionByName(unasked)
 
 
 def status_at(
@@ -84,7 +97,6 @@ def status_at(
     created: str,
     closing: str,
     payload: Sequence[str],
-    bucket: str = "DAY",
 ) -> DataFrame:
     """Payload of the newest version created between a row's own creation and its closing date.
 
@@ -92,17 +104,13 @@ def status_at(
     itself there is none in the interval.
     """
     marked = versions.withColumn("_version_created", F.col(created))
-    out = asof_latest(
-        df, marked, keys, closing, created, [*payload, "_version_created"], bucket=bucket
-    )
+    out = asof_latest(df, marked, keys, closing, created, [*payload, "_version_created"])
     names = [c if c not in df.columns else f"asof_{c}" for c in payload]
     inside = F.col("_version_created") >= F.col(created)
     return out.withColumns({c: F.when(inside, F.col(c)) for c in names}).drop("_version_created")
 
 
-def freeze_snapshot(
-    df: DataFrame, keys: Sequence[str], created: str, freeze: str, bucket: str = "DAY"
-) -> DataFrame:
+def freeze_snapshot(df: DataFrame, keys: Sequence[str], created: str, freeze: str) -> DataFrame:
     """Rows whose creation is the newest of their key strictly before the row's own freeze date.
 
     Rows without a freeze date are dropped.
@@ -111,7 +119,7 @@ def freeze_snapshot(
     known = df.select(*keys, created).dropna().distinct()
     frozen = asof_latest(
         asked, known.withColumn("_frozen", F.col(created)), keys, freeze, created, ["_frozen"],
-        strict=True, bucket=bucket,
+        strict=True,
     ).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(freeze).alias("_f"), "_frozen")
     on = all_equal(
         [(df[k], frozen[f"_k_{k}"]) for k in keys]

@@ -13,24 +13,27 @@ from braidlake.functions.dates import month_of
 
 
 def share_of(
-    amount: str, gross: str, reversal: str | None = None, scale: int = 12
+    amount: str, gross: str, reversal: str | None = None, scale: int = 12, money: str = "decimal(18,2)"
 ) -> Column:
     """amount / gross rounded to ``scale``: NULL for a gross of zero, 0 when ``reversal`` equals
-    the amount."""
-    raw = F.round(
-        F.try_divide(F.col(amount).cast("decimal(18,2)"), F.col(gross).cast("decimal(18,2)")),
-        scale,
-    )
+    the amount. ``money`` is the type both are read as."""
+    raw = F.round(F.try_divide(F.col(amount).cast(money), F.col(gross).cast(money)), scale)
     if reversal is not None:
         raw = F.when(F.col(reversal) == F.col(amount), F.lit(0)).otherwise(raw)
     return raw.cast(f"decimal(20,{scale})")
 
 
-def spread(measures: Sequence[str], share: str, scale: int = 5) -> dict[str, Column]:
-    """``alloc_<measure>``: the measure times the share, rounded to ``scale``."""
+def spread(
+    measures: Sequence[str], share: str, scale: int = 5, money: str = "decimal(17,2)"
+) -> dict[str, Column]:
+    """``alloc_<measure>``: the measure times the share, rounded to ``scale``.
+
+    ``money`` is the type measures are read as. The default is the widest whose product with a
+    share of twelve decimals is exact; larger totals need a share of fewer decimals.
+    """
     return {
-        f"alloc_{m}": F.round(F.col(m).cast("decimal(16,2)") * F.col(share), scale).cast(
-            f"decimal(24,{scale})"
+        f"alloc_{m}": F.round(F.col(m).cast(money) * F.col(share), scale).cast(
+            f"decimal(30,{scale})"
         )
         for m in measures
     }

@@ -166,9 +166,9 @@ def upsert_scd2(
     * equal fingerprint, or key absent from the source: unchanged.
 
     One full outer join of source and active rows decides everything; closed rows and versions
-    come from one ``explode`` of the step list instead of a second pass over both tables. Every
-    source row is given a candidate key before the join and inserts keep theirs, so keys have
-    gaps but nothing is joined twice.
+    come from one ``explode`` of the step list instead of a second pass over both tables. Only
+    keys that have no active row are numbered; the numbers come back to the source by a join on
+    the keys.
     """
     current = target.filter(F.col(active) == 1)
     history = target.filter(~F.col(active).eqNullSafe(1))
@@ -181,7 +181,17 @@ def upsert_scd2(
         .when(_in_source() & stale, F.array(F.lit("update")))
         .otherwise(F.array(F.lit("keep")))
     )
-    numbered = allocate_keys(source, keys, target.agg(F.max(surrogate)).scalar(), "_new_key")
+    unseen = source.select(*keys).join(
+        current.select(*[F.col(k).alias(f"_t_{k}") for k in keys]),
+        all_equal([(F.col(k), F.col(f"_t_{k}")) for k in keys]),
+        "left_anti",
+    )
+    handed = allocate_keys(unseen, keys, target.agg(F.max(surrogate)).scalar(), "_new_key").select(
+        *[F.col(k).alias(f"_n_{k}") for k in keys], "_new_key"
+    )
+    numbered = source.join(handed, all_equal([(F.col(k), F.col(f"_n_{k}")) for k in keys]), "left").select(
+        *source.columns, "_new_key"
+    )
     pair = _paired(current, numbered, keys).withColumn("_step", F.explode(steps))
     step = F.col("_step")
     new_row = step.isin("insert", "version")

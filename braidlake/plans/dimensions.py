@@ -154,32 +154,31 @@ def unique_check(t: Tables):
 # ---- upserts --------------------------------------------------------------------------------
 
 # Customer profiles as known on a date stand in for dimension states: the earlier profile is the
-# stored table, the later one the new load. Both cover every order.
+# stored table, the one over all orders the new load. The source no longer sends customers whose
+# last order has the lowest priority.
 SQL_PROFILE = """
     SELECT custkey, last_priority, n_orders,
            md5(upper(custkey::VARCHAR || last_priority || n_orders::VARCHAR)) AS row_hash
     FROM (SELECT o_custkey AS custkey, count(*) AS n_orders,
-                 max(o_orderdate) AS last_order,
                  arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS last_priority
-          FROM orders WHERE o_orderdate < DATE '{until}' GROUP BY 1)
-    WHERE last_order >= DATE '{since}'
+          FROM orders WHERE {seen} GROUP BY 1)
+    WHERE {sent}
 """
-STORED = {"until": "1995-07-01", "since": "1995-01-01"}
-OLDER = {"until": "1995-04-01", "since": "1995-01-01"}
-LOADED = {"until": "2000-06-01", "since": "1999-06-01"}
+STORED = {"seen": "o_orderdate < DATE '1995-07-01'", "sent": "true"}
+OLDER = {"seen": "o_orderdate < DATE '1995-04-01'", "sent": "true"}
+LOADED = {"seen": "true", "sent": "last_priority <> '5-LOW'"}
 
 
-def profile(t: Tables, until: str, since: str) -> DataFrame:
+def profile(t: Tables, seen: str, sent: str) -> DataFrame:
     newest = F.struct("o_orderdate", "o_orderkey")
     grouped = (
-        t.orders.filter(F.col("o_orderdate") < F.lit(dt.date.fromisoformat(until)))
+        t.orders.filter(seen)
         .groupBy(F.col("o_custkey").alias("custkey"))
         .agg(
             F.count(F.lit(1)).alias("n_orders"),
-            F.max("o_orderdate").alias("last_order"),
             F.max_by("o_orderpriority", newest).alias("last_priority"),
         )
-        .filter(F.col("last_order") >= F.lit(dt.date.fromisoformat(since)))
+        .filter(sent)
     )
     return grouped.select(
         "custkey", "last_priority", "n_orders",
@@ -280,7 +279,7 @@ def dimension(t: Tables) -> DataFrame:
                                             SELECT custkey FROM old)),
     num AS (SELECT custkey, b, row_number() OVER (PARTITION BY b ORDER BY custkey) - 1 AS rn FROM
             (SELECT custkey, ('0x' || substr(md5(custkey::VARCHAR), 1, 8))::BIGINT % 4096 AS b
-             FROM s))
+             FROM c WHERE action = 'insert'))
     SELECT custkey + 1 AS sk, custkey, last_priority, n_orders, row_hash, 0 AS is_active,
            '1995-04-01 00:00:00' AS valid_from, '1995-06-30 00:00:00' AS valid_to,
            '1995-04-01 00:00:00' AS inserted_at, '1995-04-01 00:00:00' AS changed_at FROM old
@@ -640,12 +639,14 @@ def protect_customers(t: Tables):
 
 @query(
     "encrypt_round_trip",
-    "SELECT c_custkey, c_name FROM customer",
+    "SELECT c_custkey, c_name, 1 AS was_hidden FROM customer",
 )
 def encrypt_round_trip(t: Tables):
     key = F.lit("0123456789abcdef")
     hidden = protect.protect(t.customer.select("c_custkey", "c_name"), encrypt={"c_name": key})
-    return protect.decrypt(hidden, {"c_name": key})
+    kept = hidden.withColumn("stored", F.col("c_name").cast("string"))
+    shown = protect.decrypt(kept, {"c_name": key})
+    return shown.withColumn("was_hidden", ~F.col("stored").contains(F.col("c_name"))).drop("stored")
 
 
 @query(
@@ -703,7 +704,9 @@ def hash_key(t: Tables):
            translate(p_type, 'AEIOU', 'aeiou') AS transl, split_part(p_name, ' ', 2) AS word2,
            instr(p_name, ' ') AS at_blank, nullif(regexp_extract(p_brand, '([0-9]+)', 1), '') AS num,
            regexp_replace(p_brand, '[^0-9]', '', 'g') AS digits,
-           upper(substr(p_name, 1, 1)) || lower(substr(p_name, 2, 2)) AS cap3
+           array_to_string(list_transform(string_split(p_name, ' '),
+                           lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ') AS capped,
+           rtrim(p_name || '  ') AS rtr, len(string_split(p_name, ' ')) AS n_words
     FROM part
     """,
 )
@@ -725,7 +728,8 @@ def scalar_text(t: Tables):
         F.instr(name, F.lit(" ")).alias("at_blank"),
         F.nullif(F.regexp_extract(brand, "([0-9]+)", 1), F.lit("")).alias("num"),
         text.digits_only(brand).alias("digits"),
-        F.initcap(F.substring(name, 1, 3)).alias("cap3"),
+        F.initcap(name).alias("capped"), F.rtrim(F.concat(name, F.lit("  "))).alias("rtr"),
+        F.size(F.split(name, " ")).alias("n_words"),
     )
 
 

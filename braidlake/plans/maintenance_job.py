@@ -253,7 +253,7 @@ def maintenance_fact(
     )
     dated = versions.join(freezes, "MES_P3M", "left")
     frozen = asof.freeze_snapshot(
-        dated, ["ORDEM"], "CREATED_DATE_HZ", "DATA_CONGELAMENTO_BASE", bucket="MONTH"
+        dated, ["ORDEM"], "CREATED_DATE_HZ", "DATA_CONGELAMENTO_BASE"
     )
     split = asof.rollout_split(
         frozen, inputs.rollout, "SK_UNIDADE", "DATA_INICIO_BASE", "DATA_ROLLOUT", "ORIGEM", "ECC",
@@ -273,7 +273,6 @@ def maintenance_fact(
     closed = asof.status_at(
         split, closing, ["ID_ORDEM_OPERACAO"], "CREATED_DATE_HZ", "DATA_FECHAMENTO_BASE",
         ["STATUS_FECHAMENTO", "STATUS_FECHAMENTO_FLAG", "CREATED_DATE_HZ_FECHAMENTO"],
-        bucket="MONTH",
     )
     final = select.latest_by(
         closed, ["ID_ORDEM_OPERACAO", "MES_P3M"],

@@ -310,12 +310,12 @@ def company_record(t: Tables) -> DataFrame:
             coalesce(segment, '') || sources)) AS h FROM n),
     o AS (SELECT company, upper(name) AS name, segment, 'registry' AS sources,
             md5(upper(company::VARCHAR || name || segment || 'registry')) AS h FROM r),
-    num AS (SELECT company, b, row_number() OVER (PARTITION BY b ORDER BY company) - 1 AS rn FROM
-             (SELECT company, ('0x' || substr(md5(company::VARCHAR), 1, 8))::BIGINT % 4096 AS b
-              FROM s)),
     c AS (SELECT s.*, CASE WHEN o.company IS NULL THEN 'insert'
              WHEN s.segment IS DISTINCT FROM o.segment THEN 'version' ELSE 'update' END AS act
-          FROM s LEFT JOIN o USING (company) WHERE coalesce(o.h, '') <> s.h)
+          FROM s LEFT JOIN o USING (company) WHERE coalesce(o.h, '') <> s.h),
+    num AS (SELECT company, b, row_number() OVER (PARTITION BY b ORDER BY company) - 1 AS rn FROM
+             (SELECT company, ('0x' || substr(md5(company::VARCHAR), 1, 8))::BIGINT % 4096 AS b
+              FROM c WHERE act = 'insert'))
     SELECT o.company + 1 AS sk, o.company, CASE WHEN act = 'update' THEN c.name ELSE o.name END
              AS name, CASE WHEN act = 'update' THEN c.segment ELSE o.segment END AS segment,
            CASE WHEN act = 'update' THEN c.sources ELSE o.sources END AS sources,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from braidlake.functions.dates import add_months
+from braidlake.sources import lake
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -53,7 +54,13 @@ def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
-        QUERIES[name] = lambda spark, root: portable(fn(Tables(spark, root)))
+        def run(spark: SparkSession, root: str) -> DataFrame:
+            if not spark.conf.get("spark.checkpoint.dir", None):
+                # Sample runs without a shared folder stage in the warehouse, which is shared too.
+                spark.conf.set(lake.STAGING_KEY, f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged")
+            return portable(fn(Tables(spark, root)))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql.strip()
         return fn

@@ -579,17 +579,17 @@ def correlated_where(t: Tables):
     f"""
     WITH cal AS (SELECT CAST(strftime(d, '%Y%m%d') AS VARCHAR) code, {sql_month('d')} m,
                         CASE WHEN isodow(d) <= 5 THEN 1 ELSE 0 END workday
-                 FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31',
-                       INTERVAL 1 DAY)) d))
+                 FROM (SELECT unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE),
+                       INTERVAL 1 DAY)) d FROM orders))
     SELECT m::VARCHAR AS month, sum(workday)::BIGINT AS n_on_workdays, count(*) AS n_orders
     FROM orders LEFT JOIN cal ON code = strftime(o_orderdate, '%Y%m%d') GROUP BY 1
     """,
 )
 def date_lookup(t: Tables):
-    # One row per day: the calendar is bounded by the years it covers, so broadcasting is safe.
-    days = t.spark.sql(
-        "SELECT explode(sequence(DATE'1995-01-01', DATE'2001-12-31', INTERVAL 1 DAY)) AS d"
-    ).select(
+    # One row per day between the first and the last order: bounded by the years they cover, so
+    # broadcasting is safe.
+    span = t.orders.agg(F.min(day("o_orderdate")).alias("first"), F.max(day("o_orderdate")).alias("last"))
+    days = span.select(F.explode(F.sequence("first", "last")).alias("d")).select(
         F.date_format("d", "yyyyMMdd").alias("code"),
         month_start("d").alias("month"),
         F.when(F.weekday("d") < 5, 1).otherwise(0).alias("workday"),
@@ -914,15 +914,16 @@ def inline_constants(t: Tables):
     f"""
     SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority AS priority,
            count(*) AS n_orders, CAST(sum({TOTAL}) AS DOUBLE) AS total
-    FROM orders WHERE o_orderdate >= DATE '2000-01-01' GROUP BY 1, 2
+    FROM orders GROUP BY 1, 2
     """,
 )
 def staged_partitions(t: Tables):
     # A partitioned intermediate is written to the shared folder and read back from there.
     monthly = (
-        t.orders.filter(F.col("o_orderdate") >= F.lit(dt.date(2000, 1, 1)))
-        .groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month"),
-                 F.col("o_orderpriority").alias("priority"))
+        t.orders.groupBy(
+            F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+            F.col("o_orderpriority").alias("priority"),
+        )
         .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(money("o_totalprice")).alias("total"))
     )
     staged = lake.stage(monthly, "monthly_orders", ["month"])

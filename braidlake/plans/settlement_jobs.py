@@ -63,7 +63,7 @@ def reimbursement_documents(
     """
     valued = mo.revenue_breakdown(docs, parts, keys)
     operated = asof.asof_latest(
-        valued, configs, ["account"], "paid", "effective", ["operator"], ["seq"], bucket="MONTH"
+        valued, configs, ["account"], "paid", "effective", ["operator"], ["seq"]
     )
     asked = select.prefer_direct(direct, indirect, keys, indirect_order)
     # Several direct requests for one document collapse to one value.
@@ -175,10 +175,9 @@ TOTAL = sql_money("o_totalprice")
            AS share_own, CAST(an AS DOUBLE) / 100000 AS alloc_net,
            CAST(af AS DOUBLE) / 100000 AS alloc_fee,
            CAST(coalesce(an, 0) + coalesce(af, 0) AS DOUBLE) / 100000 AS revenue, city
-    FROM z LEFT JOIN (SELECT n_nationkey, arg_min(n_name, (-bal, s_suppkey)) AS city FROM (
-        SELECT c_custkey AS n_nationkey, s_name AS n_name, s_suppkey,
-               CASE WHEN s_acctbal > 5000 THEN 1 ELSE 0 END AS bal
-        FROM customer JOIN supplier ON s_nationkey = c_nationkey) GROUP BY 1) ON n_nationkey = party
+    FROM z LEFT JOIN (SELECT o_custkey AS who, arg_min('city-' || (o_orderkey % 97)::VARCHAR,
+               (CASE WHEN {TOTAL} > 100000 THEN 0 ELSE 1 END, o_orderkey)) AS city
+        FROM orders GROUP BY 1) ON who = party
     """,
 )
 def reimbursement_transactions_query(t: Tables):
@@ -210,12 +209,12 @@ def reimbursement_transactions_query(t: Tables):
         ),
         (rows("l_returnflag = 'R'"), -1, {"kind": "Estorno"}),
     ]
-    addresses = t.customer.join(
-        t.supplier, F.col("c_nationkey") == F.col("s_nationkey")
-    ).select(
-        F.col("c_custkey").alias("party"), F.col("s_name").alias("city"),
-        F.when(F.col("s_acctbal") > 5000, 1).otherwise(0).alias("is_primary"),
-        F.col("s_suppkey").alias("position"),
+    # One address per order of a customer; those of large orders count as main ones.
+    addresses = t.orders.select(
+        F.col("o_custkey").alias("party"),
+        F.concat(F.lit("city-"), F.col("o_orderkey") % 97).alias("city"),
+        F.when(money("o_totalprice") > 100000, 1).otherwise(0).alias("is_primary"),
+        F.col("o_orderkey").alias("position"),
     )
     return reimbursement_transactions(
         docs, parts, addresses, ["doc"], "party",

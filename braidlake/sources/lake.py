@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -12,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-_LOCAL_ROOTS: dict[str, str] = {}
+# Used where a session has no spark.checkpoint.dir, which cannot be set once it runs.
+STAGING_KEY = "spark.braidlake.staging"
+_SCOPES: list[list[tuple[SparkSession, str]]] = []
 
 
 @dataclass(frozen=True)
@@ -97,25 +97,31 @@ def write(df: DataFrame, sink: Sink) -> None:
 
 
 def commit(df: DataFrame, sinks: Sequence[Sink]) -> None:
-    """Write one frame to several sinks, computing it once."""
+    """Write one frame to several sinks, computing it once.
+
+    It is staged in the shared folder and read from there for each sink, so a lost executor costs
+    no recomputation and nothing has to fit on executors' disks. The staged copy goes afterwards.
+    """
     if len(sinks) == 1:
         write(df, sinks[0])
         return
-    with cached(df) as shared:
+    with staging():
+        shared = stage(df, "commit")
         for sink in sinks:
             write(shared, sink)
 
 
 def commit_all(base: DataFrame, outputs: Sequence[tuple[Callable[[DataFrame], DataFrame], Sink]]) -> None:
     """Write several frames derived from one input (curated, gold, audit), computing it once."""
-    with cached(base) as shared:
+    with staging():
+        shared = stage(base, "commit")
         for derive, sink in outputs:
             write(derive(shared), sink)
 
 
 @contextmanager
 def cached(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep a frame for the duration of a block; lost blocks are recomputed from lineage."""
+    """Keep a frame of moderate size for a block; lost blocks are recomputed from lineage."""
     kept = df.persist()
     try:
         yield kept
@@ -144,46 +150,76 @@ def delete_window(
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder for staged tables: the cluster's ``spark.checkpoint.dir``.
+    """Shared folder for staged tables: ``spark.checkpoint.dir``, else ``STAGING_KEY``; never a guess."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(STAGING_KEY, None)
+    if not root:
+        raise ValueError(f"set spark.checkpoint.dir or {STAGING_KEY} to a folder every executor can reach")
+    return root.rstrip("/")
 
-    Only a local session without that setting gets a folder of its own.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="braidlake-")
-    return _LOCAL_ROOTS[app]
+
+def _path(spark: SparkSession, path: str):
+    """Hadoop path and its file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def staging() -> Iterator[None]:
+    """Block at whose end everything staged inside it is deleted: for jobs that write their results."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _SCOPES.pop():
+            hadoop, fs = _path(spark, path)
+            fs.delete(hadoop, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Materialise an intermediate as a table in the shared folder and read it back.
 
     Cuts the lineage of long chains; survives the loss of executors because the files are shared.
+    The copy is deleted at the end of the enclosing ``staging()`` block, or else, since a caller
+    may still read the result, when the application ends.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop, fs = _path(spark, path)
+    if _SCOPES:
+        _SCOPES[-1].append((spark, path))
+    else:
+        fs.deleteOnExit(hadoop)
     write(df, Sink(path=path, partition_by=partition_by))
     return spark.read.parquet(path)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a path even when ``df`` reads from it: staged first, then moved into place."""
-    staged = stage(df, "replace", partition_by)
-    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Put ``df`` in the place of the table at ``path``, which it may read from.
+
+    The new state is written beside the old one, once; then the two change places by renaming. Up
+    to that moment a failure leaves the table as it was, and a failing second rename puts the old
+    one back. Only then is the old state deleted.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    live, fs = _path(spark, path.rstrip("/"))
+    fresh, _ = _path(spark, f"{path.rstrip('/')}.next-{mark}")
+    old, _ = _path(spark, f"{path.rstrip('/')}.old-{mark}")
+    write(df, Sink(path=fresh.toString(), mode="error", partition_by=partition_by))
+    had = fs.exists(live)
+    if had and not fs.rename(live, old):
+        raise OSError(f"{path} could not be set aside")
+    if not fs.rename(fresh, live):
+        if had:
+            fs.rename(old, live)
+        raise OSError(f"the new state of {path} could not be moved into place")
+    if had:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def drop_staged(spark: SparkSession, name: str) -> int:
     """Delete the staged copies of an intermediate; returns how many there were."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    pattern = hadoop.Path(f"{staging_root(spark)}/{name}-*")
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    pattern, fs = _path(spark, f"{staging_root(spark)}/{name}-*")
     found = fs.globStatus(pattern) or []
     for status in found:
         fs.delete(status.getPath(), True)

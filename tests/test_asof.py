@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 from braidlake.operators import asof
 from tests.conftest import d, rows
 
@@ -38,11 +40,37 @@ def test_asof_equals_brute_force(spark):
     l_df = spark.createDataFrame(left, "id int, k string, ts timestamp_ntz")
     r_df = spark.createDataFrame(right, "k string, ts timestamp_ntz, seq int, p string")
     for strict in (False, True):
-        for bucket in ("DAY", "MONTH"):
-            out = asof.asof_latest(
-                l_df, r_df, ["k"], "ts", "ts", ["p"], ["seq"], strict=strict, bucket=bucket
-            )
-            assert rows(out, "id", "p") == brute(left, right, strict)
+        out = asof.asof_latest(l_df, r_df, ["k"], "ts", "ts", ["p"], ["seq"], strict=strict)
+        assert rows(out, "id", "p") == brute(left, right, strict)
+
+
+def test_one_key_on_one_day_is_spread_over_tasks(spark):
+    left = spark.range(4000).selectExpr(
+        "id", "'hot' AS k", "timestamp_seconds(1704067200 + (id * 7919) % 86400) AS ts"
+    )
+    right = left.selectExpr("k", "ts", "id AS p").filter("p % 3 = 0")
+    conf = {
+        "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "24",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = asof.asof_latest(left, right, ["k"], "ts", "ts", ["p"])
+        per_task = out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("count"), F.max("p")).collect()
+        assert sum(r["count"] for r in per_task) == 4000
+        assert len(per_task) > 8 and max(r["count"] for r in per_task) < 1000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_rows_without_key_or_time_bypass_the_lookup(spark):
+    left = spark.createDataFrame([(1, None, BASE), (2, "a", None), (3, "a", BASE)], "id int, k string, ts timestamp_ntz")
+    right = spark.createDataFrame([("a", BASE, "p"), (None, BASE, "q")], "k string, ts timestamp_ntz, p string")
+    out = asof.asof_latest(left, right, ["k"], "ts", "ts", ["p"])
+    assert rows(out, "id", "p") == [(1, None), (2, None), (3, "p")]
 
 
 def test_status_at_equals_brute_force(spark):

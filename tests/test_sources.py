@@ -52,6 +52,27 @@ def test_replace_a_table_it_reads_from(spark, tmp_path):
     spark.range(4).write.parquet(path)
     lake.replace_table(spark.read.parquet(path).filter("id > 1"), path)
     assert spark.read.parquet(path).count() == 2
+    assert [x for x in os.listdir(tmp_path) if not x.startswith(".")] == ["r"]  # neither state is left beside it
+
+
+def test_replace_keeps_the_table_when_the_new_state_fails(spark, tmp_path):
+    path = str(tmp_path / "r")
+    spark.range(4).write.parquet(path)
+    broken = spark.read.parquet(path).withColumn("x", F.raise_error(F.lit("no")))
+    with pytest.raises(Exception, match="no"):
+        lake.replace_table(broken, path)
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_a_staging_block_leaves_nothing(spark, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    with lake.staging():
+        assert lake.stage(spark.range(5), "block").count() == 5
+        assert set(os.listdir(root)) > before
+    assert set(os.listdir(root)) == before
+    lake.commit(spark.range(3), [lake.Sink(str(tmp_path / "a")), lake.Sink(str(tmp_path / "b"))])
+    assert set(os.listdir(root)) == before
 
 
 def test_stage_uses_the_shared_folder_and_is_dropped(spark):

@@ -102,3 +102,26 @@ def test_keys(spark):
     assert many(spark, same, [None, "", "x"]) == [False, False, True]
     filled = keys.unknown_member(df, {"y": "XX"})
     assert [r.y for r in filled.collect()] == ["XX", "b"]
+
+
+def test_long_negative_text_is_not_cut(spark):
+    long = "0" * 70 + "12345"
+    got = many(spark, text.implied_decimal_text("c", precision=38), ["-" + long, long])
+    assert [str(x) for x in got] == ["-123.45", "123.45"]
+
+
+ODD = [
+    "1", " 1 ", "\t1\n", "+1", "-1", "1.", ".5", "1.5", "1e3", "1E-2", "1.5d", "1f", "0x1p3", "NaN", "nan",
+    "Infinity", "-inf", "+Infinity", "abc", "", " ", "1 2", "--1", "2024", "2024-2", "2024-02-30", "2024-2-3",
+    " 2024-02-03 ", "2024-02-03T", "2024-02-03 10", "2024-02-03T12:30:00Z", "T12:30:00", "12:30:00", "-2024-01-01",
+    "+2024-01-01", "12024-01-01", "now", "today", "\u20031\u2003", "\u0661\u0662", "\x011\x02",
+]
+
+
+def test_guarded_casts_accept_what_plain_ones_accept(spark):
+    df = spark.createDataFrame([(x,) for x in ODD], "c string")
+    types = ["tinyint", "int", "bigint", "decimal(10,3)", "float", "double", "date", "timestamp_ntz"]
+    for to in types:
+        both = df.select("c", casts.safe_cast("c", to).cast("string"), F.col("c").try_cast(to).cast("string"))
+        for row in both.collect():
+            assert row[1] == row[2], (to, row)
