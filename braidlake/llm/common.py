@@ -64,13 +64,17 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 # ---------------------------------------------------------------- connected components
+FEW_LINKS = 200_000  # rows that one task handles without a shuffle
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> Staged:
     """Union-find over a table of links: (node, root), root being the smallest node reachable.
 
     Alternates the large-star and small-star steps, each a grouping and a join on the node, until
     the links no longer change. Links stay in the shared folder between rounds and are never
     collected; a hub is pre-aggregated to its minimum before the shuffle, and the join back can be
-    split. Nodes without a link are not in the result.
+    split. Nodes without a link are not in the result. Once a count has shown that there are few
+    links, the same steps run in one partition, where they need no shuffle.
     """
     spark = edges.sparkSession
     now = Staged(
@@ -83,7 +87,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         if stamp == seen or stamp[0] == 0:
             break
         seen = stamp
-        both = now.df.union(now.df.select("v", "u"))
+        rows = now.df.coalesce(1) if stamp[0] <= FEW_LINKS else now.df
+        both = rows.union(rows.select("v", "u"))
+        both = both.coalesce(1) if stamp[0] <= FEW_LINKS else both
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         # large star: every larger neighbour is linked to the smallest one
         large = (
@@ -91,12 +97,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         ).filter("u <> v").distinct()
         large = Staged(large, "links")
         # small star: the smaller neighbours and the node itself are linked to the smallest one
-        least = large.df.groupBy("u").agg(F.min("v").alias("m"))
+        rows = large.df.coalesce(1) if stamp[0] <= FEW_LINKS else large.df
+        least = rows.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.df.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            rows.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.select("u", "m"))
-            .filter("u <> v").distinct()
+            .filter("u <> v")
         )
+        small = (small.coalesce(1) if stamp[0] <= FEW_LINKS else small).distinct()
         old, now = now, Staged(small, "links")
         old.drop()
         large.drop()
@@ -135,8 +143,15 @@ def connect(members: DataFrame, verify: Verify, alike: float, pivot_rounds: int
         here = Staged(
             held.df.join(roots.df, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted"
         )
-        several = here.df.groupBy("key").agg(F.min("root").alias("m"), F.max("root").alias("x")).filter("m <> x")
-        unsettled = here.df.join(several.select("key"), "key", "left_semi")
+        several = Staged(
+            here.df.groupBy("key").agg(F.min("root").alias("m"), F.max("root").alias("x")).filter("m <> x").select("key"),
+            "unsettled",
+        )
+        tables.append(several)
+        if not several.df.limit(1).count():
+            here.drop()
+            break  # every bucket lies in one component
+        unsettled = here.df.join(several.df, "key", "left_semi")
         if step <= pivot_rounds:
             draw = F.xxhash64("node", F.lit(step))
             chosen = unsettled.groupBy("key").agg(*[F.min_by(c, draw).alias(f"p_{c}") for c in ("node", "root", "n")])
