@@ -42,20 +42,36 @@ def ratio(numerator: Column, denominator: Column, factor: int = 1, scale: int =
 
 def mean(col: Column, scale: int = 6) -> Column:
     """Average of amounts with up to four decimals, rounded half up; NULLs do not count."""
-    total, count = F.sum(col).cast("decimal(22,4)"), F.count(col).cast("decimal(18,0)")
-    return F.round(F.try_divide(total, count), scale)
+    return mean_of(F.sum(col), F.count(col), scale)
+
+
+def mean_of(total: Column, count: Column, scale: int = 6) -> Column:
+    """Average from a total and a count, which may have been added up in parts."""
+    return F.round(F.try_divide(total.cast("decimal(22,4)"), count.cast("decimal(18,0)")), scale)
 
 
 def kpi_gold(df: DataFrame, spec: KpiSpec) -> DataFrame:
     """Grouped KPIs, their ratios, alert labels and the rank of each row in its group.
 
+    Distinct counts copy every row once per counted column. Facts are therefore first added up per
+    dimensions and counted columns, with sums and counts for the means, and only that smaller table
+    is copied.
+
     The rank window runs over the aggregated rows, a few per group, and breaks ties by the
     dimensions so that reruns agree.
     """
-    out = df.groupBy(*spec.dims).agg(
-        *[F.sum(c).alias(n) for n, c in spec.sums.items()],
+    counted = [c for c in dict.fromkeys(spec.distincts.values()) if c not in spec.dims]
+    parts = df.groupBy(*spec.dims, *counted).agg(
+        *[F.sum(c).alias(f"_s_{n}") for n, c in spec.sums.items()],
+        *[F.sum(c).alias(f"_t_{n}") for n, c in spec.means.items()],
+        *[F.count(c).alias(f"_c_{n}") for n, c in spec.means.items()],
+        F.count(F.lit(1)).alias("_rows"),
+    )
+    types = {f.name: f.dataType for f in parts.schema.fields}
+    out = parts.groupBy(*spec.dims).agg(
+        *[F.sum(f"_s_{n}").cast(types[f"_s_{n}"]).alias(n) for n in spec.sums],
         *[F.count_distinct(F.col(c)).alias(n) for n, c in spec.distincts.items()],
-        *[mean(F.col(c)).alias(n) for n, c in spec.means.items()],
+        *[mean_of(F.sum(f"_t_{n}"), F.sum(f"_c_{n}")).alias(n) for n in spec.means],
     )
     out = out.withColumns(
         {n: ratio(F.col(a), F.col(b), k) for n, (a, b, k) in spec.ratios.items()}

@@ -680,12 +680,42 @@ def unknown_member(t: Tables):
     )
 
 
-@query("hash_key")
+def sql_wrap(x: str) -> str:
+    return f"(({x}) % 4294967296)"
+
+
+def sql_turn(x: str, by: int) -> str:
+    """Rotation of a 32-bit number to the left."""
+    return f"(({x}) * {2**by} % 4294967296 + ({x}) // {2 ** (32 - by)})"
+
+
+# The 32-bit hash of a 64-bit key, written out: two rounds (low and high half) and the final mixing.
+SQL_HASHED = f"""
+    a AS (SELECT c_custkey, c_custkey::HUGEINT % 4294967296 AS lo, c_custkey::HUGEINT // 4294967296 AS hi
+          FROM customer),
+    b AS (SELECT *, {sql_wrap("lo * 3432918353")} AS lo1, {sql_wrap("hi * 3432918353")} AS hi1 FROM a),
+    c AS (SELECT *, {sql_wrap(sql_turn("lo1", 15) + " * 461845907")} AS lo2,
+                 {sql_wrap(sql_turn("hi1", 15) + " * 461845907")} AS hi2 FROM b),
+    d AS (SELECT *, xor(42::HUGEINT, lo2) AS h1 FROM c),
+    e AS (SELECT *, xor({sql_wrap(sql_turn("h1", 13) + " * 5 + 3864292196")}, hi2) AS h2 FROM d),
+    f AS (SELECT *, xor({sql_wrap(sql_turn("h2", 13) + " * 5 + 3864292196")}, 8::HUGEINT) AS h3 FROM e),
+    g AS (SELECT *, {sql_wrap("xor(h3, h3 // 65536) * 2246822507")} AS h4 FROM f),
+    h AS (SELECT *, {sql_wrap("xor(h4, h4 // 8192) * 3266489909")} AS h5 FROM g),
+    i AS (SELECT c_custkey, xor(h5, h5 // 65536) AS h6 FROM h)
+"""
+
+
+@query(
+    "hash_key",
+    f"""
+    WITH {SQL_HASHED}
+    SELECT c_custkey, abs(CASE WHEN h6 >= 2147483648 THEN h6 - 4294967296 ELSE h6 END)::BIGINT AS key,
+           -1 AS empty_key FROM i
+    """,
+)
 def hash_key(t: Tables):
     return t.customer.select(
-        "c_custkey",
-        keys.hash_key(["c_name"]).alias("name_key"),
-        keys.mixed_hash_key(["c_name", "c_mktsegment"]).alias("long_key"),
+        "c_custkey", keys.hash_key([F.col("c_custkey").cast("bigint")]).alias("key"),
         keys.hash_key([F.lit(None).cast("string")]).alias("empty_key"),
     )
 

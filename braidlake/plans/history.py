@@ -251,16 +251,18 @@ SQL_STATE = f"""
     """,
 )
 def months_active(t: Tables):
-    plain = F.when(F.expr(PLAIN), F.col("o_orderdate"))
-    known = [
-        t.orders.filter(F.col("o_orderdate") < F.lit(add_months(a, 1)))
-        .groupBy("o_custkey")
-        .agg(F.min("o_orderdate").alias("first_any"), F.min(plain).alias("first_plain"),
-             F.max(plain).alias("last_plain"))
-        .withColumn("month", F.lit(a))
-        for a in ANCHORS
-    ]
-    state = known[0].unionByName(known[1]).unionByName(known[2])
+    def known(measure, col):
+        return lambda m: measure(F.when(F.col("o_orderdate") < F.lit(add_months(m, 1)), col))
+
+    day_, plain = F.col("o_orderdate"), F.when(F.expr(PLAIN), F.col("o_orderdate"))
+    state = periods.per_anchor(
+        t.orders, ["o_custkey"], ANCHORS,
+        {
+            "first_any": known(F.min, day_), "first_plain": known(F.min, plain),
+            "last_plain": known(F.max, plain),
+        },
+        "month",
+    ).filter("first_any IS NOT NULL")
     seed = (
         t.orders.filter(
             (F.col("o_orderdate") >= F.lit(add_months(SEED, -11)))

@@ -928,3 +928,81 @@ def staged_partitions(t: Tables):
     )
     staged = lake.stage(monthly, "monthly_orders", ["month"])
     return staged.withColumn("month", F.col("month").cast("string"))
+
+
+# ---- sinks: written in the shared folder and read back from there ----------------------------
+
+
+def _monthly(t: Tables):
+    return t.orders.groupBy(
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("o_orderstatus").alias("status")
+    ).agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+SQL_MONTHLY = """
+    SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderstatus AS status, count(*) AS n_orders
+    FROM orders GROUP BY 1, 2
+"""
+
+
+@query("sink_overwrite", SQL_MONTHLY)
+def sink_overwrite(t: Tables):
+    path = lake.scratch(t.spark, "overwrite")
+    lake.write(_monthly(t).limit(0), lake.Sink(path))
+    lake.write(_monthly(t), lake.Sink(path))
+    return lake.read(t.spark, path)
+
+
+@query(
+    "sink_multi",
+    f"""
+    SELECT 'plain' AS sink, * FROM ({SQL_MONTHLY}) UNION ALL
+    SELECT 'by_status', * FROM ({SQL_MONTHLY})
+    """,
+)
+def sink_multi(t: Tables):
+    plain, split = lake.scratch(t.spark, "plain"), lake.scratch(t.spark, "by_status")
+    lake.commit(_monthly(t), [lake.Sink(plain), lake.Sink(split, partition_by=["status"])])
+    return lake.read(t.spark, plain).select(F.lit("plain").alias("sink"), "*").unionByName(
+        lake.read(t.spark, split).select(F.lit("by_status").alias("sink"), "*")
+    )
+
+
+@query(
+    "sink_window",
+    f"""
+    SELECT month, status, CASE WHEN month >= '2000-01' THEN n_orders ELSE -n_orders END AS n_orders
+    FROM ({SQL_MONTHLY})
+    """,
+)
+def sink_window(t: Tables):
+    # The stored table holds negative counts; the months of the window are then written anew.
+    path = lake.scratch(t.spark, "window")
+    stored = _monthly(t).withColumn("n_orders", -F.col("n_orders"))
+    lake.write(stored, lake.Sink(path, partition_by=["month"]))
+    lake.overwrite_window(_monthly(t).filter("month >= '2000-01'"), path, ["month"])
+    return lake.read(t.spark, path).withColumn("month", F.col("month").cast("string"))
+
+
+@query("sink_table", SQL_MONTHLY)
+def sink_table(t: Tables):
+    path = lake.scratch(t.spark, "table")
+    name = "braidlake_" + path[-32:]
+    lake.write(_monthly(t), lake.Sink(table=name))
+    kept = lake.stage(lake.read_table(t.spark, name), "table_rows")
+    t.spark.sql(f"DROP TABLE {name}")
+    return kept
+
+
+@query(
+    "sink_replace",
+    f"""
+    SELECT month, status, n_orders * 2 AS n_orders FROM ({SQL_MONTHLY}) WHERE status <> 'P'
+    """,
+)
+def sink_replace(t: Tables):
+    path = lake.scratch(t.spark, "replace")
+    lake.write(_monthly(t), lake.Sink(path))
+    doubled = lake.read(t.spark, path).withColumn("n_orders", F.col("n_orders") * 2)
+    lake.replace_table(doubled.filter("status <> 'P'"), path)
+    return lake.read(t.spark, path)

@@ -183,14 +183,20 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     may still read the result, when the application ends.
     """
     spark = df.sparkSession
+    path = scratch(spark, name)
+    write(df, Sink(path=path, partition_by=partition_by))
+    return spark.read.parquet(path)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """Fresh path in the shared folder, deleted as ``stage`` says."""
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
     hadoop, fs = _path(spark, path)
     if _SCOPES:
         _SCOPES[-1].append((spark, path))
     else:
         fs.deleteOnExit(hadoop)
-    write(df, Sink(path=path, partition_by=partition_by))
-    return spark.read.parquet(path)
+    return path
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
