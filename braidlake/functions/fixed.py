@@ -30,6 +30,13 @@ EXCLUDED_ACTIVITIES = ["E100", "E210", "H100", "H209"]
 # Risk text codes look like "BL-1-02": area letters, impact digit, serial.
 RISK_PREFIXES = ("BL", "QA", "SF", "EV")
 
+# Locations: width of an area code, and the signs of a production line.
+AREA_WIDTH = 5
+LINE_WORD = "LIN"
+LINE_GROUP = "-L-"
+LINE_AFTER_GROUP = r"-L-(\w+)"
+LINE_NUMBERED = r"^L[0-9]\w+"
+
 # System status words that close a maintenance order.
 CLOSED_STATUS_WORDS = ("CONF", "MREL", "NEXE", "ENTE", "ENCE", "NEJE", "PTBO")
 

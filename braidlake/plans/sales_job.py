@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from braidlake.functions import fixed
@@ -132,44 +132,64 @@ def one_per_key(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class ItemRules:
+    """What makes an order item count, and what its flags mean."""
+
+    accepted: Mapping[str, Sequence[object]] = field(
+        default_factory=lambda: {
+            "empresa_origem": fixed.SALE_COMPANIES,
+            "tipo_movimento": fixed.SALE_MOVEMENTS,
+            "status_pedido": fixed.SALE_STATUSES,
+            "flag_cancelado": [False],
+        }
+    )
+    present: Sequence[str] = ("quantidade", "valor_total", "data_competencia")
+    running_campaigns: Mapping[str, object] = field(default_factory=lambda: {"status_campanha": "ATIVA"})
+    fast_hours: float = 24
+    digital: Sequence[str] = tuple(fixed.DIGITAL_CHANNELS)
+
+    def counts(self, df: DataFrame) -> DataFrame:
+        for name, values in self.accepted.items():
+            df = df.filter(F.col(name).isin(list(values)))
+        return df.dropna(subset=list(self.present))
+
+    def flags(self) -> dict[str, Column]:
+        true = {
+            "cliente_ativo_flag": F.col("valor_total") > 0,
+            "pedido_24h": F.col("tempo_entrega_horas") <= self.fast_hours,
+            "pedido_digital": F.col("canal_venda").isin(list(self.digital)),
+        }
+        return {name: F.coalesce(test.cast("int"), F.lit(0)) for name, test in true.items()}
+
+
 def curated_items(
-    items: DataFrame, customers: DataFrame, products: DataFrame, campaigns: DataFrame
+    items: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    campaigns: DataFrame,
+    rules: ItemRules = ItemRules(),
 ) -> DataFrame:
-    """Valid order items with customer, product and active-campaign attributes and derived flags.
+    """Order items that count under the rules, described by customer, product and campaign.
 
     Dimensions are reduced to one row per key, so the grain stays that of the items. Amount
     columns should be decimals.
     """
-    valid = items.filter(
-        F.col("status_pedido").isin(fixed.SALE_STATUSES)
-        & F.col("tipo_movimento").isin(fixed.SALE_MOVEMENTS)
-        & (F.col("flag_cancelado") == F.lit(False))
-        & F.col("data_competencia").isNotNull()
-        & F.col("valor_total").isNotNull()
-        & F.col("quantidade").isNotNull()
-        & F.col("empresa_origem").isin(fixed.SALE_COMPANIES)
-    )
-    active = campaigns.filter(F.col("status_campanha") == "ATIVA")
-    joined = (
-        valid.join(one_per_key(customers, "cliente_id", CUSTOMER_COLS), "cliente_id", "left")
-        .join(one_per_key(products, "produto_id", PRODUCT_COLS), "produto_id", "left")
-        .join(one_per_key(active, "campaign_id", CAMPAIGN_COLS), "campaign_id", "left")
-    )
-
-    def flag(condition):
-        return F.when(condition, 1).otherwise(0)
-
-    return joined.withColumns(
-        {
-            "data_pedido": F.to_date("data_pedido"),
-            "mes_referencia": F.date_format("data_competencia", "yyyy-MM"),
-            "margem_bruta_item": F.col("valor_total") - F.col("custo_total"),
-            "desconto_percentual": kpi.ratio(F.col("desconto_valor"), F.col("valor_bruto"), 100),
-            "pedido_24h": flag(F.col("tempo_entrega_horas") <= 24),
-            "pedido_digital": flag(F.col("canal_venda").isin(fixed.DIGITAL_CHANNELS)),
-            "cliente_ativo_flag": flag(F.col("valor_total") > 0),
-        }
-    ).select(*CURATED_COLS)
+    running = campaigns
+    for name, value in rules.running_campaigns.items():
+        running = running.filter(F.col(name) == F.lit(value))
+    described = rules.counts(items)
+    for side, columns in ((running, CAMPAIGN_COLS), (products, PRODUCT_COLS), (customers, CUSTOMER_COLS)):
+        described = described.join(one_per_key(side, columns[0], columns), columns[0], "left")
+    amounts = {
+        "margem_bruta_item": F.col("valor_total") - F.col("custo_total"),
+        "desconto_percentual": kpi.ratio(F.col("desconto_valor"), F.col("valor_bruto"), 100),
+    }
+    days = {
+        "data_pedido": F.to_date("data_pedido"),
+        "mes_referencia": F.date_format("data_competencia", "yyyy-MM"),
+    }
+    return described.withColumns(amounts | days | rules.flags()).select(*CURATED_COLS)
 
 
 def item_gold(curated: DataFrame) -> DataFrame:
