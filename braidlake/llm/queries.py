@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from braidlake.llm import twins
+from braidlake.llm import licenses, twins
+from braidlake.llm.licenses import NOTICES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -125,8 +126,6 @@ def _urls(spark, read):
     return url_filter.judge(pages, url_filter.rules(*URL_RULES), listed)
 
 
-@query("op10_licenses")
+@query("op10_licenses", twins.licenses_sql(NOTICES))
 def _licenses(spark, read):
-    from braidlake.llm import licenses
-
-    return licenses.scan(read("documents"))
+    return licenses.scan(read("documents")).select("doc_id", "license", "containment")

@@ -74,7 +74,7 @@ WITH words AS (
 ), least AS (
     SELECT s, min(doc_id) AS first FROM windows GROUP BY s
 ), covered AS (
-    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS at
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS spot
     FROM windows JOIN least USING (s) WHERE first < doc_id
 ), each AS (
     SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM words
@@ -147,3 +147,28 @@ SELECT doc_id, source, copy, CAST(n_copies AS BIGINT) AS n_copies,
        md5(text) AS text_md5
 FROM (SELECT *, unnest(range(1, CAST(n_copies AS BIGINT) + 1)) AS copy FROM copies)
 """
+
+
+def licenses_sql(notices: dict[str, str]) -> str:
+    """Every template against every window of every text."""
+    rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(notices.items()))
+    tokens = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda t: t <> '')"
+    pairs = "CASE WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END"
+    return f"""
+WITH known AS (
+    SELECT license, len(w) AS n, list_distinct({pairs}) AS shingles
+    FROM (SELECT license, {tokens} AS w FROM (VALUES {rows}) AS v(license, text))
+), texts AS (
+    SELECT doc_id, {pairs} AS p FROM (SELECT doc_id, {tokens} AS w FROM documents) WHERE len(w) > 0
+), likely AS (
+    SELECT * FROM texts CROSS JOIN known WHERE len(list_intersect(shingles, p)) / len(shingles) >= 0.9
+), places AS (
+    SELECT *, unnest(list_distinct(list_append(range(1, greatest(1, len(p) - 6) + 1, 4), greatest(1, len(p) - 6)))) AS spot
+    FROM likely
+), judged AS (
+    SELECT doc_id, license,
+           len(list_intersect(shingles, list_slice(p, greatest(1, spot - n), greatest(1, spot - n) + 7 + 2 * n))) / len(shingles) AS part
+    FROM places
+)
+SELECT doc_id, license, max(part) AS containment FROM judged WHERE part >= 0.9 GROUP BY ALL
+"""
