@@ -161,7 +161,7 @@ WITH known AS (
 ), texts AS (
     SELECT doc_id, {pairs} AS p FROM (SELECT doc_id, {tokens} AS w FROM documents) WHERE len(w) > 0
 ), likely AS (
-    SELECT * FROM texts CROSS JOIN known WHERE len(list_intersect(shingles, p)) / len(shingles) >= 0.9
+    SELECT * FROM texts CROSS JOIN known WHERE len(list_intersect(shingles, p)) / len(shingles) >= 0.92
 ), places AS (
     SELECT *, unnest(list_distinct(list_append(range(1, greatest(1, len(p) - 6) + 1, 4), greatest(1, len(p) - 6)))) AS spot
     FROM likely
@@ -170,5 +170,5 @@ WITH known AS (
            len(list_intersect(shingles, list_slice(p, greatest(1, spot - n), greatest(1, spot - n) + 7 + 2 * n))) / len(shingles) AS part
     FROM places
 )
-SELECT doc_id, license, max(part) AS containment FROM judged WHERE part >= 0.9 GROUP BY ALL
+SELECT doc_id, license, max(part) AS containment FROM judged WHERE part >= 0.92 GROUP BY ALL
 """

@@ -293,10 +293,11 @@ def test_license_notices_are_found(spark, empty):
     filler = "thand ering onst ble tion " * 20
     texts = [(i, f"{filler}\n{n}\n{filler}") for i, n in enumerate(licenses.NOTICES.values())]
     odd = [(90, None), (91, ""), (92, "?!"), (93, "mit"), (94, filler), (95, "Released under the MIT License"), (95, "Released under the MIT License")]
-    odd += [(96, filler * 400 + "licensed UNDER the apache-license, version 2.0" + filler)]
+    odd += [(96, filler * 400 + "licensed UNDER the apache-license, version 2.0 " + filler)]
     df = spark.createDataFrame(texts + odd, "doc_id long, text string")
     out = licenses.scan(df)
     want = [(i, name) for i, name in enumerate(licenses.NOTICES)] + [(95, "MIT"), (96, "Apache-2.0")]
-    assert got(out, "doc_id", "license") == sorted(want, key=fx.key)
-    assert out.filter("containment < 0.9").count() == 0
+    found = got(out, "doc_id", "license")
+    assert set(found) - set(want) == set() and set(want) - set(found) == set() and len(found) == len(want)
+    assert out.filter("containment < 0.92").count() == 0
     assert licenses.scan(empty).count() == 0
