@@ -122,19 +122,39 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
 Verify = Callable[[DataFrame], DataFrame]
 
 
-def connect(members: DataFrame, verify: Verify, alike: float, pivot_rounds: int = 3) -> Staged:
+def connect(
+    members: DataFrame,
+    verify: Verify,
+    alike: float,
+    pivot_rounds: int = 3,
+    unique: Callable[[DataFrame], DataFrame] | None = None,
+) -> Staged:
     """Components (node, root) of the links that ``verify`` confirms between members of a bucket.
 
     ``members`` has (key, node, n): a node of set size n in bucket key, once each. ``verify`` turns
     pairs (a, b) into (a, b, linked, far), far being the exact Jaccard distance. Every member is
-    compared with the smallest node of its bucket, and in buckets that then hold several
-    components with further pivots. Last come all pairs of a bucket that lie in different
+    compared with one pivot of its bucket, the node that meets the most others over all its
+    buckets: of a text and its altered copies that is the text itself, which is like all of them
+    though they may not be like each other. Buckets that then hold several components get
+    further pivots. Last come all pairs of a bucket that lie in different
     components, unless sizes or the triangle inequality of distances to the first pivot show that
-    they are less than ``alike`` similar. So no link inside a bucket is lost, and a group of like
+    they are less than ``alike`` similar. ``unique`` turns those nodes into (node, u), u elements of a
+    set being in no other set of them: they bound every intersection, so documents that share a
+    passage but hold much of their own are ruled out one by one, not pair by pair. So no link inside a bucket is lost, and a group of like
     documents costs about one comparison per member instead of all its pairs.
     """
-    first = members.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot <> last")
-    held = Staged(members.join(first.select("key", "pivot"), "key"), "members")
+    sizes = members.groupBy("key").agg(F.count("*").alias("met")).filter("met > 1")
+    meets = members.join(sizes, "key").groupBy("node").agg(F.sum("met").alias("met"))
+    # a fraction from the node itself settles ties
+    weighed = members.join(meets.withColumn("met", F.col("met") + F.pmod(F.xxhash64("node"), F.lit(997)) / 1000), "node")
+    first = Staged(
+        weighed.groupBy("key")
+        .agg(F.max_by("node", "met").alias("pivot"), F.min("node").alias("m"), F.max("node").alias("x"))
+        .filter("m <> x").select("key", "pivot"),
+        "pivots",
+    )
+    held = Staged(members.join(first.df, "key"), "members")
+    first.drop()
     pairs = held.df.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     tables = [Staged(verify(pairs), "verified")]
     judged = tables[0].df
@@ -167,11 +187,21 @@ def connect(members: DataFrame, verify: Verify, alike: float, pivot_rounds: int
                 unsettled.join(far, ["pivot", "node"], "left")
                 .withColumn("far", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("far")))
                 .select("key", "node", "root", "n", "far")
+                .withColumn("held", F.col("n"))
             )
-            other = placed.select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "root", "n", "far")])
+            for _ in range(3 if unique is not None else 0):
+                # Those ruled out hold elements that the others then have for themselves.
+                alone = unique(placed.select("node").distinct())
+                lone = F.col("n") - F.coalesce("u", F.lit(0))
+                rest = placed.drop("held").join(alone, "node", "left").withColumn("held", lone).drop("u")
+                tables.append(Staged(rest.filter(F.col("held") >= alike * F.col("n") - 1e-9), "left"))
+                placed = tables[-1].df
+            other = placed.select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "root", "n", "far", "held")])
+            most = F.least("held", "o_held")
             pairs = (
                 placed.join(other, "key")
                 .filter((F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")))
+                .filter(most >= alike * (F.col("n") + F.col("o_n") - most) - 1e-9)
                 .filter(F.least("n", "o_n") >= alike * F.greatest("n", "o_n"))
                 .filter(F.abs(F.col("far") - F.col("o_far")) <= 1 - alike + 1e-9)
                 .select(F.col("node").alias("a"), F.col("o_node").alias("b"))

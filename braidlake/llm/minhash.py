@@ -178,6 +178,21 @@ def verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     return with_a.select("a", "b", "ta", "tb").mapInArrow(work, PAIR)
 
 
+def lonely(nodes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """(node, u): how many shingles of a node no other of these nodes has."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(batch["text"].to_pylist(), s.words)
+        row = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
+        flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(flat), batch["node"].take(row)], names=["shingle", "node"])
+
+    schema = T.StructType([T.StructField("shingle", T.LongType()), T.StructField("node", T.LongType())])
+    each = map_text(texts.join(nodes, "node", "left_semi").select("node", "text"), "text", schema, work)
+    once = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
+    return once.groupBy("node").agg(F.count("*").alias("u"))
+
+
 # ---------------------------------------------------------------- grouping
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Per row: doc_id, mark, n_shingles, component_id, kept.
@@ -207,7 +222,13 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     )
     texts = Staged(found.groupBy("node").agg(F.first("text").alias("text")), "texts")  # repeated rows: once
 
-    roots = connect(members.df, lambda pairs: verify(pairs, texts.df, s), s.percent / 100, s.pivot_rounds)
+    roots = connect(
+        members.df,
+        lambda pairs: verify(pairs, texts.df, s),
+        s.percent / 100,
+        s.pivot_rounds,
+        lambda left: lonely(left, texts.df, s),
+    )
     members.drop()
     texts.drop()
     whole = classes.df.join(roots.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
