@@ -9,7 +9,7 @@ from braidlake.plans import sales_job
 from braidlake.plans.registry import ORACLE, QUERIES, Tables
 
 ROOT = "/root/testdata/sf0.001"
-GLOBAL = {"global_bounds", "contract_violations", "upsert_scd2", "company_load"}  # one-row aggregates
+GLOBAL = {"date_lookup", "global_bounds", "contract_violations", "upsert_scd2", "company_load"}  # one-row aggregates
 
 
 @pytest.fixture(scope="module")
