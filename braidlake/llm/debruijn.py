@@ -7,7 +7,7 @@ without branches, about 20 edges long, named by a hash of its words.
 
 1. Paths are grouped by content. All edges of a path that also occurs in a smaller doc_id are repeated.
 2. A minimizer with several different paths is where texts part or meet. Only there are paths taken
-   apart into single edges, one document per path, and edges grouped by content.
+   apart into single edges, wherever they stand in their smallest document, and edges grouped by content.
 3. Repeated paths and edges carry the coordinates of their source, the smallest document with the same
    words. Where text and source coordinates advance together there is no branch: neighbours compact
    into one long span.
@@ -234,8 +234,7 @@ def repeated_spans(docs: DataFrame, s: Settings = Settings()) -> Staged:
     # One document stands for all that share a path; where a minimizer has several, look closer.
     distinct = Staged(
         all_paths.df.groupBy("path").agg(
-            F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"), F.min("minimizer").alias("minimizer"),
-            *[F.min_by(c, "doc_id").alias(c) for c in ("mark", "start", "n")],
+            F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"), F.min("minimizer").alias("minimizer")
         ),
         "distinct",
     )
@@ -244,14 +243,20 @@ def repeated_spans(docs: DataFrame, s: Settings = Settings()) -> Staged:
         .agg(F.count("*").alias("paths"), F.min("doc_id").alias("lo"), F.max("last").alias("hi"))
         .filter("paths > 1 and lo < hi").select("minimizer")
     )
-    branching = possible_hits(distinct.df, "minimizer", branches, "minimizer").join(branches, "minimizer", "left_semi")
-    single = Staged(edges(docs, branching.select("doc_id", "mark", "start", "n"), s), "edges")
+    branching = Staged(
+        possible_hits(distinct.df, "minimizer", branches, "minimizer")
+        .join(branches, "minimizer", "left_semi").select("path", "doc_id"),
+        "branching",
+    )
+    # That document may hold the path several times; each occurrence can be a repeat of its own.
+    places = possible_hits(all_paths.df, "path", branching.df, "path").join(branching.df, ["path", "doc_id"])
+    single = Staged(edges(docs, places.select("doc_id", "mark", "start", "n"), s), "edges")
     columns = ["doc_id", "mark", "start", "n", "src_doc", "src_mark", "src_start"]
     repeated = by_path.select(*columns).union(
         with_source(single.df, "edge").withColumn("n", F.lit(1)).select(*columns)
     )
     out = Staged(verified(docs, spans(repeated), s), "repeats")
-    for table in (all_paths, distinct, single):
+    for table in (all_paths, distinct, branching, single):
         table.drop()
     return out
 

@@ -220,6 +220,21 @@ def test_repeats_equal_brute_force(docs, empty):
     assert debruijn.remove(empty).count() == 0
 
 
+def test_a_passage_twice_in_one_document(spark):
+    rng = random.Random(7)
+    text = lambda n: ["w%d" % rng.randrange(10**9) for _ in range(n)]
+    rows = []
+    for i in range(0, 20, 2):
+        passage = text(55)
+        x = text(40) + passage + text(40)
+        rows.append((i, " ".join(text(30) + passage + text(30))))
+        rows.append((i + 1, " ".join(text(10) + x + text(60) + x + text(10))))
+    out = debruijn.remove(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = fx.repeats_removed(rows)
+    assert got(out, "doc_id", "n_words", "n_removed", "kept") == sorted(want, key=fx.key)
+    assert [r[2] for r in want] == [0, 110] * 10
+
+
 # ---- 7: URLs
 def test_url_rules_and_list(spark):
     rows = [
