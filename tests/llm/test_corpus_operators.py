@@ -146,6 +146,18 @@ def test_long_lines_and_scripts_without_spaces(spark):
     assert got(out, "doc_id", "n_removed") == [(1, 0), (2, 1), (3, 0), (4, 1)]
 
 
+def test_lines_with_few_breaks_meet(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(0, 40, 2):
+        runs = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(23)) for _ in range(10)]
+        rows.append((i, ",".join(runs)))
+        rows.append((i + 1, ",".join(runs[:5]) + "x" + ",".join(runs[5:])))
+    out = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got(out, "doc_id", "text") == sorted(fx.lines_kept(rows), key=fx.key)
+    assert got(out, "n_removed") == [(0,)] * 20 + [(1,)] * 20
+
+
 # ---- 4: neighbours
 def test_tree_search_recall_and_odd_vectors(spark):
     rng = np.random.default_rng(5)
