@@ -129,3 +129,29 @@ def _urls(spark, read):
 @query("op10_licenses", twins.licenses_sql(NOTICES))
 def _licenses(spark, read):
     return licenses.scan(read("documents")).select("doc_id", "license", "containment")
+
+
+@query("op11_whitening")
+def _whitening(spark, read):
+    from pyspark.sql import functions as F
+
+    from braidlake.llm import whitening
+
+    # The exact deviation has up to 38 digits; beyond a long it is NULL here.
+    return whitening.whiten(read("embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+@query("op12_va_file", twins.NEAREST)
+def _va_file(spark, read):
+    from pyspark.sql import functions as F
+
+    from braidlake.llm import va_file
+
+    return va_file.search(read("embeddings"), F.col("id") % 50 == 0)
+
+
+@query("op13_divergence", twins.DIVERGENCE)
+def _divergence(spark, read):
+    from braidlake.llm import divergence
+
+    return divergence.audit(read("documents"))

@@ -148,6 +148,63 @@ SELECT doc_id, source, copy, CAST(n_copies AS BIGINT) AS n_copies,
 FROM (SELECT *, unnest(range(1, CAST(n_copies AS BIGINT) + 1)) AS copy FROM copies)
 """
 
+# Every query against every row.
+NEAREST = """
+WITH points AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), ranked AS (
+    SELECT q.vec_id AS query_id, p.vec_id, CAST(list_inner_product(q.v, p.v) AS BIGINT) AS score,
+           row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, p.v) DESC, p.vec_id) AS rank
+    FROM points q JOIN points p ON p.vec_id <> q.vec_id
+    WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+# Dense: every group with every kept term of its language.
+DIVERGENCE = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+    FROM documents
+), words AS (
+    SELECT doc, lang, source, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), vocabulary AS (
+    SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), sources AS (
+    SELECT DISTINCT lang, source FROM docs
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (
+    SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL
+), shares AS (
+    SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+           CAST(1 + 1000000000 * (coalesce(c.n, 0)::HUGEINT + 2) // (coalesce(t.total, 0) + 2 * v.v) AS BIGINT) AS p,
+           CAST(1 + 1000000000 * (k.n::HUGEINT + 2) // (v.total + 2 * v.v) AS BIGINT) AS q
+    FROM sources s JOIN kept k ON k.lang = s.lang JOIN vocabulary v ON v.lang = s.lang
+    LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+    LEFT JOIN totals t ON t.lang = s.lang AND t.source = s.source
+), sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL
+), parts AS (
+    SELECT s.lang, s.source, 'pair' AS part, o.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM sources s JOIN sources o ON o.lang = s.lang AND o.source <> s.source
+    LEFT JOIN sums v ON v.lang = s.lang AND v.source = s.source AND v.item = o.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 10
+"""
+
 
 def licenses_sql(notices: dict[str, str]) -> str:
     """Every template against every window of every text."""
