@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -81,6 +82,93 @@ def stack_signed(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+@dataclass(frozen=True)
+class Part:
+    """What a fact row feeds: the part's name, the rows that feed it, its value and its sign.
+
+    ``columns`` replaces output columns for this part: the month of another date, a sentinel party, a
+    type tag. Values are added up as they are unless ``unit`` is given: then each unit (a note, a
+    payment) counts once within its keys, with its sum or its largest value (``per_unit``), or with
+    nothing if a row of the same keys and unit meets ``unless``, be it one that feeds the part or not.
+    """
+
+    name: str
+    when: Column
+    value: Column
+    sign: int = 1
+    columns: Mapping[str, Column] = field(default_factory=dict)
+    unit: Column | None = None
+    per_unit: str = "sum"
+    unless: Column | None = None
+
+
+AMOUNT = "decimal(30,5)"
+
+
+def fan_out(
+    fact: DataFrame,
+    parts: Sequence[Part],
+    columns: Mapping[str, Column],
+    tag: str = "part",
+    value: str = "value",
+    amount: str = AMOUNT,
+) -> DataFrame:
+    """One row for each part that a fact row feeds: ``columns``, the tag and the signed value.
+
+    The fact is read once, however many parts there are: a row becomes an array with an entry per
+    part, NULL where it does not feed it, and only the entries are kept. Parts with units add ``_unit``
+    and ``_void``.
+    """
+    units = any(p.unit is not None for p in parts)
+    entries = []
+    for p in parts:
+        feeds = F.coalesce(p.when, F.lit(False))
+        void = F.lit(False) if p.unless is None else F.coalesce(p.unless, F.lit(False))
+        cells = [p.columns.get(c, own).alias(c) for c, own in columns.items()]
+        cells += [F.lit(p.name).alias(tag), F.when(feeds, p.value * p.sign).cast(amount).alias(value)]
+        if units:
+            unit = F.lit(None).cast("string") if p.unit is None else p.unit.cast("string")
+            cells += [unit.alias("_unit"), void.alias("_void")]
+        entries.append(F.when(feeds | void, F.struct(*cells)))
+    return fact.select(F.inline(F.array(*entries))).filter(F.col(tag).isNotNull())
+
+
+def routed_statement(
+    facts: Sequence[tuple[DataFrame, Sequence[Part], Mapping[str, Column]]],
+    keys: Sequence[str],
+    total: str = "movement",
+    memo: Sequence[str] = (),
+) -> DataFrame:
+    """Statement with a column per part and their sum; every fact is read once.
+
+    ``facts`` holds (fact, its parts, its key columns). Part columns hold unsigned values, as
+    ``movement_statement`` does; ``memo`` parts are shown and not added to the total. Units are settled by
+    a grouping of their own before parts become columns; both add up before they shuffle, so a key with
+    most of the rows costs no more than others.
+    """
+    signs = {p.name: p.sign for _, parts, _ in facts for p in parts}
+    rules = {p.name: p.per_unit for _, parts, _ in facts for p in parts if p.unit is not None}
+    routed = []
+    for fact, parts, columns in facts:
+        rows = fan_out(fact, [Part(**{**vars(p), "sign": 1}) for p in parts], {k: columns[k] for k in keys}, "_part", "_v")
+        if rules and "_unit" not in rows.columns:
+            rows = rows.withColumns({"_unit": F.lit(None).cast("string"), "_void": F.lit(False)})
+        routed.append(rows)
+    stacked = reduce(lambda a, b: a.unionByName(b), routed)
+    if rules:
+        largest = [n for n, rule in rules.items() if rule == "max"]
+        unit = stacked.groupBy(*keys, "_part", "_unit").agg(
+            F.sum("_v").alias("_sum"), F.max("_v").alias("_max"), F.max("_void").alias("_void")
+        )
+        settled = F.when(F.col("_part").isin(largest), F.col("_max")).otherwise(F.col("_sum")) if largest else F.col("_sum")
+        stacked = unit.withColumn("_v", F.when(~F.col("_void"), settled)).filter("_v IS NOT NULL")
+    zero = F.lit(0).cast("decimal(38,2)")
+    out = stacked.groupBy(*keys).agg(
+        *[F.coalesce(F.sum(F.when(F.col("_part") == n, F.col("_v"))).cast("decimal(38,2)"), zero).alias(n) for n in signs]
+    )
+    return out.withColumn(total, reduce(lambda a, b: a + b, [F.col(n) * s for n, s in signs.items() if n not in memo]))
+
+
 def movement_statement(
     components: Mapping[str, tuple[DataFrame, str, int]],
     keys: Sequence[str],
@@ -179,6 +267,40 @@ def roll_forward_series(
     )
 
 
+def late_movements(
+    stored: DataFrame,
+    late: DataFrame,
+    keys: Sequence[str],
+    last_month: dt.date | str,
+    month: str = "month",
+    amount: str = "movement",
+    opening: str = "opening",
+    closing: str = "closing",
+) -> DataFrame:
+    """The rows of a stored balance series that late movements change, as they should be.
+
+    ``stored`` is a series as ``roll_forward_series`` gives it, one row per key and month up to ``last_month``;
+    ``late`` are movements of any of its months or earlier ones that it does not hold. The late
+    amounts of a month are added to its movement, and their running sum to the opening and closing
+    balances of later months: the series of the late amounts alone is what has to be added. Only months from
+    the first late one on are read. Rows that come out equal, where late amounts cancel out, are left
+    out; months that the series lacks, before its first or of a new key, come as new rows. Merge the
+    result into the table (``sources.merge``), which rewrites the months concerned.
+    """
+    rows = late.select(*keys, month, F.col(amount).alias("_late"))
+    extra = roll_forward_series(rows, keys, last_month, month, "_late", "_open", "_close")
+    held = stored.filter(F.col(month) >= late.agg(F.min(month)).scalar())
+    both = extra.join(held.select(*keys, month, opening, amount, closing, F.lit(True).alias("_held")), [*keys, month], "left")
+    moves = (F.col("_open") != 0) | (F.col("_late") != 0) | (F.col("_close") != 0)
+    types = {f.name: f.dataType for f in stored.schema}
+    added = {opening: "_open", amount: "_late", closing: "_close"}
+    return both.filter(moves | F.col("_held").isNull()).select(
+        *keys,
+        month,
+        *[(F.coalesce(F.col(c), F.lit(0)) + F.col(more)).cast(types[c]).alias(c) for c, more in added.items()],
+    )
+
+
 def blend_manual(
     computed: DataFrame,
     manual: DataFrame,

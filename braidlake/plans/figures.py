@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from braidlake.functions.dates import month_start
 from braidlake.operators import kpi, money as mo, union
 from braidlake.plans.registry import (
-    RUN, Tables, money, query, sql_money, sql_month, sql_ratio,
+    RUN, Tables, money, now, query, sql_money, sql_month, sql_ratio,
 )
+from braidlake.sources import lake, merge
 
 TOTAL = sql_money("o_totalprice")
 PRICE = sql_money("l_extendedprice")
@@ -183,22 +184,17 @@ def allocate(t: Tables):
     """,
 )
 def stack_signed(t: Tables):
-    rows = t.lineitem.select(
-        "l_suppkey", "l_returnflag", "l_linestatus", money("l_extendedprice").alias("amount")
-    )
-    stacked = mo.stack_signed(
+    returned = F.col("l_returnflag") == "R"
+    own = F.col("l_linestatus") == "F"
+    price = money("l_extendedprice")
+    stacked = mo.fan_out(
+        t.lineitem,
         [
-            (rows.filter("l_returnflag <> 'R'"), 1, {"kind": "sale"}),
-            (rows.filter("l_returnflag = 'R' AND l_linestatus = 'F'"), -1, {"kind": "reversal"}),
-            (
-                rows.filter("l_returnflag = 'R' AND l_linestatus = 'O'").withColumn(
-                    "l_suppkey", F.lit(-99).cast("bigint")
-                ),
-                -1,
-                {"kind": "reversal"},
-            ),
+            mo.Part("sale", ~returned, price),
+            mo.Part("reversal", returned & own, price, -1),
+            mo.Part("reversal", returned & (F.col("l_linestatus") == "O"), price, -1, {"l_suppkey": F.lit(-99).cast("bigint")}),
         ],
-        ["amount"],
+        {"l_suppkey": F.col("l_suppkey")}, "kind", "amount", "decimal(18,2)",
     )
     return stacked.groupBy("l_suppkey", "kind").agg(F.sum("amount").alias("amount"))
 
@@ -279,19 +275,55 @@ def roll_forward_series(t: Tables):
     """,
 )
 def movement_statement(t: Tables):
-    def part(where: str) -> DataFrame:
-        return t.lineitem.filter(where).groupBy(
-            "l_suppkey", month_start("l_shipdate").alias("month")
-        ).agg(F.sum(money("l_extendedprice")).alias("v"))
+    flag, price = F.col("l_returnflag"), money("l_extendedprice")
+    parts = [
+        mo.Part("kept", flag == "N", price),
+        mo.Part("returned", flag == "R", price, -1),
+        mo.Part("advance", (flag == "A") & (F.col("l_linestatus") == "O"), price, -1),
+    ]
+    keys = {"l_suppkey": F.col("l_suppkey"), "month": month_start("l_shipdate")}
+    return mo.routed_statement([(t.lineitem, parts, keys)], list(keys))
 
-    return mo.movement_statement(
-        {
-            "kept": (part("l_returnflag = 'N'"), "v", 1),
-            "returned": (part("l_returnflag = 'R'"), "v", -1),
-            "advance": (part("l_returnflag = 'A' AND l_linestatus = 'O'"), "v", -1),
-        },
-        ["l_suppkey", "month"],
+
+@query(
+    "late_movements",
+    f"""
+    WITH v AS (SELECT l_partkey, {SHIP} AS month, l_returnflag = 'A' AND l_linenumber > 4 AS late,
+               {PRICE} * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS x
+               FROM lineitem WHERE l_shipdate < DATE '2000-07-01'),
+    b AS (SELECT l_partkey, min(month) AS lo, min(month) FILTER (WHERE NOT late) AS lo_stored FROM v GROUP BY 1),
+    g AS (SELECT b.*, CAST(unnest(generate_series(lo, DATE '2000-06-01', INTERVAL 1 MONTH)) AS DATE) AS month FROM b),
+    m AS (SELECT l_partkey, month, sum(x) FILTER (WHERE NOT late) AS own, sum(x) FILTER (WHERE late) AS more
+          FROM v GROUP BY 1, 2),
+    s AS (SELECT g.l_partkey, g.month, lo_stored, coalesce(own, 0) AS own, coalesce(more, 0) AS more,
+                 sum(coalesce(own, 0)) OVER w AS c, sum(coalesce(more, 0)) OVER w AS d
+          FROM g LEFT JOIN m ON m.l_partkey = g.l_partkey AND m.month = g.month
+          WINDOW w AS (PARTITION BY g.l_partkey ORDER BY g.month))
+    SELECT l_partkey, month::VARCHAR AS month, CAST(c + d - own - more AS DOUBLE) AS opening,
+           CAST(own + more AS DOUBLE) AS movement, CAST(c + d AS DOUBLE) AS closing,
+           CAST(month < lo_stored OR lo_stored IS NULL OR more <> 0 OR d <> 0 OR d - more <> 0 AS BIGINT) AS changed
+    FROM s
+    """,
+)
+def late_movements(t: Tables):
+    # The series is stored by year; then the late lines come and only what they change is merged in.
+    sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
+    moves = t.lineitem.select(
+        "l_partkey", month_start("l_shipdate").alias("month"),
+        (money("l_extendedprice") * sign).alias("movement"),
+        ((F.col("l_returnflag") == "A") & (F.col("l_linenumber") > 4)).alias("late"),
+    )
+    path = lake.scratch(t.spark, "balances")
+    series = mo.roll_forward_series(moves.filter("NOT late"), ["l_partkey"], RUN)
+    series = series.withColumns({"year": F.year("month"), "row_hash": F.lit("stored"), "changed": F.lit(False)})
+    lake.write(series, lake.Sink(path, partition_by=["year"]))
+    stored = lake.read(t.spark, path).drop("year", "row_hash", "changed")
+    delta = mo.late_movements(stored, moves.filter("late AND month <= '2000-06-01'"), ["l_partkey"], RUN)
+    merge.merge_partitions(
+        delta.withColumns({"year": F.year("month"), "row_hash": F.lit("late"), "changed": F.lit(True)}), path,
+        ["l_partkey", "month", "year"], ["year"], "row_hash", now(), inserted=None, changed=None,
     )
+    return lake.read(t.spark, path).drop("year", "row_hash")
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from braidlake.functions.dates import add_months, cohort_age, month_range, month_start
-from braidlake.operators import asof, periods
+from braidlake.operators import asof, bitmaps, intervals, periods
 from braidlake.plans.registry import (
     ANCHORS, RUN, Tables, day, money, query, sql_money, sql_month,
 )
@@ -405,6 +405,109 @@ def expand_effective(t: Tables):
     )
 
 
+# Two histories of a customer: what was ordered last, and where the order stood 45 days later. Some
+# entries end by themselves, many are cut off by the next one.
+SQL_HISTORIES = """
+    l0 AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS f, o_orderpriority AS v,
+             CASE WHEN o_orderkey % 4 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 300 AS DATE) END AS t FROM orders),
+    r0 AS (SELECT o_custkey AS k, CAST(CAST(o_orderdate AS DATE) + 45 AS DATE) AS f, o_orderstatus AS v,
+             CASE WHEN o_orderkey % 3 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 245 AS DATE) END AS t FROM orders),
+    l AS (SELECT * FROM l0 QUALIFY row_number() OVER (PARTITION BY k, f ORDER BY t DESC NULLS FIRST, v DESC) = 1),
+    r AS (SELECT * FROM r0 QUALIFY row_number() OVER (PARTITION BY k, f ORDER BY t DESC NULLS FIRST, v DESC) = 1),
+    b AS (SELECT k, f AS p FROM l UNION SELECT k, t FROM l WHERE t IS NOT NULL
+          UNION SELECT k, f FROM r UNION SELECT k, t FROM r WHERE t IS NOT NULL),
+    s AS (SELECT b.k, b.p, CASE WHEN l.t IS NULL OR l.t > b.p THEN l.v END AS lv,
+                 CASE WHEN r.t IS NULL OR r.t > b.p THEN r.v END AS rv
+          FROM b ASOF LEFT JOIN l ON l.k = b.k AND b.p >= l.f ASOF LEFT JOIN r ON r.k = b.k AND b.p >= r.f),
+    c AS (SELECT *, lag(lv) OVER w AS pl, lag(rv) OVER w AS pr FROM s WINDOW w AS (PARTITION BY k ORDER BY p)),
+    d AS (SELECT * FROM c WHERE lv IS DISTINCT FROM pl OR rv IS DISTINCT FROM pr),
+    e AS (SELECT *, lead(p) OVER (PARTITION BY k ORDER BY p) AS until FROM d)
+"""
+
+
+def histories(t: Tables) -> tuple[DataFrame, DataFrame]:
+    ordered, no = day("o_orderdate"), F.col("o_orderkey")
+    later = F.date_add(ordered, 45)
+    return (
+        t.orders.select(
+            F.col("o_custkey").alias("custkey"), ordered.alias("valid_from"),
+            F.when(no % 4 == 0, F.date_add(ordered, 300)).alias("valid_to"), F.col("o_orderpriority").alias("priority"),
+        ),
+        t.orders.select(
+            F.col("o_custkey").alias("custkey"), later.alias("valid_from"),
+            F.when(no % 3 == 0, F.date_add(ordered, 245)).alias("valid_to"), F.col("o_orderstatus").alias("status"),
+        ),
+    )
+
+
+@query(
+    "histories_in_force",
+    f"""
+    WITH {SQL_HISTORIES}
+    SELECT k AS custkey, p::VARCHAR AS valid_from, until::VARCHAR AS valid_to, lv AS priority, rv AS status
+    FROM e WHERE lv IS NOT NULL AND rv IS NOT NULL
+    """,
+)
+def histories_in_force(t: Tables):
+    return intervals.intersect_histories(*histories(t), ["custkey"])
+
+
+@query(
+    "months_in_force",
+    f"""
+    WITH {SQL_HISTORIES},
+    m AS (SELECT e.*, CAST(unnest(generate_series(
+            greatest(CAST(date_trunc('month', p) AS DATE), DATE '1999-10-01'),
+            CAST(least(coalesce(date_trunc('month', until) - INTERVAL 1 MONTH, DATE '2000-06-01'), DATE '2000-06-01')
+                 AS DATE), INTERVAL 1 MONTH)) AS DATE) AS month FROM e WHERE lv IS NOT NULL)
+    SELECT k AS custkey, month::VARCHAR AS month, lv AS priority, rv AS status FROM m
+    """,
+)
+def months_in_force(t: Tables):
+    spans = intervals.intersect_histories(*histories(t), ["custkey"], how="left")
+    return intervals.months_in_force(spans, RUN, add_months(RUN, -8)).drop("valid_from", "valid_to")
+
+
+@query(
+    "activity_runs",
+    f"""
+    WITH m AS (SELECT o_custkey AS k, {MONTH} AS m, CAST(max(o_orderdate) AS DATE) AS last FROM orders
+               WHERE {PLAIN} AND o_orderdate < DATE '2000-07-01' GROUP BY 1, 2),
+    s AS (SELECT *, lag(last) OVER w AS before, lead(m) OVER w AS next FROM m WINDOW w AS (PARTITION BY k ORDER BY m)),
+    g AS (SELECT *, before IS NULL OR datediff('month', before, m) - CASE WHEN day(before) > 1 THEN 1 ELSE 0 END >= 12
+                 AS begins FROM s),
+    r AS (SELECT *, max(CASE WHEN begins THEN m END) OVER (PARTITION BY k ORDER BY m) AS start FROM g),
+    x AS (SELECT k, start, last, CAST(unnest(generate_series(m, CAST(coalesce(next - INTERVAL 1 MONTH, DATE '2000-06-01')
+                 AS DATE), INTERVAL 1 MONTH)) AS DATE) AS month FROM r)
+    SELECT k AS o_custkey, month::VARCHAR AS month,
+           CASE WHEN datediff('month', last, month) - CASE WHEN day(last) > 1 THEN 1 ELSE 0 END >= 12 THEN 0
+                ELSE datediff('month', start, month) + 1 END AS months_active
+    FROM x
+    """,
+)
+def activity_runs(t: Tables):
+    return intervals.activity_runs(t.orders.filter(PLAIN), ["o_custkey"], "o_orderdate", RUN)
+
+
+@query(
+    "bitmap_windows",
+    f"""
+    SELECT a::VARCHAR AS anchor_month, segment,
+           count(DISTINCT o_custkey) FILTER (WHERE {MONTH} = a) AS n_1m,
+           count(DISTINCT o_custkey) FILTER (WHERE {MONTH} >= a - INTERVAL 2 MONTH) AS n_3m,
+           count(DISTINCT o_custkey) FILTER (WHERE {MONTH} >= a - INTERVAL 11 MONTH) AS n_12m,
+           count(DISTINCT o_custkey) AS n_ever
+    FROM {SQL_ORDERS} JOIN {SQL_ANCHORS} ON o_orderdate < a + INTERVAL 1 MONTH GROUP BY 1, 2
+    """,
+)
+def bitmap_windows(t: Tables):
+    # Five segments, many customers: monthly bitmaps serve every window of every anchor.
+    monthly_bits = bitmaps.partials(orders(t), ["segment", month_start("o_orderdate").alias("month")], "o_custkey")
+    return bitmaps.windows(
+        monthly_bits, ["segment"], "month", ANCHORS, {"n_1m": 1, "n_3m": 3, "n_12m": 12, "n_ever": None}
+    )
+
+
 # ---- as-of and snapshots --------------------------------------------------------------------
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from braidlake.functions.dates import month_start
 from braidlake.functions.keys import differs_by_sentinel
+from braidlake.operators import bitmaps
 from braidlake.operators.select import latest_by, rank_within
 from braidlake.operators.union import rename_map
 from braidlake.plans.registry import Tables, day, money, query, sql_money, sql_month
@@ -641,16 +642,27 @@ def trailing_interval_join(t: Tables):
     """,
 )
 def group_aggregates(t: Tables):
+    # Two distinct counts in one agg would copy every line per count. The lines are grouped by
+    # supplier and order for all but the parts, which are counted on their own two columns.
     price = money("l_extendedprice")
-    return t.lineitem.groupBy("l_suppkey").agg(
+    per_order = t.lineitem.groupBy("l_suppkey", "l_orderkey").agg(
         F.sum(price).alias("total"),
         F.count("l_orderkey").alias("n_lines"),
-        F.count_distinct("l_orderkey").alias("n_orders"),
-        F.count_distinct("l_partkey").alias("n_parts"),
-        F.min("l_shipdate").cast("date").alias("first_ship"),
+        F.min("l_shipdate").alias("first_ship"),
         F.sum(F.coalesce(F.when(F.col("l_returnflag") == "R", price), F.lit(0))).alias("returned"),
         F.max(F.when(F.col("l_discount") > 0.09, 1).otherwise(0)).alias("had_big_discount"),
     )
+    sums = per_order.groupBy("l_suppkey").agg(
+        F.sum("total").alias("total"),
+        F.sum("n_lines").alias("n_lines"),
+        F.count("l_orderkey").alias("n_orders"),
+        F.min("first_ship").cast("date").alias("first_ship"),
+        F.sum("returned").alias("returned"),
+        F.max("had_big_discount").alias("had_big_discount"),
+    )
+    pairs = t.lineitem.select("l_suppkey", "l_partkey").distinct()
+    parts = pairs.groupBy(F.col("l_suppkey").alias("_s")).agg(F.count("l_partkey").alias("n_parts"))
+    return sums.join(parts, F.col("l_suppkey").eqNullSafe(F.col("_s"))).drop("_s")
 
 
 @query(
@@ -661,10 +673,13 @@ def group_aggregates(t: Tables):
     """,
 )
 def pick_any(t: Tables):
-    # One deterministic value per attribute collapses a key to one row.
-    return t.documents.groupBy("source").agg(
-        F.max("lang").alias("lang"), F.max("n_chars").alias("n_chars"),
-        F.min("doc_id").alias("first_doc"),
+    # One deterministic value per attribute collapses a key to one row. A largest text cannot be kept
+    # in a hash table's fixed slots and would have all rows sorted: as a key it can be hashed.
+    per_text = t.documents.groupBy("source", "lang").agg(
+        F.max("n_chars").alias("n_chars"), F.min("doc_id").alias("first_doc")
+    )
+    return per_text.groupBy("source").agg(
+        F.max("lang").alias("lang"), F.max("n_chars").alias("n_chars"), F.min("first_doc").alias("first_doc")
     )
 
 
@@ -681,24 +696,16 @@ def pick_any(t: Tables):
     """,
 )
 def filtered_aggs(t: Tables):
-    # Both distinct counts are over suppliers: one row per month and supplier, then plain sums.
-    price = money("l_extendedprice")
+    # Both distinct counts are over suppliers: a bitmap each, in the one grouping of the lines.
     flag = F.col("l_returnflag")
-    per_supplier = t.lineitem.groupBy(
-        month_start("l_shipdate").alias("month"), "l_suppkey"
-    ).agg(
-        F.sum(F.when(flag == "R", price)).alias("returned"),
-        F.count(F.when(F.col("l_linestatus") == "O", 1)).alias("n_open"),
-        F.max(F.when(~flag.isin("A"), 1).otherwise(0)).alias("kept"),
-        F.max(F.when(F.col("l_quantity") > 25, 1).otherwise(0)).alias("bulk"),
-        F.max(F.when(flag == "N", F.col("l_quantity"))).alias("max_kept_qty"),
-    )
-    return per_supplier.groupBy("month").agg(
-        F.sum("returned").alias("returned"),
-        F.sum("n_open").alias("n_open"),
-        F.sum("kept").alias("n_suppliers"),
-        F.sum("bulk").alias("n_bulk_suppliers"),
-        F.max("max_kept_qty").alias("max_kept_qty"),
+    return bitmaps.grouped(
+        t.lineitem.withColumn("month", month_start("l_shipdate")), ["month"], "l_suppkey",
+        {"n_suppliers": ~flag.isin("A"), "n_bulk_suppliers": F.col("l_quantity") > 25},
+        {
+            "returned": ("sum", F.when(flag == "R", money("l_extendedprice"))),
+            "n_open": ("count", F.when(F.col("l_linestatus") == "O", 1)),
+            "max_kept_qty": ("max", F.when(flag == "N", F.col("l_quantity"))),
+        },
     )
 
 
@@ -926,7 +933,7 @@ def staged_partitions(t: Tables):
         )
         .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(money("o_totalprice")).alias("total"))
     )
-    staged = lake.stage(monthly, "monthly_orders", ["month"])
+    staged = lake.stage(monthly, "monthly_orders", ["month"], spread=False)
     return staged.withColumn("month", F.col("month").cast("string"))
 
 

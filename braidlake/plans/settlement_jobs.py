@@ -20,7 +20,9 @@ from braidlake.plans.registry import RUN, Tables, day, money, query, sql_money,
 
 def reimbursement_transactions(
     docs: DataFrame,
-    parts: Sequence[tuple[DataFrame, int, Mapping[str, object]]],
+    lines: DataFrame,
+    parts: Sequence[mo.Part],
+    columns: Sequence[str],
     addresses: DataFrame,
     keys: Sequence[str],
     party: str,
@@ -29,14 +31,15 @@ def reimbursement_transactions(
 ) -> DataFrame:
     """Consumption and reversal rows with their part of the document totals and their revenue.
 
-    ``parts`` are (rows, sign, constants) per issuer and kind. ``addresses`` hold any number of
+    ``parts`` say which lines feed which kind, with the columns of sentinel issuers; lines are read
+    once and keep the given columns. ``addresses`` hold any number of
     addresses per party, with ``is_primary`` and ``position``; the primary one is used. The
     reversal amount of a document is stored positive and compared with its negative.
     """
     primary = select.latest_by(
         addresses, [party], [F.desc("is_primary"), F.asc("position")]
     ).drop("is_primary", "position")
-    stacked = mo.stack_signed(parts, ["amount"])
+    stacked = mo.fan_out(lines, parts, {c: F.col(c) for c in columns}, "kind", "amount", "decimal(18,2)")
     signed = docs.withColumn("_reversal", -F.col("reversal"))
     shared = mo.allocate(signed, stacked, keys, "amount", shares, reversal="_reversal")
     total = reduce(lambda a, b: a + b, [F.coalesce(f"alloc_{m}", F.lit(0)) for m in revenue])
@@ -110,25 +113,26 @@ def load_vouchers(stored: DataFrame, fact: DataFrame, run_date: dt.date | str) -
 
 def statement_month(
     previous: DataFrame,
-    components: Mapping[str, tuple[DataFrame, str, int]],
+    moved: DataFrame,
+    components: Sequence[str],
     keys: Sequence[str],
     run_month: dt.date,
     stored: DataFrame | None = None,
 ) -> DataFrame:
     """Balances of the run month: movement by component, opening, closing and fingerprint.
 
-    ``previous`` holds the balances of the month before (keys, month, closing). With ``stored``
-    (keys, month, row_hash) only rows that differ from it are returned, ready for an upsert.
+    ``moved`` is the month's statement (keys, components, movement), ``previous`` holds the balances of the
+    month before (keys, month, closing). With ``stored`` (keys, month, row_hash) only rows that differ
+    from it are returned, ready for a merge.
     """
-    moved = mo.movement_statement(components, keys).withColumn("month", F.lit(run_month))
+    moved = moved.withColumn("month", F.lit(run_month))
     prev = previous.select(*keys, F.add_months("month", 1).alias("month"), "closing")
     both = prev.join(moved, [*keys, "month"], "full")
     zero = F.lit(0).cast("decimal(38,2)")
-    names = [*components, "movement"]
     out = both.select(
         *keys, "month",
         F.coalesce("closing", zero).alias("opening"),
-        *[F.coalesce(c, zero).alias(c) for c in names],
+        *[F.coalesce(c, zero).alias(c) for c in [*components, "movement"]],
         (F.coalesce("closing", zero) + F.coalesce("movement", zero)).alias("closing"),
     )
     figures = ["opening", *components, "closing"]
@@ -138,6 +142,45 @@ def statement_month(
     return out.join(stored.select(*keys, "month", "row_hash"), [*keys, "month", "row_hash"], "left_anti")
 
 
+COMPONENTS = (
+    "gross", "reversed", "confirmed", "debit", "credit", "billed", "operating_fee", "sva",
+    "purchases", "passed_on", "advance_fee", "urgent",
+)
+
+
+def statement_parts() -> list[mo.Part]:
+    """Which settlement lines feed which component, in which month and with which sign.
+
+    Lines hold a document's party, product and months of creation and payment beside their own code,
+    payment, note and amounts. Payments and debit adjustments count once per document; a debit
+    adjustment that another line of the document bills with the same amount does not count at all;
+    of a note the largest amount counts; what is passed on belongs to the cut-off month.
+    """
+    code, own = F.col("code"), F.col("is_own")
+    paid, cut = {"month": F.col("paid_month")}, {"month": F.add_months("paid_month", 1), "product": F.lit("PASSED")}
+    doc = F.col("doc").cast("string")
+    return [
+        mo.Part("gross", code != "R", F.col("amount")),
+        mo.Part("reversed", (code == "R") & own, -F.col("amount")),
+        mo.Part(
+            "confirmed", (code == "N") & (F.col("line") <= 2), F.col("amount"), -1, paid,
+            F.concat_ws("|", doc, "paid", "amount"), "max",
+        ),
+        mo.Part(
+            "debit", code == "A", F.col("adjustment"), -1, unit=F.concat_ws("|", doc, "adjustment"),
+            per_unit="max", unless=code == "N",
+        ),
+        mo.Part("credit", F.col("discount") >= F.lit("0.08").cast("decimal(4,2)"), -F.col("rebate"), -1),
+        mo.Part("billed", ~own, F.col("fee"), -1, unit=F.concat_ws("|", doc, "note"), per_unit="max"),
+        mo.Part("operating_fee", F.col("line") == 1, F.col("fee"), 1, paid),
+        mo.Part("sva", F.col("item") % 7 == 0, F.col("rebate"), -1, paid),
+        mo.Part("purchases", (F.col("item") % 5 == 0) & own, F.col("amount"), -1, paid),
+        mo.Part("passed_on", F.col("shop") % 9 == 0, F.col("amount"), 1, cut),
+        mo.Part("advance_fee", (code == "A") & own, F.col("fee"), -1, paid),
+        mo.Part("urgent", F.col("adjustment") > 45, F.col("amount"), -1, paid),
+    ]
+
+
 # ---- registered on the sample tables --------------------------------------------------------
 
 PRICE = sql_money("l_extendedprice")
@@ -198,16 +241,13 @@ def reimbursement_transactions_query(t: Tables):
         "l_returnflag", "l_linestatus",
     )
 
-    def rows(where: str) -> DataFrame:
-        return lines.filter(where).drop("l_returnflag", "l_linestatus")
-
+    returned = F.col("l_returnflag") == "R"
+    own = F.col("l_linestatus") == "O"
+    foreign = {"shop": F.lit(-99).cast("bigint")}
     parts = [
-        (rows("l_returnflag <> 'R' AND l_linestatus = 'O'"), 1, {"kind": "Consumo"}),
-        (
-            rows("l_returnflag <> 'R' AND l_linestatus <> 'O'"), 1,
-            {"kind": "Consumo", "shop": -99},
-        ),
-        (rows("l_returnflag = 'R'"), -1, {"kind": "Estorno"}),
+        mo.Part("Consumo", ~returned & own, F.col("amount")),
+        mo.Part("Consumo", ~returned & ~own, F.col("amount"), columns=foreign),
+        mo.Part("Estorno", returned, F.col("amount"), -1),
     ]
     # One address per order of a customer; those of large orders count as main ones.
     addresses = t.orders.select(
@@ -217,7 +257,7 @@ def reimbursement_transactions_query(t: Tables):
         F.col("o_orderkey").alias("position"),
     )
     return reimbursement_transactions(
-        docs, parts, addresses, ["doc"], "party",
+        docs, lines, parts, ["doc", "line", "part", "shop"], addresses, ["doc"], "party",
         {"share": ("gross", ["net"]), "share_own": ("own", ["fee"])}, ["net", "fee"],
     ).select(
         "doc", "line", "part", "shop", "kind", "amount", "share", "share_own", "alloc_net",
@@ -349,7 +389,7 @@ def statement_month_query(t: Tables):
         money("l_extendedprice").alias("amount"),
         F.round(money("l_extendedprice") * F.col("l_tax").cast("decimal(4,2)"), 2).alias("tax"),
     )
-    now = lines.filter(F.col("month") == F.lit(RUN))
+    now_lines = lines.filter(F.col("month") == F.lit(RUN))
     flag = F.col("l_returnflag")
     moved = (
         F.when(flag == "N", F.col("amount")).when(flag == "R", -F.col("amount"))
@@ -360,12 +400,81 @@ def statement_month_query(t: Tables):
         .agg(F.sum(moved).cast("decimal(37,2)").alias("closing"))
         .withColumn("month", F.lit(add_months(RUN, -1)))
     )
-    return statement_month(
-        previous,
-        {
-            "gross": (now.filter("l_returnflag = 'N'"), "amount", 1),
-            "paid": (now.filter("l_returnflag = 'R'"), "amount", -1),
-            "fee": (now.filter("l_returnflag = 'A'"), "tax", -1),
-        },
-        keys, RUN,
+    parts = [
+        mo.Part("gross", flag == "N", F.col("amount")),
+        mo.Part("paid", flag == "R", F.col("amount"), -1),
+        mo.Part("fee", flag == "A", F.col("tax"), -1),
+    ]
+    moved_now = mo.routed_statement([(now_lines, parts, {k: F.col(k) for k in keys})], keys)
+    return statement_month(previous, moved_now, [p.name for p in parts], keys, RUN)
+
+
+def settlement_lines(t: Tables) -> DataFrame:
+    """Lines of documents as the statement reads them; the documents stand for their parties."""
+    docs = t.orders.select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("company"),
+        F.col("o_orderpriority").alias("product"), month_start("o_orderdate").alias("month"),
     )
+    price = money("l_extendedprice")
+    return t.lineitem.join(docs, "l_orderkey").select(
+        F.col("l_orderkey").alias("doc"), "company", "product", "month", F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("shop"), F.col("l_returnflag").alias("code"),
+        (F.col("l_linestatus") == "F").alias("is_own"), day("l_shipdate").alias("paid"),
+        month_start("l_shipdate").alias("paid_month"), (F.col("l_partkey") % 2).alias("note"), price.alias("amount"),
+        money("l_quantity").alias("adjustment"), F.col("l_discount").cast("decimal(4,2)").alias("discount"),
+        F.round(price * F.col("l_discount").cast("decimal(4,2)"), 2).cast("decimal(18,2)").alias("rebate"),
+        F.round(price * F.col("l_tax").cast("decimal(4,2)"), 2).cast("decimal(18,2)").alias("fee"),
+    )
+
+
+def _sql_statement() -> str:
+    """Every component as a query of its own over the lines, then their union by key."""
+    cents = "CAST(round({0} * CAST({1} AS DECIMAL(4,2)), 2) AS DECIMAL(18,2))"
+    rebate, fee = cents.format(PRICE, "l_discount"), cents.format(PRICE, "l_tax")
+    simple = {
+        "gross": ("code <> 'R'", "amount", "month", "product"),
+        "reversed": ("code = 'R' AND own", "-amount", "month", "product"),
+        "credit": ("discount >= 0.08", "-rebate", "month", "product"),
+        "operating_fee": ("line = 1", "fee", "paid_month", "product"),
+        "sva": ("item % 7 = 0", "rebate", "paid_month", "product"),
+        "purchases": ("item % 5 = 0 AND own", "amount", "paid_month", "product"),
+        "passed_on": ("shop % 9 = 0", "amount", "CAST(paid_month + INTERVAL 1 MONTH AS DATE)", "'PASSED'"),
+        "advance_fee": ("code = 'A' AND own", "fee", "paid_month", "product"),
+        "urgent": ("adjustment > 45", "amount", "paid_month", "product"),
+    }
+    selects = [
+        f"SELECT company, {product} AS product, {month} AS month, '{name}' AS part, {value} AS v FROM l WHERE {where}"
+        for name, (where, value, month, product) in simple.items()
+    ]
+    selects += [
+        """SELECT company, product, paid_month, 'confirmed', amount FROM (SELECT DISTINCT company, product, paid_month,
+               paid, doc, amount FROM l WHERE code = 'N' AND line <= 2)""",
+        """SELECT company, product, month, 'debit', adjustment FROM (SELECT DISTINCT company, product, month, doc,
+               adjustment FROM l WHERE code = 'A') a WHERE NOT EXISTS (SELECT 1 FROM l
+               WHERE l.doc = a.doc AND l.adjustment = a.adjustment AND l.code = 'N')""",
+        """SELECT company, product, month, 'billed', max(fee) FROM l WHERE NOT own
+               GROUP BY company, product, month, doc, note""",
+    ]
+    signs = {p: 1 if p in ("gross", "reversed", "operating_fee", "passed_on") else -1 for p in COMPONENTS}
+    sums = ", ".join(f"coalesce(sum(v) FILTER (WHERE part = '{c}'), 0) AS {c}" for c in COMPONENTS)
+    total = " + ".join(f"{sign} * {c}" for c, sign in signs.items())
+    return f"""
+    WITH l AS (SELECT l_orderkey AS doc, o_custkey AS company, o_orderpriority AS product,
+                 {sql_month('o_orderdate')} AS month, l_linenumber AS line, l_partkey AS item, l_suppkey AS shop,
+                 l_returnflag AS code, l_linestatus = 'F' AS own, CAST(l_shipdate AS DATE) AS paid,
+                 {sql_month('l_shipdate')} AS paid_month, l_partkey % 2 AS note, {PRICE} AS amount,
+                 {sql_money('l_quantity')} AS adjustment, CAST(l_discount AS DECIMAL(4,2)) AS discount,
+                 {rebate} AS rebate, {fee} AS fee FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+    parts AS ({' UNION ALL '.join(selects)}),
+    wide AS (SELECT company, product, month, {sums} FROM parts GROUP BY 1, 2, 3),
+    moved AS (SELECT *, {total} AS movement FROM wide)"""
+
+
+SQL_STATEMENT = _sql_statement()
+SQL_FIGURES = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in (*COMPONENTS, "movement"))
+
+
+@query("statement_full", f"{SQL_STATEMENT} SELECT company, product, month::VARCHAR AS month, {SQL_FIGURES} FROM moved")
+def statement_full(t: Tables):
+    keys = ["company", "product", "month"]
+    return mo.routed_statement([(settlement_lines(t), statement_parts(), {k: F.col(k) for k in keys})], keys)

@@ -75,15 +75,17 @@ class Sink:
     format: str = "parquet"
     mode: str = "overwrite"
     partition_by: Sequence[str] = ()
+    spread: bool = True
 
 
 def write(df: DataFrame, sink: Sink) -> None:
     """Write a frame; partitioned output is shuffled by partition first, with skew split.
 
     Without that, every task would open a file per partition value. REBALANCE lets AQE cut a
-    partition value that holds much of the data into several files.
+    partition value that holds much of the data into several files. ``spread=False`` leaves it out, for
+    small results that a grouping has just shuffled.
     """
-    if sink.partition_by:
+    if sink.partition_by and sink.spread:
         df = df.hint("rebalance", *[F.col(c) for c in sink.partition_by])
     writer = df.write.format(sink.format).mode(sink.mode)
     if sink.partition_by:
@@ -175,7 +177,7 @@ def staging() -> Iterator[None]:
             fs.delete(hadoop, True)
 
 
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: Sequence[str] = (), spread: bool = True) -> DataFrame:
     """Materialise an intermediate as a table in the shared folder and read it back.
 
     Cuts the lineage of long chains; survives the loss of executors because the files are shared.
@@ -184,7 +186,7 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    write(df, Sink(path=path, partition_by=partition_by))
+    write(df, Sink(path=path, partition_by=partition_by, spread=spread))
     return spark.read.parquet(path)
 
 

@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
@@ -79,3 +80,57 @@ def test_revenue_breakdown_keeps_documents_without_lines(spark):
     lines = spark.createDataFrame([(1, 3), (1, 4)], "doc int, v int")
     out = money.revenue_breakdown(base, {"fee": (lines, F.col("v"))}, ["doc"])
     assert rows(out) == [(1, 7, 7), (2, 0, 0)]
+
+
+def test_router_reads_the_fact_once(spark, tmp_path):
+    spark.createDataFrame(
+        [(1, "a", "N", D("10.00"), 7), (1, "a", "N", D("10.00"), 7), (1, "a", "R", D("4.00"), 7), (2, "b", None, D("1.00"), 8),
+         (2, "b", "A", D("5.00"), 8), (2, "b", "A", D("5.00"), 8), (2, "b", "A", D("3.00"), 8)],
+        "doc int, who string, code string, v decimal(18,2), note int",
+    ).write.parquet(str(tmp_path / "f"))
+    fact = spark.read.parquet(str(tmp_path / "f"))
+    code, v = F.col("code"), F.col("v")
+    parts = [
+        money.Part("gross", code != "R", v),
+        money.Part("back", code == "R", v, -1, {"who": F.lit("sentinel")}),
+        money.Part("paid", code == "N", v, -1, unit=F.concat_ws("|", "doc", "v"), per_unit="max"),
+        money.Part("billed", code == "A", v, -1, unit=F.col("note"), per_unit="max"),
+        money.Part("debit", code == "A", v, -1, unit=F.concat_ws("|", "doc", "v"), unless=v > 4),
+        money.Part("memo", F.lit(True), F.lit(1)),
+    ]
+    out = money.routed_statement([(fact, parts, {"who": F.col("who")})], ["who"], memo=["memo"])
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "Expand" not in text
+    assert rows(out) == [
+        ("a", 20, 0, 10, 0, 0, 3, 10), ("b", 13, 0, 0, 5, 3, 4, 5), ("sentinel", 0, 4, 0, 0, 0, 0, -4),
+    ]
+    both = money.routed_statement(
+        [(fact, parts[:2], {"who": F.col("who")}), (fact, parts[3:4], {"who": F.lit("all")})], ["who"]
+    )
+    assert rows(both) == [("a", 20, 0, 0, 20), ("all", 0, 0, 5, -5), ("b", 13, 0, 0, 13), ("sentinel", 0, 4, 0, -4)]
+
+
+def test_fan_out_keeps_lines_and_signs(spark):
+    df = spark.createDataFrame([("p", 5, True), ("q", 7, None)], "who string, v int, ok boolean")
+    out = money.fan_out(
+        df, [money.Part("sale", F.col("ok"), F.col("v")), money.Part("back", F.lit(True), F.col("v"), -1, {"who": F.lit("-99")})],
+        {"who": F.col("who")}, "kind",
+    )
+    assert sorted((r.who, r.kind, int(r.value)) for r in out.collect()) == [("-99", "back", -7), ("-99", "back", -5), ("p", "sale", 5)]
+
+
+def test_late_movements_equal_a_full_recomputation(spark):
+    rng = random.Random(8)
+    move = lambda: (rng.choice("abcd"), d(f"2024-{rng.randint(1, 9):02d}-01"), D(rng.choice([-5, 5, 3, 0])))
+    schema = "k string, month date, movement decimal(18,2)"
+    for _ in range(4):
+        old, late = [move() for _ in range(12)], [move() for _ in range(5)]
+        stored = money.roll_forward_series(spark.createDataFrame(old, schema), ["k"], "2024-08-01")
+        whole = money.roll_forward_series(spark.createDataFrame(old + late, schema), ["k"], "2024-08-01")
+        changed = money.late_movements(stored, spark.createDataFrame(late, schema), ["k"], "2024-08-01")
+        state = {(r.k, r.month): tuple(r)[2:] for r in stored.collect()}
+        before = dict(state)
+        for r in changed.collect():
+            assert before.get((r.k, r.month)) != tuple(r)[2:]  # only what changes comes out
+            state[r.k, r.month] = tuple(r)[2:]
+        assert state == {(r.k, r.month): tuple(r)[2:] for r in whole.collect()}

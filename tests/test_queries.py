@@ -60,6 +60,18 @@ def test_one_scan_for_all_anchors(spark):
         assert counts["FileScan parquet"] == 1
 
 
+def test_one_scan_for_all_parts_of_a_statement(spark):
+    for name, scans in (("statement_full", 2), ("movement_statement", 1), ("stack_signed", 1)):  # lines and documents
+        counts, _ = plan_report.summary(entry.queries()[name](spark, ROOT))
+        assert counts["FileScan parquet"] == scans, name
+
+
+def test_distinct_counts_copy_no_rows(spark):
+    for name in ("group_aggregates", "filtered_aggs", "bitmap_windows"):
+        text = entry.queries()[name](spark, ROOT)._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in text, name
+
+
 def test_sales_job_writes_three_tables(spark, tmp_path):
     paths = [str(tmp_path / p) for p in ("curated", "gold", "audit")]
     sales_job.run(*sales_job.sample_inputs(Tables(spark, ROOT)), *paths)
