@@ -6,6 +6,7 @@ from braidlake.plans import (  # noqa: F401
     dimensions,
     figures,
     history,
+    loads,
     maintenance_job,
     party_jobs,
     relational,

@@ -193,7 +193,7 @@ def contact_inputs(t: Tables):
         person_hash(document, 256).alias("person_hash"),
     )
     user = F.lpad(F.col("user_id").cast("string"), 11, "0")
-    web = t.events.filter("event_type IN ('signup', 'purchase')").select(
+    web = t.events.select(
         user.alias("document"), F.concat(F.lit("user "), "user_id").alias("name"),
         F.concat("event_type", F.lit("@web.test")).alias("email"),
         F.col("ts").alias("created"), person_hash(user, 256).alias("person_hash"),
@@ -219,8 +219,7 @@ def contact_inputs(t: Tables):
     WITH p AS (SELECT c_custkey AS person, CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS in_reg,
                       lpad(c_custkey::VARCHAR, 11, '0') AS document, * FROM customer),
     web AS (SELECT user_id AS person, 'USER ' || user_id AS name, event_type || '@web.test' AS email,
-                   max(ts) AS created FROM events WHERE event_type IN ('signup', 'purchase')
-            GROUP BY user_id, event_type),
+                   max(ts) AS created FROM events GROUP BY user_id, event_type),
     k AS (SELECT person, upper(c_name) AS name, lower(c_name) || '@mail.test' AS email,
                  (11 + c_nationkey)::VARCHAR AS area, lpad(c_custkey::VARCHAR, 9, '9') AS number,
                  TIMESTAMP '2000-01-01' AS created, 'registry' AS origin FROM p WHERE in_reg = 1

@@ -97,3 +97,9 @@ def sql_ratio(top: str, bottom: str, factor: int = 1) -> str:
     a = f"(CAST({top} AS HUGEINT) * {factor * 100})"
     b = f"nullif(CAST({bottom} AS HUGEINT), 0)"
     return f"(CAST(sign({a}) * ((2 * abs({a}) + {b}) // (2 * {b})) AS DOUBLE) / 100)"
+
+
+def sql_fingerprint(cols, upper: bool = False) -> str:
+    """The md5 of ``keys.fingerprint``: columns as text one after the other, NULL as ''."""
+    text = " || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols)
+    return f"md5(upper({text}))" if upper else f"md5({text})"

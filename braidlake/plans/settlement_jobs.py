@@ -269,7 +269,7 @@ def reimbursement_transactions_query(t: Tables):
     "reimbursement_documents",
     f"""
     WITH d AS (SELECT o_orderkey AS doc, o_custkey AS account, CAST(o_orderdate AS DATE) AS paid
-               FROM orders WHERE o_orderstatus = 'F'),
+               FROM orders),
     p AS (SELECT l_orderkey AS doc, sum({PRICE}) FILTER (WHERE l_linestatus = 'F') AS mdr,
             sum({PRICE}) FILTER (WHERE l_returnflag = 'A') AS advance FROM lineitem GROUP BY 1),
     c AS (SELECT o_custkey AS account, CAST(o_orderdate AS DATE) AS effective,
@@ -288,11 +288,16 @@ def reimbursement_transactions_query(t: Tables):
     """,
 )
 def reimbursement_documents_query(t: Tables):
-    docs = t.orders.filter("o_orderstatus = 'F'").select(
+    return documents(t, t.lineitem)
+
+
+def documents(t: Tables, lineitem: DataFrame, paid: Column | None = None) -> DataFrame:
+    """Orders as documents, paid when they were ordered unless another day is given."""
+    docs = t.orders.select(
         F.col("o_orderkey").alias("doc"), F.col("o_custkey").alias("account"),
-        day("o_orderdate").alias("paid"),
+        (day("o_orderdate") if paid is None else paid).alias("paid"),
     )
-    lines = t.lineitem.withColumnRenamed("l_orderkey", "doc")
+    lines = lineitem.withColumnRenamed("l_orderkey", "doc")
     price = money("l_extendedprice")
     configs = t.orders.filter("o_orderpriority = '1-URGENT'").select(
         F.col("o_custkey").alias("account"), day("o_orderdate").alias("effective"),
@@ -332,11 +337,24 @@ def reimbursement_documents_query(t: Tables):
     """,
 )
 def voucher_fact_query(t: Tables):
+    vouchers, billing, links = voucher_inputs(t)
+    fact = voucher_fact(vouchers, billing, links, RUN).withColumn("origin", F.lit("loaded"))
+    stored = vouchers.withColumns(
+        {"ref_month": month_start("first_paid"), "origin": F.lit("stored")}
+    )
+    return load_vouchers(stored, fact, RUN).select(
+        "origin", "voucher", "ref_month", "advance_voucher", "purchase_voucher", "amount"
+    )
+
+
+def voucher_inputs(t: Tables, billed: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders as vouchers, open lines as billing (those that ``billed`` selects), lines as links."""
     vouchers = t.orders.select(
         F.col("o_orderkey").alias("voucher"), pad_concat(["o_orderkey"], [10]).alias("trans_id"),
         day("o_orderdate").alias("first_paid"), money("o_totalprice").alias("amount"),
     )
-    billing = t.lineitem.filter("l_linestatus = 'O'").select(
+    open_lines = t.lineitem.filter("l_linestatus = 'O'")
+    billing = (open_lines if billed is None else open_lines.filter(billed)).select(
         pad_concat(["l_orderkey"], [10]).alias("trans_id")
     )
     links = t.lineitem.select(
@@ -345,13 +363,7 @@ def voucher_fact_query(t: Tables):
         .alias("kind"),
         F.col("l_partkey").alias("other"),
     )
-    fact = voucher_fact(vouchers, billing, links, RUN).withColumn("origin", F.lit("loaded"))
-    stored = vouchers.withColumns(
-        {"ref_month": month_start("first_paid"), "origin": F.lit("stored")}
-    )
-    return load_vouchers(stored, fact, RUN).select(
-        "origin", "voucher", "ref_month", "advance_voucher", "purchase_voucher", "amount"
-    )
+    return vouchers, billing, links
 
 
 @query(
@@ -427,8 +439,8 @@ def settlement_lines(t: Tables) -> DataFrame:
     )
 
 
-def _sql_statement() -> str:
-    """Every component as a query of its own over the lines, then their union by key."""
+def sql_statement(where: str = "TRUE", tag: str = "") -> str:
+    """Every component as a query of its own over the lines, then their union by key: ``moved``."""
     cents = "CAST(round({0} * CAST({1} AS DECIMAL(4,2)), 2) AS DECIMAL(18,2))"
     rebate, fee = cents.format(PRICE, "l_discount"), cents.format(PRICE, "l_tax")
     simple = {
@@ -443,38 +455,37 @@ def _sql_statement() -> str:
         "urgent": ("adjustment > 45", "amount", "paid_month", "product"),
     }
     selects = [
-        f"SELECT company, {product} AS product, {month} AS month, '{name}' AS part, {value} AS v FROM l WHERE {where}"
-        for name, (where, value, month, product) in simple.items()
+        f"SELECT company, {product} AS product, {month} AS month, '{name}' AS part, {value} AS v FROM l{tag} WHERE {which}"
+        for name, (which, value, month, product) in simple.items()
     ]
     selects += [
-        """SELECT company, product, paid_month, 'confirmed', amount FROM (SELECT DISTINCT company, product, paid_month,
-               paid, doc, amount FROM l WHERE code = 'N' AND line <= 2)""",
-        """SELECT company, product, month, 'debit', adjustment FROM (SELECT DISTINCT company, product, month, doc,
-               adjustment FROM l WHERE code = 'A') a WHERE NOT EXISTS (SELECT 1 FROM l
+        f"""SELECT company, product, paid_month, 'confirmed', amount FROM (SELECT DISTINCT company, product, paid_month,
+               paid, doc, amount FROM l{tag} WHERE code = 'N' AND line <= 2)""",
+        f"""SELECT company, product, month, 'debit', adjustment FROM (SELECT DISTINCT company, product, month, doc,
+               adjustment FROM l{tag} WHERE code = 'A') a WHERE NOT EXISTS (SELECT 1 FROM l{tag} l
                WHERE l.doc = a.doc AND l.adjustment = a.adjustment AND l.code = 'N')""",
-        """SELECT company, product, month, 'billed', max(fee) FROM l WHERE NOT own
+        f"""SELECT company, product, month, 'billed', max(fee) FROM l{tag} WHERE NOT own
                GROUP BY company, product, month, doc, note""",
     ]
     signs = {p: 1 if p in ("gross", "reversed", "operating_fee", "passed_on") else -1 for p in COMPONENTS}
     sums = ", ".join(f"coalesce(sum(v) FILTER (WHERE part = '{c}'), 0) AS {c}" for c in COMPONENTS)
     total = " + ".join(f"{sign} * {c}" for c, sign in signs.items())
     return f"""
-    WITH l AS (SELECT l_orderkey AS doc, o_custkey AS company, o_orderpriority AS product,
+    l{tag} AS (SELECT l_orderkey AS doc, o_custkey AS company, o_orderpriority AS product,
                  {sql_month('o_orderdate')} AS month, l_linenumber AS line, l_partkey AS item, l_suppkey AS shop,
                  l_returnflag AS code, l_linestatus = 'F' AS own, CAST(l_shipdate AS DATE) AS paid,
                  {sql_month('l_shipdate')} AS paid_month, l_partkey % 2 AS note, {PRICE} AS amount,
                  {sql_money('l_quantity')} AS adjustment, CAST(l_discount AS DECIMAL(4,2)) AS discount,
-                 {rebate} AS rebate, {fee} AS fee FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
-    parts AS ({' UNION ALL '.join(selects)}),
-    wide AS (SELECT company, product, month, {sums} FROM parts GROUP BY 1, 2, 3),
-    moved AS (SELECT *, {total} AS movement FROM wide)"""
+                 {rebate} AS rebate, {fee} AS fee FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE {where}),
+    parts{tag} AS ({' UNION ALL '.join(selects)}),
+    wide{tag} AS (SELECT company, product, month, {sums} FROM parts{tag} GROUP BY 1, 2, 3),
+    moved{tag} AS (SELECT *, {total} AS movement FROM wide{tag})"""
 
 
-SQL_STATEMENT = _sql_statement()
 SQL_FIGURES = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in (*COMPONENTS, "movement"))
 
 
-@query("statement_full", f"{SQL_STATEMENT} SELECT company, product, month::VARCHAR AS month, {SQL_FIGURES} FROM moved")
+@query("statement_full", f"WITH {sql_statement()} SELECT company, product, month::VARCHAR AS month, {SQL_FIGURES} FROM moved")
 def statement_full(t: Tables):
     keys = ["company", "product", "month"]
     return mo.routed_statement([(settlement_lines(t), statement_parts(), {k: F.col(k) for k in keys})], keys)
