@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from braidlake.functions.casts import safe_cast
 
 
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Field:
     name: str
@@ -43,12 +49,13 @@ class Contract:
             ]
         )
 
+    def create_schema(self) -> str | None:
+        """CREATE SCHEMA text for the schema that the table's name lies in."""
+        schema, _, _ = self.name.rpartition(".")
+        return f"CREATE SCHEMA IF NOT EXISTS {schema}" if schema else None
+
     def create_table(self, location: str | None = None, provider: str = "parquet") -> str:
         """CREATE TABLE text for ``spark.sql``."""
-
-        def quoted(text: str) -> str:
-            return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
         cols = ",\n  ".join(
             f"`{f.name}` {f.type}"
             + (" NOT NULL" if f.required else "")
@@ -129,3 +136,123 @@ def violating_rows(df: DataFrame, contract: Contract, name: str = "violations")
             found.append(F.when(wrong, F.lit(f"type:{f.name}")))
     broken = reduce(lambda a, b: a | b, [c.isNotNull() for c in found])
     return df.filter(broken).withColumn(name, F.concat_ws(",", *found))
+
+
+# ---- change of a contract --------------------------------------------------------------------
+
+WIDER = ("tinyint", "smallint", "int", "bigint")
+CHECKED = ("drop", "narrow", "tighten", "partition")
+
+
+@dataclass(frozen=True)
+class Change:
+    """One difference: ``add``, ``drop``, ``widen``, ``narrow``, ``tighten``, ``loosen``, ``comment``, ``partition`` or ``property``."""
+
+    kind: str
+    column: str
+    before: str = ""
+    after: str = ""
+
+    @property
+    def breaks(self) -> bool:
+        """Readers or stored rows may not survive it."""
+        return self.kind in CHECKED
+
+
+class Refused(ValueError):
+    """A migration with changes that were not allowed."""
+
+
+def widens(before: str, after: str) -> bool:
+    """True when every value of the first type is one of the second."""
+    a, b = T.DataType.fromDDL(before), T.DataType.fromDDL(after)
+    x, y = a.simpleString(), b.simpleString()
+    if x == y or y == "string":
+        return True
+    if isinstance(b, T.DecimalType):
+        digits = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}.get(x)
+        whole, scale = (a.precision - a.scale, a.scale) if isinstance(a, T.DecimalType) else (digits, 0)
+        return whole is not None and b.precision - b.scale >= whole and b.scale >= scale
+    if x in WIDER:
+        return y in WIDER[WIDER.index(x) :] or (y == "double" and x != "bigint") or (y == "float" and x in WIDER[:2])
+    return (x, y) in (("float", "double"), ("date", "timestamp_ntz"))
+
+
+def compare(before: Contract, after: Contract) -> list[Change]:
+    """What has to change for a table of the first contract to follow the second."""
+    old, new = ({f.name: f for f in c.fields} for c in (before, after))
+    out = [Change("drop", n, old[n].type) for n in old if n not in new]
+    for n, f in new.items():
+        if n not in old:
+            out.append(Change("add", n, "", f.type))
+            if f.required:
+                out.append(Change("tighten", n, "absent", "required"))
+            continue
+        was = old[n]
+        if T.DataType.fromDDL(was.type) != T.DataType.fromDDL(f.type):
+            out.append(Change("widen" if widens(was.type, f.type) else "narrow", n, was.type, f.type))
+        if f.required != was.required:
+            out.append(Change("tighten" if f.required else "loosen", n, *(("optional", "required") if f.required else ("required", "optional"))))
+        if f.comment != was.comment:
+            out.append(Change("comment", n, was.comment, f.comment))
+    if list(before.partition_by) != list(after.partition_by):
+        out.append(Change("partition", "", ",".join(before.partition_by), ",".join(after.partition_by)))
+    if before.comment != after.comment:
+        out.append(Change("comment", "", before.comment, after.comment))
+    for k in sorted({*before.properties, *after.properties}):
+        if before.properties.get(k) != after.properties.get(k):
+            out.append(Change("property", k, before.properties.get(k, ""), after.properties.get(k, "")))
+    return out
+
+
+def create(spark: SparkSession, contract: Contract, location: str | None = None, provider: str = "parquet") -> None:
+    """Schema and table of a contract, with its comments in the catalog."""
+    if schema := contract.create_schema():
+        spark.sql(schema)
+    spark.sql(contract.create_table(location, provider))
+
+
+def migrate(spark: SparkSession, before: Contract, after: Contract, allow: Sequence[str] = ()) -> list[Change]:
+    """Bring the table of ``before`` to ``after``, which has the same name, and return what was changed.
+
+    Columns are added, comments and properties set in the catalog. Other changes rewrite the table
+    beside the old one, which then gives up its name. What breaks readers or rows (dropping,
+    narrowing, tightening, other partitions) is refused unless its kind is in ``allow``; even then
+    a rewrite is refused where stored rows do not fit the new contract, rather than losing them.
+    """
+    changes = compare(before, after)
+    if held := [c for c in changes if c.breaks and c.kind not in allow]:
+        raise Refused("; ".join(f"{c.kind} {c.column or 'table'}: {c.before} -> {c.after}" for c in held))
+    rewrite = {"drop", "widen", "narrow", "tighten", "loosen", "partition"}
+    if any(c.kind in rewrite for c in changes):
+        _rewrite(spark, before, after)
+        return changes
+    fields = {f.name: f for f in after.fields}
+    for c in changes:
+        if c.kind == "add":
+            note = f" COMMENT {quoted(fields[c.column].comment)}" if fields[c.column].comment else ""
+            spark.sql(f"ALTER TABLE {after.name} ADD COLUMNS (`{c.column}` {c.after}{note})")
+        elif c.kind == "comment" and c.column:
+            spark.sql(f"ALTER TABLE {after.name} ALTER COLUMN `{c.column}` COMMENT {quoted(c.after)}")
+        elif c.kind == "comment":
+            spark.sql(f"COMMENT ON TABLE {after.name} IS {quoted(c.after)}")
+        elif c.after:
+            spark.sql(f"ALTER TABLE {after.name} SET TBLPROPERTIES ({quoted(c.column)} = {quoted(c.after)})")
+        else:
+            spark.sql(f"ALTER TABLE {after.name} UNSET TBLPROPERTIES IF EXISTS ({quoted(c.column)})")
+    return changes
+
+
+def _rewrite(spark: SparkSession, before: Contract, after: Contract) -> None:
+    stored = spark.read.table(before.name)
+    if bad := violations(stored, after).collect():  # one row per broken rule
+        raise Refused("; ".join(f"{r['n_rows']} rows break {r['rule']} of {r['column']}" for r in bad))
+    mark = uuid.uuid4().hex
+    fresh = replace(after, name=f"{after.name}_{mark}")
+    create(spark, fresh)
+    # partition columns come last in a table
+    conform(stored, after).select(*spark.table(fresh.name).columns).write.insertInto(fresh.name)
+    old = f"{before.name}_old_{mark}"
+    spark.sql(f"ALTER TABLE {before.name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {fresh.name} RENAME TO {after.name}")
+    spark.sql(f"DROP TABLE {old}")

@@ -13,19 +13,20 @@ from braidlake.plans.registry import Tables, day, money, query, sql_money, sql_r
 CUSTOMERS = Contract(
     "silver_generic.clientes_curados",
     [
-        Field("cliente_id", "string", True),
-        Field("documento_hash", "string"),
-        Field("nome_fantasia", "string"),
-        Field("segmento", "string"),
-        Field("canal_origem", "string"),
-        Field("data_cadastro", "date"),
-        Field("status_cliente", "string"),
-        Field("score_relacionamento", "decimal(10,2)"),
-        Field("cidade", "string"),
-        Field("estado", "string"),
-        Field("data_ref", "date", True),
+        Field("cliente_id", "string", True, comment="Customer number"),
+        Field("documento_hash", "string", comment="One-way hash of the customer's document"),
+        Field("nome_fantasia", "string", comment="Trade name as shown in reports"),
+        Field("segmento", "string", comment="Main commercial segment"),
+        Field("canal_origem", "string", comment="Channel the customer came through"),
+        Field("data_cadastro", "date", comment="Day of registration"),
+        Field("status_cliente", "string", comment="State of the customer in the business"),
+        Field("score_relacionamento", "decimal(10,2)", comment="Internal score of the relationship"),
+        Field("cidade", "string", comment="Main city"),
+        Field("estado", "string", comment="Main state"),
+        Field("data_ref", "date", True, comment="Reference day, one partition each"),
     ],
     partition_by=["data_ref"],
+    comment="Curated customers",
     properties={
         "quality_tier": "silver", "owner_domain": "comercial", "data_classification": "internal",
     },
@@ -33,36 +34,38 @@ CUSTOMERS = Contract(
 TRANSACTIONS = Contract(
     "silver_generic.transacoes_curadas",
     [
-        Field("transacao_id", "string", True),
-        Field("cliente_id", "string", True),
-        Field("data_transacao", "timestamp", True),
-        Field("categoria_produto", "string"),
-        Field("canal_venda", "string"),
-        Field("status_transacao", "string"),
-        Field("valor_bruto", "decimal(18,2)"),
-        Field("valor_liquido", "decimal(18,2)"),
-        Field("custo_total", "decimal(18,2)"),
-        Field("margem_bruta", "decimal(18,2)"),
-        Field("data_ref", "date", True),
+        Field("transacao_id", "string", True, comment="Transaction number"),
+        Field("cliente_id", "string", True, comment="Customer number"),
+        Field("data_transacao", "timestamp", True, comment="When the transaction took place"),
+        Field("categoria_produto", "string", comment="Product category"),
+        Field("canal_venda", "string", comment="Sales channel"),
+        Field("status_transacao", "string", comment="Operational state of the transaction"),
+        Field("valor_bruto", "decimal(18,2)", comment="Amount before deductions"),
+        Field("valor_liquido", "decimal(18,2)", comment="Amount after deductions"),
+        Field("custo_total", "decimal(18,2)", comment="Cost of the transaction"),
+        Field("margem_bruta", "decimal(18,2)", comment="Net amount less cost"),
+        Field("data_ref", "date", True, comment="Reference day, one partition each"),
     ],
     partition_by=["data_ref"],
+    comment="Curated transactions",
     properties={"quality_tier": "silver", "owner_domain": "receita", "retention_policy": "365d"},
 )
 DAILY_REVENUE = Contract(
     "gold_generic.kpi_receita_diaria",
     [
-        Field("data_ref", "date", True),
-        Field("regional", "string", True),
-        Field("canal_venda", "string", True),
-        Field("receita_liquida_total", "decimal(18,2)"),
-        Field("quantidade_transacoes", "bigint"),
-        Field("clientes_ativos", "bigint"),
-        Field("margem_bruta_total", "decimal(18,2)"),
-        Field("ticket_medio", "decimal(18,2)"),
-        Field("taxa_conversao", "decimal(10,4)"),
-        Field("nivel_confianca", "string"),
+        Field("data_ref", "date", True, comment="Reference day, one partition each"),
+        Field("regional", "string", True, comment="Region of the figures"),
+        Field("canal_venda", "string", True, comment="Sales channel"),
+        Field("receita_liquida_total", "decimal(18,2)", comment="Net revenue of the day"),
+        Field("quantidade_transacoes", "bigint", comment="Transactions of the day"),
+        Field("clientes_ativos", "bigint", comment="Customers with a transaction"),
+        Field("margem_bruta_total", "decimal(18,2)", comment="Gross margin of the day"),
+        Field("ticket_medio", "decimal(18,2)", comment="Net revenue per transaction"),
+        Field("taxa_conversao", "decimal(10,4)", comment="Conversion rate; no formula published"),
+        Field("nivel_confianca", "string", comment="Confidence in the figures; no formula published"),
     ],
     partition_by=["data_ref"],
+    comment="Revenue figures per day, region and channel",
     properties={
         "gold_contract": "true", "owner_domain": "executivo", "sla_refresh": "D+1",
         "criticality": "high",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from braidlake.plans.registry import (
 from braidlake.sources import lake
 
 TOTAL = sql_money("o_totalprice")
+PRICE = sql_money("l_extendedprice")
 
 # ---- selection ------------------------------------------------------------------------------
 
@@ -548,6 +551,54 @@ def variant_diff(t: Tables):
     )
 
 
+SQL_RULES = {
+    "flag": ("l_returnflag = 'R'", "l_returnflag IN ('R', 'A')"),
+    "quantity": ("l_quantity > 45", "l_quantity >= 40"),
+    "closed": ("TRUE", "l_linestatus = 'F'"),
+}
+
+
+def _sql_attribution() -> str:
+    """Every state of the rule sets on its own, as a scan of the lines each."""
+    names, net = list(SQL_RULES), "CAST(round({0} * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(18,2))".format(PRICE)
+
+    def total(new, value):
+        where = " AND ".join(SQL_RULES[n][1 if n in new else 0] for n in names)
+        sums = f"coalesce(sum({value}) FILTER (WHERE {where}), 0)"
+        return sums, f"count(*) FILTER (WHERE {where})"
+
+    def moved(i):
+        old, new = (" AND ".join(SQL_RULES[n][1 if k < j else 0] for k, n in enumerate(names)) for j in (i, i + 1))
+        return f"count(*) FILTER (WHERE ({new}) AND NOT ({old})) AS n_gained, count(*) FILTER (WHERE ({old}) AND NOT ({new})) AS n_lost"
+
+    selects = []
+    for i, n in enumerate(names):
+        (a, x), (b, y) = total(names[:i], PRICE), total(names[: i + 1], PRICE)
+        (c, z), (d, w) = total([], PRICE), total([n], PRICE)
+        selects.append(
+            f"""SELECT l_suppkey, '{n}' AS rule, CAST({b} - {a} AS DOUBLE) AS total_step, CAST({d} - {c} AS DOUBLE) AS total_alone,
+                {y} - {x} AS n_step, {w} - {z} AS n_alone, {moved(i)} FROM lineitem GROUP BY 1"""
+        )
+    (a, _), (b, _) = total(names, PRICE), total(names, net)
+    (c, _), (d, _) = total([], PRICE), total([], net)
+    selects.append(
+        f"""SELECT l_suppkey, 'measure', CAST({b} - {a} AS DOUBLE), CAST({d} - {c} AS DOUBLE), 0, 0, 0, 0 FROM lineitem GROUP BY 1"""
+    )
+    return " UNION ALL ".join(selects)
+
+
+@query("rule_attribution", _sql_attribution())
+def rule_attribution(t: Tables):
+    # Two rules change, one is new, and the amount becomes net of the discount.
+    price = money("l_extendedprice")
+    net = F.round(price * (1 - F.col("l_discount").cast("decimal(4,2)")), 2).cast("decimal(18,2)")
+    before = {n: F.expr(a) for n, (a, _) in SQL_RULES.items() if a != "TRUE"}
+    return kpi.attribute_change(
+        t.lineitem, ["l_suppkey"], before, {n: F.expr(b) for n, (_, b) in SQL_RULES.items()},
+        {"total": (price, net), "n": F.lit(1).cast("long")},
+    )
+
+
 ORDER_CONTRACT = contract.Contract(
     "orders_curated",
     [
@@ -586,6 +637,34 @@ def conform_contract(t: Tables):
     return contract.conform(raw_orders(t), ORDER_CONTRACT)
 
 
+@query(
+    "contract_migration",
+    f"""
+    SELECT o_orderkey AS order_id, CAST(left(o_orderpriority, 1) AS BIGINT) AS priority_code,
+           CAST(o_orderdate AS DATE)::VARCHAR AS ref_date, CAST({TOTAL} AS DOUBLE) AS total,
+           CAST(NULL AS VARCHAR) AS closed_by, CAST(NULL AS VARCHAR) AS channel, 'decimal(20,4)' AS total_type,
+           'Amount before tax' AS total_comment
+    FROM orders WHERE o_orderstatus <> 'O' AND o_orderpriority <> '5-LOW'
+    """,
+)
+def contract_migration(t: Tables):
+    # The table gets a column and a comment, then a wider amount; rows and comments come from the catalog.
+    name = "braidlake_contracts.orders_" + uuid.uuid4().hex
+    fields = [f for f in ORDER_CONTRACT.fields if f.name != "total"]
+    total = contract.Field("total", "decimal(18,2)", comment="Amount")
+    v1 = contract.Contract(name, [*fields, total])
+    v2 = contract.Contract(name, [*fields, replace(total, comment="Amount before tax"), contract.Field("channel", "string")])
+    v3 = contract.Contract(name, [*fields, replace(v2.fields[-2], type="decimal(20,4)"), v2.fields[-1]])
+    contract.create(t.spark, v1)
+    contract.conform(raw_orders(t), v1).write.insertInto(name)
+    contract.migrate(t.spark, v1, v2)
+    contract.migrate(t.spark, v2, v3)
+    kept = lake.stage(lake.read_table(t.spark, name), "migrated")
+    told = {r["col_name"]: r for r in t.spark.sql(f"DESCRIBE TABLE {name}").collect()}["total"]
+    t.spark.sql(f"DROP TABLE {name}")
+    return kept.withColumns({"total_type": F.lit(told["data_type"]), "total_comment": F.lit(told["comment"])})
+
+
 @query(
     "contract_violations",
     """

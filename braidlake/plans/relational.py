@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -1013,3 +1014,91 @@ def sink_replace(t: Tables):
     doubled = lake.read(t.spark, path).withColumn("n_orders", F.col("n_orders") * 2)
     lake.replace_table(doubled.filter("status <> 'P'"), path)
     return lake.read(t.spark, path)
+
+
+@query(
+    "control_totals",
+    f"""
+    SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderstatus AS status, count(*) AS n_orders,
+           (SELECT count(DISTINCT (strftime(o_orderdate, '%Y-%m'), o_orderstatus)) FROM orders) AS rows_written,
+           (SELECT count(*) FROM orders) AS orders_written
+    FROM orders GROUP BY 1, 2
+    """,
+)
+def control_totals(t: Tables):
+    # Taken by the tasks that write, compared with what the sink holds, and carried along.
+    path = lake.scratch(t.spark, "checked")
+    totals = {"rows_written": F.count(F.lit(1)), "orders_written": F.sum("n_orders")}
+    taken = lake.write_checked(_monthly(t), lake.Sink(path, partition_by=["status"]), totals)
+    return lake.read(t.spark, path).withColumns({n: F.lit(v) for n, v in taken.items()})
+
+
+@query("zone_read", SQL_MONTHLY)
+def zone_read(t: Tables):
+    base = lake.Lake(lake.scratch(t.spark, "zones"), {"gold": "consumezone"})
+    lake.write(_monthly(t), lake.Sink(base.resolve("gold", "monthly", "br")))
+    return base.read(t.spark, "gold", "monthly", "br")
+
+
+@query(
+    "cached_twice",
+    f"""
+    WITH m AS ({SQL_MONTHLY})
+    SELECT month, status, n_orders, (SELECT max(n_orders) FROM m) AS most FROM m
+    """,
+)
+def cached_twice(t: Tables):
+    # Counted once for the largest group and once for the rows, from the same kept blocks.
+    with lake.cached(_monthly(t)) as kept:
+        most = kept.agg(F.max("n_orders")).first()[0]
+        return lake.stage(kept.withColumn("most", F.lit(most)), "kept")
+
+
+@query("dropped_copies", f"SELECT *, 2 AS n_dropped FROM ({SQL_MONTHLY})")
+def dropped_copies(t: Tables):
+    name = "copy" + uuid.uuid4().hex[:8]
+    for _ in range(2):
+        lake.stage(_monthly(t), name)
+    kept = lake.stage(_monthly(t), "kept")
+    return kept.withColumn("n_dropped", F.lit(lake.drop_staged(t.spark, name)))
+
+
+@query("catalog_read", f"SELECT *, 'spark_catalog' AS catalog FROM ({SQL_MONTHLY})")
+def catalog_read(t: Tables):
+    name = "braidlake_" + uuid.uuid4().hex
+    current = lake.use_catalog(t.spark, "spark_catalog")
+    lake.write(_monthly(t), lake.Sink(table=name))
+    kept = lake.stage(lake.read_table(t.spark, f"{current}.default.{name}"), "catalog_rows")
+    t.spark.sql(f"DROP TABLE {name}")
+    return kept.withColumn("catalog", F.lit(current))
+
+
+# ---- a spine with many inputs ----------------------------------------------------------------
+
+SPINE_INPUTS = (
+    {f"year_{y}": f"year(o_orderdate) = {y}" for y in range(1995, 2002)}
+    | {f"status_{s.lower()}": f"o_orderstatus = '{s}'" for s in "FOP"}
+    | {f"priority_{p[0]}": f"o_orderpriority = '{p}'" for p in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")}
+    | {"large": "o_totalprice > 200000", "small": "o_totalprice < 50000", "first_quarter": "month(o_orderdate) <= 3", "seventh": "o_orderkey % 7 = 0"}
+)
+
+
+@query(
+    "spine_join",
+    "SELECT c_custkey AS custkey, c_mktsegment AS segment, "
+    + ", ".join(
+        f"CAST(sum({TOTAL}) FILTER (WHERE {w}) AS DOUBLE) AS {n}, nullif(count(o_orderkey) FILTER (WHERE {w}), 0) AS n_{n}"
+        for n, w in SPINE_INPUTS.items()
+    )
+    + " FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2",
+)
+def spine_join(t: Tables):
+    # Nineteen inputs, each grouped by customer as a job of its own would leave it.
+    spine = t.customer.select(F.col("c_custkey").alias("custkey"), F.col("c_mktsegment").alias("segment"))
+    inputs = {
+        n: t.orders.filter(w).groupBy(F.col("o_custkey").alias("custkey")).agg(
+            F.sum(money("o_totalprice")).alias(n), F.count(F.lit(1)).alias(f"n_{n}")
+        )
+        for n, w in SPINE_INPUTS.items()
+    }
+    return lake.join_spine(spine, inputs, ["custkey"], buckets=8)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,8 +85,16 @@ def write(df: DataFrame, sink: Sink) -> None:
     partition value that holds much of the data into several files. ``spread=False`` leaves it out, for
     small results that a grouping has just shuffled.
     """
+    _put(_dealt(df, sink), sink)
+
+
+def _dealt(df: DataFrame, sink: Sink) -> DataFrame:
     if sink.partition_by and sink.spread:
-        df = df.hint("rebalance", *[F.col(c) for c in sink.partition_by])
+        return df.hint("rebalance", *[F.col(c) for c in sink.partition_by])
+    return df
+
+
+def _put(df: DataFrame, sink: Sink) -> None:
     writer = df.write.format(sink.format).mode(sink.mode)
     if sink.partition_by:
         writer = writer.partitionBy(*sink.partition_by)
@@ -98,6 +106,34 @@ def write(df: DataFrame, sink: Sink) -> None:
         raise ValueError("a sink needs a path or a table")
 
 
+class TotalsDiffer(RuntimeError):
+    """What was read back from a sink is not what was written to it."""
+
+
+def write_checked(df: DataFrame, sink: Sink, totals: Mapping[str, Column]) -> dict[str, object]:
+    """Write a frame, taking control totals on the way, and compare them with what the sink then holds.
+
+    ``totals`` are aggregates (a count, sums). They are taken by the tasks that write, so the frame is
+    computed once; only the sink is read again, and only the columns of the totals. Returns them.
+    """
+    from pyspark.sql import Observation
+
+    seen = Observation(f"totals-{uuid.uuid4().hex}")
+    _put(_dealt(df, sink).observe(seen, *[c.alias(n) for n, c in totals.items()]), sink)
+    taken = seen.get
+    verify(df.sparkSession, sink, totals, taken)
+    return taken
+
+
+def verify(spark: SparkSession, sink: Sink, totals: Mapping[str, Column], taken: Mapping[str, object]) -> None:
+    """Raise ``TotalsDiffer`` where a sink's totals are not those taken when it was written."""
+    held = read_table(spark, sink.table) if sink.table else read(spark, sink.path, sink.format)
+    found = held.agg(*[c.alias(n) for n, c in totals.items()]).first().asDict()
+    wrong = {n: (taken[n], found[n]) for n in totals if taken[n] != found[n]}
+    if wrong:
+        raise TotalsDiffer(", ".join(f"{n}: wrote {w}, read {r}" for n, (w, r) in wrong.items()))
+
+
 def commit(df: DataFrame, sinks: Sequence[Sink]) -> None:
     """Write one frame to several sinks, computing it once.
 
@@ -201,6 +237,33 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Stage a frame as a table dealt out by ``keys`` into ``buckets`` files.
+
+    Tables staged with the same keys and number of buckets are joined on them without another
+    shuffle, however many there are and however often. One exchange deals the frame out; a
+    hot key fills one bucket, so this is for inputs with few rows a key, such as grouped ones.
+    """
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *[F.col(k) for k in keys])
+    writer = dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", scratch(spark, name)).saveAsTable(table)
+    return spark.read.table(table)
+
+
+def join_spine(spine: DataFrame, inputs: Mapping[str, DataFrame], keys: Sequence[str], buckets: int) -> DataFrame:
+    """A spine with the columns of many inputs, each of at most one row per key, joined on equal keys.
+
+    Spine and inputs are staged in buckets, so that the chain of left joins has no exchange: each input
+    is dealt out once, instead of the growing row being shuffled where partition counts differ.
+    """
+    out = bucketed(spine, "spine", keys, buckets)
+    for name, df in inputs.items():
+        out = out.join(bucketed(df, name, keys, buckets), list(keys), "left")
+    return out
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Put ``df`` in the place of the table at ``path``, which it may read from.
 
