@@ -8,8 +8,9 @@ partitions by a second hash and ordered by it inside each: a global shuffle.
 A rate over ``PIECE`` is drawn as a sum of independent parts of at most ``PIECE``, so that the table
 of the inverse stays exact in double precision.
 
-Only built-in functions run. Per source one row is joined; a source with a third of the rows is
-split by the adaptive join, as the sources' table is pre-aggregated and small.
+Only built-in functions run. Per source one row is joined: the sources' table is written once, counted and
+broadcast up to ``FEW_SOURCES`` rows, so texts are not shuffled by source; beyond that the adaptive
+join splits a source with many rows. The one shuffle of texts is the global one, by the second hash.
 
 Results for odd input: a NULL source is a source of its own; a NULL or empty text weighs nothing and
 its source's rate applies to it as to others; a source without any text gets rate 0; rows with the
@@ -22,9 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from braidlake.llm.common import free_name
+from braidlake.llm.common import Staged, bind, free_name
 
 PIECE = 16
+FEW_SOURCES = 10_000  # rows of under 1 KB that may be broadcast
 TERMS = 100  # the terms beyond are below 1e-40 for a mean of 16
 
 
@@ -66,24 +68,25 @@ def mix(docs: DataFrame, by_source: DataFrame, seed: int) -> DataFrame:
     """
     copy, copies, order = (free_name(docs, n) for n in ("copy", "n_copies", "shuffle_key"))
     pieces = F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int")
-    table = by_source.select(
-        F.col("source").alias("_source"),
-        pieces.alias("_pieces"),
-        cumulative(F.col("rate") / pieces).alias("_below"),
-    )
+    name, n_pieces, below = (free_name(docs, n) for n in ("rate_source", "rate_pieces", "rate_below"))
+    table = by_source.select(F.col("source").alias(name), pieces.alias(n_pieces), cumulative(F.col("rate") / pieces).alias(below))
+    table = Staged(table, "rates").df
+    if table.count() <= FEW_SOURCES:
+        table = F.broadcast(table)
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    drawn = F.aggregate(
-        F.sequence(F.lit(1), F.col("_pieces")),
-        F.lit(0),
-        lambda n, i: n
-        + F.size(F.filter("_below", lambda c: c < uniform(doc, F.lit(seed), F.lit("n"), i))),
-    )
-    joined = docs.join(table, docs["source"].eqNullSafe(table["_source"]), "inner")
+
+    def one_piece(n: Column, i: Column) -> Column:
+        return n + bind(uniform(doc, F.lit(seed), F.lit("n"), i), lambda u: F.size(F.filter(below, lambda c: c < u)))
+
+    drawn = F.aggregate(F.sequence(F.lit(1), F.col(n_pieces)), F.lit(0), one_piece)
+    joined = docs.join(table, docs["source"].eqNullSafe(table[name]), "inner")
+    # No filter on the count: pushed into the join it would be drawn twice.
+    times = F.when(F.col(copies) > 0, F.sequence(F.lit(1), F.col(copies)))
     return (
         joined.withColumn(copies, drawn)
-        .drop("_source", "_pieces", "_below")
-        .filter(F.col(copies) > 0)
-        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+        .drop(name, n_pieces, below)
+        .withColumn(copy, F.explode_outer(times))
+        .filter(F.col(copy).isNotNull())
         .withColumn(order, F.md5(F.concat_ws(":", doc, F.col(copy).cast("string"), F.lit(f"{seed}:order"))))
         .repartition(F.col(order))
         .sortWithinPartitions(order)
