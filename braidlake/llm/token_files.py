@@ -24,6 +24,7 @@ ids, repeated rows are all written; other columns are not read; an empty table g
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 import zlib
@@ -57,14 +58,17 @@ class TextEncoder:
 
     Pieces end before a space that is followed by something else, where a pre-token always starts,
     so the ids of a text are those of its pieces in a row. New pieces are joined again and encoded
-    as one text; the number of bytes of each id tells where a piece ends.
+    as one text; the number of bytes of each id tells where a piece ends. Texts that hold the string of
+    an added token, and all texts of a tokenizer whose pre-tokens end elsewhere, are encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        # Where these stand in a text the library reads one id; blanks before them are split otherwise.
+        self.added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()} - {""})
+        self.by_pieces = splits_at_spaces(json.loads(self.tokenizer.to_str()))
         self.pieces: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
         size = self.tokenizer.get_vocab_size()
@@ -118,17 +122,20 @@ class TextEncoder:
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""
-        keys = []
-        for t in texts:
+        keys, whole = [], {}
+        for i, t in enumerate(texts):
             if not t:
                 keys.append([])
+            elif not self.by_pieces or any(x in t for x in self.added):
+                keys.append([])
+                whole[i] = self._encode(t).tobytes()
             elif BLANK_AFTER.search(t):
                 keys.append(
                     [p[1:] if p[0] == " " and p[1:2].strip() else " " + p for p in PIECES.split(t) if p]
                 )
             else:
                 k = t.split(" ")
-                k[0] = " " + k[0]
+                k[:1] = [" " + k[0]] if k[0] else []  # nothing before a space at the start
                 keys.append(k)
         held = [list(map(self.pieces.get, ks)) for ks in keys]
         fresh: set[str] = set()
@@ -143,9 +150,18 @@ class TextEncoder:
         if len(self.pieces) + len(new) > CACHED_PIECES:
             self.pieces.clear()
         self.pieces.update((k, v) for k, v in new.items() if len(k) <= CACHED_CHARS)
+        for i, ids in whole.items():
+            out[i] = ids
         return out
 
 
+def splits_at_spaces(spec: dict) -> bool:
+    """True for byte-level tokenizers without a normalizer, whose pattern starts a pre-token at such a space."""
+    steps = spec.get("pre_tokenizer") or {}
+    plain = steps.get("type") == "ByteLevel" and steps.get("use_regex", True) and not steps.get("add_prefix_space")
+    return bool(plain and spec.get("normalizer") is None and spec["model"].get("type") == "BPE")
+
+
 @lru_cache(maxsize=1)
 def text_encoder(path: str) -> TextEncoder:
     return TextEncoder(path)
@@ -369,7 +385,8 @@ def _read(spark: SparkSession, folder: str, with_ids: bool) -> DataFrame:
                         base += len(values)
                         yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return shards.repartition(n, "path").mapInArrow(work, types)
+    # dealt out in turn: a hash of the paths would leave some tasks without a shard
+    return shards.repartitionByRange(n, "path").mapInArrow(work, types)
 
 
 def round_trip(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
