@@ -72,9 +72,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
 
     Alternates the large-star and small-star steps, each a grouping and a join on the node, until
     the links no longer change. Links stay in the shared folder between rounds and are never
-    collected; a hub is pre-aggregated to its minimum before the shuffle, and the join back can be
+    collected; a hub is pre-aggregated to its minimum before the shuffle. The minima are written
+    before they are joined back, so both sides of the join are scans and a hub's links can be
     split. Nodes without a link are not in the result. Once a count has shown that there are few
-    links, the same steps run in one partition, where they need no shuffle.
+    links, a bounded number, the same steps run in one partition, where they need no shuffle.
     """
     spark = edges.sparkSession
     now = Staged(
@@ -87,27 +88,34 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         if stamp == seen or stamp[0] == 0:
             break
         seen = stamp
-        rows = now.df.coalesce(1) if stamp[0] <= FEW_LINKS else now.df
-        both = rows.union(rows.select("v", "u"))
-        both = both.coalesce(1) if stamp[0] <= FEW_LINKS else both
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        few, made = stamp[0] <= FEW_LINKS, []
+
+        def packed(df: DataFrame, few=few) -> DataFrame:
+            return df.coalesce(1) if few else df
+
+        def kept(df: DataFrame, few=few, made=made) -> DataFrame:
+            if few:
+                return df
+            made.append(Staged(df, "links"))
+            return made[-1].df
+
+        rows = packed(now.df)
+        both = packed(rows.union(rows.select("v", "u")))
+        low = kept(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
         # large star: every larger neighbour is linked to the smallest one
-        large = (
-            both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ).filter("u <> v").distinct()
-        large = Staged(large, "links")
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = Staged(large.filter("u <> v").distinct(), "links")
         # small star: the smaller neighbours and the node itself are linked to the smallest one
-        rows = large.df.coalesce(1) if stamp[0] <= FEW_LINKS else large.df
-        least = rows.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
+        rows = packed(large.df)
+        least = kept(rows.groupBy("u").agg(F.min("v").alias("m")))
+        small = packed(
             rows.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.select("u", "m"))
             .filter("u <> v")
-        )
-        small = (small.coalesce(1) if stamp[0] <= FEW_LINKS else small).distinct()
+        ).distinct()
         old, now = now, Staged(small, "links")
-        old.drop()
-        large.drop()
+        for table in (old, large, *made):
+            table.drop()
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     # At rest every node points at its root.
@@ -122,12 +130,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
 Verify = Callable[[DataFrame], DataFrame]
 
 
+def apart(bits: str, other: str) -> Column:
+    """A number that the symmetric difference of two sets is not below: bits that one outline has alone."""
+    return F.aggregate(F.zip_with(bits, other, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+
+
 def connect(
-    members: DataFrame,
-    verify: Verify,
-    alike: float,
-    pivot_rounds: int = 3,
-    unique: Callable[[DataFrame], DataFrame] | None = None,
+    members: DataFrame, verify: Verify, alike: float, outline: Callable[[DataFrame], DataFrame], pivot_rounds: int = 3
 ) -> Staged:
     """Components (node, root) of the links that ``verify`` confirms between members of a bucket.
 
@@ -136,12 +145,12 @@ def connect(
     compared with one pivot of its bucket, the node that meets the most others over all its
     buckets: of a text and its altered copies that is the text itself, which is like all of them
     though they may not be like each other. Buckets that then hold several components get
-    further pivots. Last come all pairs of a bucket that lie in different
-    components, unless sizes or the triangle inequality of distances to the first pivot show that
-    they are less than ``alike`` similar. ``unique`` turns those nodes into (node, u), u elements of a
-    set being in no other set of them: they bound every intersection, so documents that share a
-    passage but hold much of their own are ruled out one by one, not pair by pair. So no link inside a bucket is lost, and a group of like
-    documents costs about one comparison per member instead of all its pairs.
+    further pivots. Last come all pairs of a bucket that lie in different components.
+
+    Pairs are verified only if they can be linked by their sizes and outlines. ``outline`` turns nodes
+    into (node, bits): a bit per element of the set at a hashed place, so every bit that only one
+    of two sets has stands for elements that the other lacks. Sets just below the limit fail that, so they
+    make no rows, however large the group of them; and no link inside a bucket is lost.
     """
     sizes = members.groupBy("key").agg(F.count("*").alias("met")).filter("met > 1")
     meets = members.join(sizes, "key").groupBy("node").agg(F.sum("met").alias("met"))
@@ -149,16 +158,24 @@ def connect(
     weighed = members.join(meets.withColumn("met", F.col("met") + F.pmod(F.xxhash64("node"), F.lit(997)) / 1000), "node")
     first = Staged(
         weighed.groupBy("key")
-        .agg(F.max_by("node", "met").alias("pivot"), F.min("node").alias("m"), F.max("node").alias("x"))
-        .filter("m <> x").select("key", "pivot"),
+        .agg(
+            F.max_by("node", "met").alias("pivot"), F.max_by("n", "met").alias("first_n"),
+            F.min("node").alias("m"), F.max("node").alias("x"),
+        )
+        .filter("m <> x").select("key", "pivot", "first_n"),
         "pivots",
     )
     held = Staged(members.join(first.df, "key"), "members")
     first.drop()
-    pairs = held.df.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    tables = [Staged(verify(pairs), "verified")]
+
+    def sized(n: str, other: str) -> Column:
+        return F.least(n, other) >= alike * F.greatest(n, other) - 1e-9
+
+    pairs = held.df.filter((F.col("node") != F.col("pivot")) & sized("n", "first_n"))
+    tables = [Staged(verify(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()), "verified")]
     judged = tables[0].df
     roots = components(judged.filter("linked"))
+    shapes = None
     for step in range(1, pivot_rounds + 2):
         here = Staged(
             held.df.join(roots.df, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted"
@@ -172,41 +189,33 @@ def connect(
             here.drop()
             break  # every bucket lies in one component
         unsettled = here.df.join(several.df, "key", "left_semi")
+        if shapes is None:  # later rounds have no other nodes
+            shapes = Staged(outline(unsettled.select("node").distinct()), "outlines").df
+        known = judged.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        bits = unsettled.join(shapes, "node")
+        most = (1 - alike) / (1 + alike)  # of the sizes' sum: the largest symmetric difference of linked sets
+
+        def linkable(n: str, other: str, own: str, others: str) -> Column:
+            return sized(n, other) & (apart(own, others) <= most * (F.col(n) + F.col(other)) + 1e-9)
+
         if step <= pivot_rounds:
             draw = F.xxhash64("node", F.lit(step))
             chosen = unsettled.groupBy("key").agg(*[F.min_by(c, draw).alias(f"p_{c}") for c in ("node", "root", "n")])
+            chosen = chosen.join(shapes.select(F.col("node").alias("p_node"), F.col("bits").alias("p_bits")), "p_node")
             pairs = (
-                unsettled.join(chosen, "key")
-                .filter("root <> p_root")
-                .filter(F.least("n", "p_n") >= alike * F.greatest("n", "p_n"))
+                bits.join(chosen, "key").filter("root <> p_root")
+                .filter(linkable("n", "p_n", "bits", "p_bits"))
                 .select(F.least("p_node", "node").alias("a"), F.greatest("p_node", "node").alias("b"))
             )
         else:
-            far = judged.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "far")
-            placed = (
-                unsettled.join(far, ["pivot", "node"], "left")
-                .withColumn("far", F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(F.col("far")))
-                .select("key", "node", "root", "n", "far")
-                .withColumn("held", F.col("n"))
-            )
-            for _ in range(3 if unique is not None else 0):
-                # Those ruled out hold elements that the others then have for themselves.
-                alone = unique(placed.select("node").distinct())
-                lone = F.col("n") - F.coalesce("u", F.lit(0))
-                rest = placed.drop("held").join(alone, "node", "left").withColumn("held", lone).drop("u")
-                tables.append(Staged(rest.filter(F.col("held") >= alike * F.col("n") - 1e-9), "left"))
-                placed = tables[-1].df
-            other = placed.select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "root", "n", "far", "held")])
-            most = F.least("held", "o_held")
+            mine = bits.select("key", "node", "root", "n", "bits")
+            other = mine.select("key", *[F.col(c).alias(f"o_{c}") for c in ("node", "root", "n", "bits")])
             pairs = (
-                placed.join(other, "key")
+                mine.join(other, "key")
                 .filter((F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")))
-                .filter(most >= alike * (F.col("n") + F.col("o_n") - most) - 1e-9)
-                .filter(F.least("n", "o_n") >= alike * F.greatest("n", "o_n"))
-                .filter(F.abs(F.col("far") - F.col("o_far")) <= 1 - alike + 1e-9)
+                .filter(linkable("n", "o_n", "bits", "o_bits"))
                 .select(F.col("node").alias("a"), F.col("o_node").alias("b"))
             )
-        known = judged.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         fresh = Staged(pairs.distinct().join(known, ["a", "b"], "left_anti"), "pairs")
         here.drop()
         if fresh.df.limit(1).count():
@@ -301,6 +310,20 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * down[start])
 
 
+OUTLINE_WORDS = 64  # of 64 bits each
+
+
+def outlines(sets: list[np.ndarray]) -> pa.Array:
+    """An array of OUTLINE_WORDS words per set of hashes, with a bit per element."""
+    out = np.zeros((len(sets), OUTLINE_WORDS), np.uint64)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    flat = mix(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
+    word = (flat >> np.uint64(6)) % np.uint64(OUTLINE_WORDS)
+    np.bitwise_or.at(out, (row, word.astype(np.int64)), np.uint64(1) << (flat & np.uint64(63)))
+    at = pa.array(np.arange(0, out.size + 1, OUTLINE_WORDS, dtype=np.int32))
+    return pa.ListArray.from_arrays(at, pa.array(out.ravel().view(np.int64)))
+
+
 def windows_hash(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` words."""
     n = len(hashes) - width + 1

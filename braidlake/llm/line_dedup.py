@@ -1,16 +1,17 @@
 """Near-duplicate lines by MinHash over the whole corpus, in built-in functions only.
 
 Two lines are linked if the Jaccard similarity of their character shingles (every run of ``chars``
-characters; a shorter line is its own shingle) is at least ``alike``. The signature of every line has
-the minima of all its shingles, each under a hash of its own, so the chance of a common minimum is
-the similarity itself: with 12 bands of 2 a pair at 0.8 is missed with probability
-(1 - 0.8^2)^12 = 4.7e-6. Each distinct line is sketched once. All shingles decide in the end.
+characters; a shorter line is its own shingle) is at least ``alike``. The signature of a line has
+the minima of all its shingles' hashes, each under an exclusive-or with a constant of its own, so the chance of
+a common minimum is the similarity itself: with 18 bands of 4 a pair at 0.8 is missed with
+probability (1 - 0.8^4)^18 = 7.6e-5. Each distinct line is sketched once. All shingles decide in the end.
 
-Equal lines are one class from the start, told apart by two 64-bit hashes. Links become components by
-``components``; of each component the line with the smallest (doc_id, text hash, line number) stays.
+Equal lines are one class from the start, told apart by two 64-bit hashes; of different lines that share
+the first hash by chance only those with the smaller second one are compared with others. Links become
+components by ``components``; of each component the line with the smallest (doc_id, text hash, line number) stays.
 
-Only lines with ``least_chars`` characters besides outer blanks are compared; blank and short lines
-stay, since layout repeats by nature.
+Every line with a word takes part: one that is shorter than a shingle is like its equals only. Lines
+without a word stay, since layout repeats by nature.
 
 Results for odd input: NULL and empty texts come back as they are; texts and lines of any length count
 in full; repeated rows keep and lose the same lines; NULL doc_ids come first in the order; other
@@ -25,17 +26,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from braidlake.llm.common import Staged, bind, connect, free_name, possible_hits
+from braidlake.llm.common import OUTLINE_WORDS, Staged, bind, connect, free_name, possible_hits
+
+WORD = r"[^\x20\x09-\x0D]"
+PIECE = 64  # shingles that begin in one piece of a line
 
 
 @dataclass(frozen=True)
 class Settings:
-    chars: int = 12
+    chars: int = 8
     alike: float = 0.8
-    bands: int = 12
-    rows: int = 2
-    least_chars: int = 16
+    bands: int = 18
+    rows: int = 4
     pivot_rounds: int = 2
+    node_bits: int = 64  # of the first hash; fewer in tests
 
 
 def constants(n: int) -> list[int]:
@@ -50,38 +54,64 @@ def constants(n: int) -> list[int]:
     return out
 
 
-def pieces(line: Column, chars: int) -> Column:
-    """All shingles of a line, in time linear in its length."""
-    every = F.regexp_extract_all(line, F.lit(r"(?s)(?=(.{%d}))" % chars), F.lit(1))
-    return F.when(F.length(line) < chars, F.array(line)).otherwise(every)
+def each_shingle(lines: DataFrame, chars: int) -> DataFrame:
+    """(node, h): a hash of every shingle of (node, line), repeated ones included.
+
+    A line is cut into pieces that overlap by a shingle, in time linear in its length; in a piece the
+    shingles are read by position. Shingles are rows, which is compiled code, where array functions are interpreted.
+    """
+    cut = r"(?s)(?=(.{1,%d})).{1,%d}" % (PIECE + chars - 1, PIECE)
+    line = F.col("line")
+    short = F.length(line) < chars
+    pieces = F.when(short, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(cut), F.lit(1)))
+    rows = lines.select("node", F.explode(pieces).alias("piece"), short.alias("short"))
+    starts = F.least(F.length("piece") - chars + 1, F.lit(PIECE))
+    starts = F.when(F.col("short"), 1).otherwise(starts)  # the last piece may hold no shingle
+    rows = rows.withColumn("starts", starts).filter("starts > 0")
+    rows = rows.select("node", "piece", F.explode(F.sequence(F.lit(1), F.col("starts"))).alias("at"))
+    return rows.select("node", F.xxhash64(F.substr("piece", F.col("at"), F.lit(chars))).alias("h"))
 
 
 def shingles(line: Column, chars: int) -> Column:
     """Hashes of all distinct shingles of a line."""
-    return F.array_distinct(F.transform(pieces(line, chars), lambda x: F.xxhash64(x)))
+    every = F.regexp_extract_all(line, F.lit(r"(?s)(?=(.{%d}))" % chars), F.lit(1))
+    pieces = F.when(F.length(line) < chars, F.array(line)).otherwise(every)
+    return F.array_distinct(F.transform(pieces, lambda x: F.xxhash64(x)))
 
 
 def bands(lines: DataFrame, s: Settings) -> DataFrame:
-    """(node, bands): the band keys of every distinct (node, line).
-
-    Shingles are rows while minima are taken: compiled code, where array functions are interpreted.
-    Lines are dealt by node before, so minima are shuffled no more.
-    """
-    once = lines.groupBy("node").agg(F.min("line").alias("line"))
-    each = once.select("node", F.explode(pieces(F.col("line"), s.chars)).alias("piece"))
-    each = each.select("node", F.xxhash64("piece").alias("h"))
-    total = s.bands * s.rows
-    least = each.groupBy("node").agg(*[F.min(F.xxhash64(F.lit(i), "h")).alias(f"m{i}") for i in range(total)])
+    """(node, bands): the band keys of every distinct (node, line), lines dealt by node before."""
+    least = each_shingle(lines, s.chars).groupBy("node").agg(
+        *[F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{i}") for i, c in enumerate(constants(s.bands * s.rows))]
+    )
     keys = [F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * s.rows, (b + 1) * s.rows)]) for b in range(s.bands)]
     return least.select("node", F.array(*keys).alias("bands"))
 
 
-def lines_of(docs: DataFrame, s: Settings) -> DataFrame:
-    """(doc_id, mark, no, line) of every line that is compared."""
+def outlined(nodes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """(node, bits): a bit per shingle of every node's line."""
+    each = each_shingle(texts.join(nodes, "node", "left_semi").select("node", "line"), s.chars)
+    word, bit = F.pmod(F.shiftright("h", 6), F.lit(OUTLINE_WORDS)), F.expr("shiftleft(1L, cast(h & 63 as int))")
+    words = each.groupBy("node").agg(
+        *[F.coalesce(F.bit_or(F.when(word == i, bit)), F.lit(0).cast("long")).alias(f"b{i}") for i in range(OUTLINE_WORDS)]
+    )
+    return words.select("node", F.array(*[f"b{i}" for i in range(OUTLINE_WORDS)]).alias("bits"))
+
+
+def hashed(line: Column, s: Settings) -> tuple[Column, Column]:
+    """The two hashes of a line."""
+    first = F.xxhash64(line)
+    if s.node_bits < 64:
+        first = F.pmod(first, F.lit(1 << s.node_bits))
+    return first, F.xxhash64(F.lit("second"), line)
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, no, line) of every line with a word."""
     text = F.col("text").cast("string")
     return (
         docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("mark"), F.posexplode(F.split(text, "\n")).alias("no", "line"))
-        .filter(F.length(F.trim("line")) >= s.least_chars)
+        .filter(F.col("line").rlike(WORD))
     )
 
 
@@ -101,44 +131,56 @@ def verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 
 def removed(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """(doc_id, mark, mask): a character per line of the document, '1' where the line goes."""
-    found = lines_of(docs, s)
-    rows = Staged(
-        found.select(
-            "doc_id", "mark", "no",
-            F.xxhash64("line").alias("node"),
-            F.xxhash64(F.lit("second"), "line").alias("check"),
-        ),
-        "lines",
-    )
-    # Of lines that share a first hash by chance only those with the smaller second one take part.
+    found = lines_of(docs)
+    node, check = hashed(F.col("line"), s)
+    named = found.select("doc_id", "mark", "no", node.alias("node"), check.alias("check"), "line")
+    rows = Staged(named.drop("line"), "lines")
     place = F.struct("doc_id", "mark", "no")
     classes = Staged(
         rows.df.groupBy("node", "check").agg(F.min(place).alias("first"), F.count("*").alias("times")), "classes"
     )
-    again = found.select(F.xxhash64("line").alias("node"), "line")
-    sketches = Staged(bands(again, s), "sketches")
+    # Lines that share a first hash: the one with the smallest second hash stands for the node.
+    clash = classes.df.groupBy("node").agg(F.min("check").alias("least"), F.max("check").alias("x")).filter("least <> x")
+    clash = Staged(clash.select("node", "least"), "clashes")
+
+    def of_nodes(lines: DataFrame) -> DataFrame:
+        return lines.groupBy("node").agg(F.min_by("line", "check").alias("line"))
+
+    long_ones = named.filter(F.length("line") >= s.chars).select("node", "check", "line")
+    sketches = Staged(bands(of_nodes(long_ones), s), "sketches")
     band_rows = sketches.df.select("node", F.explode("bands").alias("key"))
     shared = (
         band_rows.groupBy("key").agg(F.min("node").alias("m"), F.max("node").alias("x")).filter("m <> x").select("key")
     )
+    shared = Staged(shared, "shared")
     members = Staged(
-        possible_hits(band_rows, "key", shared, "key").distinct().join(shared, "key", "left_semi"), "bands"
-    )
-    wanted = members.df.select("node").distinct()
-    texts = Staged(
-        possible_hits(again, "node", wanted, "node")
-        .groupBy("node").agg(F.min("line").alias("line"))
-        .join(wanted, "node", "left_semi"),
-        "texts",
+        possible_hits(band_rows, "key", shared.df, "key").distinct().join(shared.df, "key", "left_semi"), "bands"
     )
+    shared.drop()
+    sketches.drop()
+    wanted = Staged(members.df.select("node").distinct(), "wanted")
+    texts = of_nodes(possible_hits(long_ones, "node", wanted.df, "node")).join(wanted.df, "node", "left_semi")
+    texts = Staged(texts.withColumn("n", F.size(shingles(F.col("line"), s.chars))), "texts")
     roots = connect(
-        members.df.withColumn("n", F.lit(1)), lambda pairs: verify(pairs, texts.df, s), s.alike, s.pivot_rounds
+        members.df.join(texts.df.select("node", "n"), "node"),
+        lambda pairs: verify(pairs, texts.df, s),
+        s.alike,
+        lambda left: outlined(left, texts.df, s),
+        s.pivot_rounds,
     )
-    for table in (members, texts, sketches):
+    for table in (members, texts, wanted):
         table.drop()
-    rooted = classes.df.join(roots.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    stays = rooted.groupBy("root").agg(F.min("first").alias("stays"), F.sum("times").alias("times")).filter("times > 1")
-    doomed = Staged(rooted.drop("times").join(stays, "root").select("node", "check", "stays"), "doomed")
+    # A line that does not stand for its node is a component of its own with its equals.
+    alone = F.when(F.col("check") != F.col("least"), F.col("check"))
+    rooted = (
+        classes.df.join(clash.df, "node", "left").withColumn("alone", alone)
+        .join(roots.df, "node", "left")
+        .withColumn("root", F.when(F.col("alone").isNull(), F.coalesce("root", "node")).otherwise(F.col("node")))
+        .withColumn("alone", F.coalesce("alone", F.lit(0).cast("long")))
+        .select("node", "check", "first", "times", "root", "alone")
+    )
+    stays = rooted.groupBy("root", "alone").agg(F.min("first").alias("stays"), F.sum("times").alias("times")).filter("times > 1")
+    doomed = Staged(rooted.drop("times").join(stays, ["root", "alone"]).select("node", "check", "stays"), "doomed")
     gone = (
         possible_hits(rows.df.select("doc_id", "mark", "no", "node", "check"), "node", doomed.df, "node")
         .join(doomed.df, ["node", "check"])
@@ -149,25 +191,24 @@ def removed(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     before = lambda i: F.when(i == 0, -1).otherwise(F.get("at", i - 1))
     mask = F.transform("at", lambda x, i: F.concat(F.repeat(F.lit("0"), x - before(i) - 1), F.lit("1")))
     out = Staged(gone.select("doc_id", "mark", F.array_join(mask, "").alias("mask")), "masks")
-    for table in (rows, classes, roots, doomed):
+    for table in (rows, classes, clash, roots, doomed):
         table.drop()
     return out.df
 
 
 def dedup(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """The documents without the lines that go, and the counts n_lines and n_removed."""
-    masks = removed(docs, s).select(F.col("doc_id").alias("_d"), F.col("mark").alias("_m"), "mask")
+    d, m, k = (free_name(docs, n) for n in ("line_doc", "line_mark", "line_mask"))
+    masks = removed(docs, s).select(F.col("doc_id").alias(d), F.col("mark").alias(m), F.col("mask").alias(k))
     n_lines, n_removed = free_name(docs, "n_lines"), free_name(docs, "n_removed")
     text = F.col("text").cast("string")
-    joined = docs.join(
-        masks, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(text) == F.col("_m")), "left"
-    )
-    bits = F.encode("mask", "US-ASCII")
+    joined = docs.join(masks, F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.xxhash64(text) == F.col(m)), "left")
+    bits = F.encode(k, "US-ASCII")
     split = F.split(text, "\n")
     kept = F.filter(split, lambda _, i: ~F.substr(bits, i + 1, F.lit(1)).eqNullSafe(F.lit(b"1")))
     return (
         joined.withColumn(n_lines, F.coalesce(F.size(split), F.lit(0)))
-        .withColumn(n_removed, F.coalesce(F.length(F.translate("mask", "0", "")), F.lit(0)))
-        .withColumn("text", F.when(F.col("mask").isNull(), text).otherwise(F.array_join(kept, "\n")))
-        .drop("_d", "_m", "mask")
+        .withColumn(n_removed, F.coalesce(F.length(F.translate(k, "0", "")), F.lit(0)))
+        .withColumn("text", F.when(F.col(k).isNull(), text).otherwise(F.array_join(kept, "\n")))
+        .drop(d, m, k)
     )

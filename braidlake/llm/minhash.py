@@ -8,8 +8,8 @@ concentration of independent minima, at the cost of a few rounds for large sets.
 
 Bands of coordinates propose links. In a band's bucket members are compared with a pivot first, on
 their full sets; members already connected need no further comparison, and what is left between
-components of a bucket is compared pair by pair unless the triangle inequality of the Jaccard
-distance, or the sizes, rule a link out. So a group of thousands of copies costs about one
+components of a bucket is compared pair by pair unless the sizes or outlines (a bit per element) of the sets
+rule a link out. So a group of thousands of copies costs about one
 comparison per member, and no link between members of one bucket is lost. With 32 bands of 5 a pair at
 the limit of 0.8 shares a bucket with probability 1 - 3e-6.
 
@@ -42,6 +42,7 @@ from braidlake.llm.common import (
     hash_words,
     map_text,
     mix,
+    outlines,
     possible_hits,
     windows_hash,
 )
@@ -178,19 +179,15 @@ def verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     return with_a.select("a", "b", "ta", "tb").mapInArrow(work, PAIR)
 
 
-def lonely(nodes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """(node, u): how many shingles of a node no other of these nodes has."""
+def outlined(nodes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """(node, bits): the outline of every node's set."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch["text"].to_pylist(), s.words)
-        row = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
-        flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(flat), batch["node"].take(row)], names=["shingle", "node"])
+        return pa.RecordBatch.from_arrays([batch["node"], outlines(sets)], names=["node", "bits"])
 
-    schema = T.StructType([T.StructField("shingle", T.LongType()), T.StructField("node", T.LongType())])
-    each = map_text(texts.join(nodes, "node", "left_semi").select("node", "text"), "text", schema, work)
-    once = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1")
-    return once.groupBy("node").agg(F.count("*").alias("u"))
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("bits", T.ArrayType(T.LongType()))])
+    return map_text(texts.join(nodes, "node", "left_semi").select("node", "text"), "text", schema, work)
 
 
 # ---------------------------------------------------------------- grouping
@@ -226,8 +223,8 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         members.df,
         lambda pairs: verify(pairs, texts.df, s),
         s.percent / 100,
+        lambda left: outlined(left, texts.df, s),
         s.pivot_rounds,
-        lambda left: lonely(left, texts.df, s),
     )
     members.drop()
     texts.drop()

@@ -10,12 +10,12 @@ WITH RECURSIVE lines AS (
            generate_subscripts(string_split(text, chr(10)), 1) AS no
     FROM documents
 ), compared AS (
-    SELECT *, dense_rank() OVER (ORDER BY line) AS node FROM lines WHERE length(trim(line)) >= 16
+    SELECT *, dense_rank() OVER (ORDER BY line) AS node FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), classes AS (
     SELECT node, any_value(line) AS line, min((doc_id, no)) AS first FROM compared GROUP BY node
 ), shingles AS (
-    SELECT DISTINCT node, hash(substr(line, i, 12)) AS s
-    FROM (SELECT node, line, unnest(range(1, greatest(1, length(line) - 11) + 1)) AS i FROM classes)
+    SELECT DISTINCT node, hash(substr(line, i, 8)) AS s
+    FROM (SELECT node, line, unnest(range(1, greatest(1, length(line) - 7) + 1)) AS i FROM classes)
 ), sizes AS (
     SELECT node, count(*) AS n FROM shingles GROUP BY node
 ), links AS (

@@ -5,7 +5,11 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, mark string, copy int, kept string, n_lines int"
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, mark string, copy int, kept string, n_lines int,"
+    " mask string, _m int, _d int, _below int, node string, `key` string"
+)
+MORE = ("x", 1, 2, 3, "n", "k")
 
 
 def documents(seed: int = 3) -> list[tuple]:
@@ -36,15 +40,16 @@ def documents(seed: int = 3) -> list[tuple]:
         texts.append(" ".join(w))
     texts += [base[0], base[1]]  # exact copies
     texts += [f"{text(30)} {passage} {text(20)}" for _ in range(4)]
+    texts += [f"Read more\n{text(25)}\nok" for _ in range(3)]
     texts += [None, "", " \n\t ", "one two three", "one two three", "ÉCOLE école É 漢字 漢字"]
     texts += [text(6000), "a" * 3000, "x" * 40 + " " + "y" * 2000]
     texts += ["good | junk | " * 30, "same eight words come again in every window " * 12]
     rows = [
-        (i, t, ["en", "fr", None][i % 3], ["s0", "s0", "s1", None][i % 4], len(t or ""), "m", 9, "k", 1)
+        (i, t, ["en", "fr", None][i % 3], ["s0", "s0", "s1", None][i % 4], len(t or ""), "m", 9, "k", 1, *MORE)
         for i, t in enumerate(texts)
     ]
     rows.append(rows[2])  # a repeated row
-    rows.append((None, base[3], "en", "s1", 5, "m", 9, "k", 1))  # no id, text of document 3
+    rows.append((None, base[3], "en", "s1", 5, "m", 9, "k", 1, *MORE))  # no id, text of document 3
     rng.shuffle(rows)
     return rows
 
@@ -106,13 +111,13 @@ def repeats_removed(rows, width=50):
     return out
 
 
-def lines_kept(rows, chars=12, alike=0.8, least=16):
+def lines_kept(rows, chars=8, alike=0.8):
     """Texts without the near-copies of earlier lines, in the order (doc_id with NULL first, line)."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
     found = {}
     for i in order:
         for no, line in enumerate((rows[i][1] or "").split("\n")):
-            if len(line.strip(" ")) >= least:
+            if line.encode().split():
                 found.setdefault(line, []).append((rows[i][0], rows[i][1], no))
     held = list(found)
     sets = [{x[i : i + chars] for i in range(max(1, len(x) - chars + 1))} for x in held]

@@ -54,7 +54,6 @@ def test_token_files_read_back_what_the_library_encodes(docs, empty):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     ids = [(r[0], t.encode(r[1] or "", add_special_tokens=False).ids + [2]) for r in ROWS]
     out = token_files.round_trip(docs, JSON, 2).collect()
     assert sorted([(r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in out], key=fx.key) == sorted(
@@ -69,6 +68,18 @@ def test_token_files_read_back_what_the_library_encodes(docs, empty):
     assert token_files.round_trip(empty, JSON, 2).count() == 0
 
 
+def test_added_tokens_are_read_as_the_library_reads_them():
+    from tokenizers import Tokenizer
+
+    t, e = Tokenizer.from_file(JSON), token_files.TextEncoder(JSON)
+    assert e.added and e.by_pieces
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["a", " ", "b c", *e.added, "\n", "é", ". "]) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    texts += [f"a {e.added[0]} b", e.added[0], f" {e.added[0]}", None]
+    for text, ids in zip(texts, e.encode_all(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text or "", add_special_tokens=False).ids, text
+
+
 def test_coding_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 3, 4, 5, 1000):
@@ -138,6 +149,29 @@ def test_line_dedup_equals_brute_force(docs, empty):
     assert line_dedup.dedup(empty).count() == 0
 
 
+def test_lines_that_share_a_hash_are_told_apart(spark, docs):
+    """With a first hash of two bits every line clashes: equal lines go, different ones never do by it."""
+    out = {(r["doc_id"], r["n_chars"]): r["text"] for r in line_dedup.dedup(docs, line_dedup.Settings(node_bits=2)).collect()}
+    equal = fx.lines_kept(ROWS, alike=1.0)
+    for (doc, text), row in zip(equal, ROWS):
+        mine = out[doc, row[4]]
+        if text is None:
+            assert mine is None
+        else:
+            lost = Counter(text.split("\n")) - Counter(mine.split("\n"))
+            fuzzy = dict(fx.lines_kept(ROWS)).get(doc)
+            assert not lost - (Counter(text.split("\n")) - Counter((fuzzy or "").split("\n"))), doc
+
+
+def test_short_lines_and_single_words(spark):
+    rows = [(1, "Read more\nalpha beta gamma delta epsilon zeta eta theta"), (2, "Read more\n \nother"), (3, "Read more\n\nok\n \nok")]
+    rows += [(4, "alpha beta gamma delta epsilon zeta eta thetas")]
+    out = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got(out, "doc_id", "text", "n_removed") == [
+        (1, rows[0][1], 0), (2, " \nother", 1), (3, "\nok\n ", 2), (4, "", 1),
+    ]
+
+
 def test_long_lines_and_scripts_without_spaces(spark):
     han = "".join(chr(0x4E00 + i) for i in range(300))
     rows = [(1, han, "en"), (2, han[:150] + "x" + han[151:], "en"), (3, "z" * 50_000, "en"), (4, "z" * 50_000, "en")]
@@ -297,6 +331,15 @@ def test_mixing_follows_the_rates(spark, empty):
     assert mixing.mix(empty, mixing.rates(empty, F.length("text")), 1).count() == 0
 
 
+def test_mixing_shuffles_texts_once_and_draws_once(spark, docs):
+    out = mixing.mix(docs, mixing.rates(docs, F.length("text")), 1)
+    assert set(docs.columns) < set(out.columns)
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("aggregate(sequence") == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
 def test_poisson_counts_have_the_right_shape(spark):
     docs = spark.range(20000).selectExpr("id AS doc_id", "'a' AS source")
     rates = spark.createDataFrame([("a", 1.0)], "source string, rate double")

@@ -209,8 +209,8 @@ def audited():
         n = rng.choice([0, 3, 20, 60])
         text = " ".join(rng.choice(["The", "the", "of", "Été", "été", "漢字", "x1y", "don't", "naïve-ly", "w%d" % rng.randrange(30)]) for _ in range(n))
         source = "hot" if rng.random() < 0.4 else rng.choice(["a", "b", "ü", "z", None, ""])
-        rows.append((i, text, rng.choice(["en", "en", "de", "xx", ""]), source, 0, "m", 1, "k", 1))
-    rows.append((1, "alone", "only", "one", 0, "m", 1, "k", 1))
+        rows.append((i, text, rng.choice(["en", "en", "de", "xx", ""]), source, 0, "m", 1, "k", 1, *fx.MORE))
+    rows.append((1, "alone", "only", "one", 0, "m", 1, "k", 1, *fx.MORE))
     return rows
 
 
@@ -232,7 +232,7 @@ def test_audit_equals_plain_counts(spark, s):
 
 def test_audit_of_nothing(spark):
     assert divergence.audit(spark.createDataFrame([], fx.SCHEMA)).count() == 0
-    rows = [(1, None, None, None, 0, "m", 1, "k", 1), (2, "", "", "s", 0, "m", 1, "k", 1)]
+    rows = [(1, None, None, None, 0, "m", 1, "k", 1, *fx.MORE), (2, "", "", "s", 0, "m", 1, "k", 1, *fx.MORE)]
     out = divergence.audit(spark.createDataFrame(rows, fx.SCHEMA)).collect()
     assert sorted(tuple(r) for r in out) == [("", "", "pair", "s", 0, 1), ("", "s", "pair", "", 0, 1)]
 
