@@ -26,7 +26,8 @@ def asof_latest(
     by ``tie_break``. Rows without a match keep NULLs; left rows without a key or a time cannot
     match and are passed by, so they are never gathered anywhere.
 
-    Both sides are first reduced to one row per key and instant. The instants are read in time
+    Both sides are stacked and reduced to one row per key and instant, in one grouping: the newest
+    right row of the instant, and whether a left row asks for it. The instants are read in time
     order per (key, hour), so a key that holds all rows of a day still has 24 groups, and a group
     has no more rows than an hour has instants. What an hour inherits from earlier ones is the
     newest right row of each hour, found by a window over a table of one row per key and hour.
@@ -34,34 +35,26 @@ def asof_latest(
     has many of them. No pairs of rows are formed.
     """
     held = F.struct(*dict.fromkeys([right_ts, *tie_break, *payload]))
-    newest = (
-        right.dropna(subset=[*keys, right_ts])
-        .select(*keys, F.col(right_ts).alias("_ts"), held.alias("_held"))
-        .groupBy(*keys, "_ts")
-        .agg(F.max("_held").alias("_held"))
-        .withColumn("_side", F.lit(1 if strict else 0))
-    )
     known = F.col(left_ts).isNotNull()
     for k in keys:
         known = known & F.col(k).isNotNull()
-    asked = (
-        left.filter(known)
-        .select(*keys, F.col(left_ts).alias("_ts"))
-        .distinct()
-        .withColumn("_side", F.lit(0 if strict else 1))
-    )
-    stacked = asked.unionByName(newest, allowMissingColumns=True).withColumn(
-        "_hour", F.date_trunc("HOUR", F.col("_ts"))
+    asking = left.filter(known).select(*keys, F.col(left_ts).alias("_ts"), F.lit(True).alias("_asked"))
+    telling = right.dropna(subset=[*keys, right_ts]).select(*keys, F.col(right_ts).alias("_ts"), held.alias("_held"))
+    instants = (
+        asking.unionByName(telling, allowMissingColumns=True)
+        .groupBy(*keys, "_ts")
+        .agg(F.max("_held").alias("_held"), F.max("_asked").alias("_asked"))
+        .withColumn("_hour", F.date_trunc("HOUR", F.col("_ts")))
     )
     group = [*keys, "_hour"]
     inside = (
         Window.partitionBy(*group)
-        .orderBy("_ts", "_side")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .orderBy("_ts")
+        .rowsBetween(Window.unboundedPreceding, -1 if strict else Window.currentRow)
     )
     found = (
-        stacked.withColumn("_hit", F.last("_held", ignorenulls=True).over(inside))
-        .filter(F.col("_held").isNull())
+        instants.withColumn("_hit", F.last("_held", ignorenulls=True).over(inside))
+        .filter("_asked")
         .select(*group, "_ts", "_hit")
     )
     earlier = (
@@ -69,7 +62,7 @@ def asof_latest(
         .orderBy("_hour")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    per_hour = stacked.groupBy(*group).agg(F.max("_held").alias("_held"))
+    per_hour = instants.groupBy(*group).agg(F.max("_held").alias("_held"))
     carried = per_hour.select(
         *[F.col(c).alias(f"_c_{c}") for c in group],
         F.last("_held", ignorenulls=True).over(earlier).alias("_carry"),
@@ -116,7 +109,7 @@ def freeze_snapshot(df: DataFrame, keys: Sequence[str], created: str, freeze: st
     Rows without a freeze date are dropped.
     """
     asked = df.select(*keys, freeze).dropna().distinct()
-    known = df.select(*keys, created).dropna().distinct()
+    known = df.select(*keys, created)
     frozen = asof_latest(
         asked, known.withColumn("_frozen", F.col(created)), keys, freeze, created, ["_frozen"],
         strict=True,

@@ -402,7 +402,7 @@ SQL_VERSIONS = """
               fim_text DESC) AS rn
             FROM (SELECT *, CASE WHEN cur THEN 'H' WHEN unit < 12 THEN 'BR' ELSE 'AC' END || unit
                   AS place FROM raw)) WHERE rn = 1),
-    v AS (SELECT ordem, op, ordem::VARCHAR || op AS id, cur, unit, start, created, mrel, st, fim, pm,
+    v AS (SELECT ordem, op, ordem::VARCHAR || op AS id, cur, unit, start, created, mrel, st, fim, pm, kind, item,
             p_size, CASE WHEN cur THEN 'H' ELSE 'E' END || kind AS sk_kind,
             CASE WHEN o_totalprice > 400000 THEN 1 ELSE 0 END AS exc, coalesce(loc, '-1') AS loc,
             CASE WHEN place LIKE 'BR%' THEN CASE WHEN loc IS NULL THEN NULL
@@ -435,20 +435,34 @@ SQL_VERSIONS = """
             AND cl.cur = s.cur AND cl.loc = s.loc) WHERE r = 1),
     k AS (SELECT *, mrel = 0 AND sk_kind NOT IN ('E210') AS keep,
             cur AND fim > CAST(strftime(fz, '%Y%m%d') AS INT) AS late FROM fi)
-    SELECT id AS "ID_ORDEM_OPERACAO", strftime(pm, '%Y%m') AS "MES_P3M", unit AS "SK_UNIDADE",
+    SELECT k.id AS "ID_ORDEM_OPERACAO", strftime(k.pm, '%Y%m') AS "MES_P3M", k.unit AS "SK_UNIDADE",
            sk_kind AS "SK_TIPO_ATIVIDADE_MANUTENCAO", CASE WHEN cur THEN 'HANA' ELSE 'ECC' END
            AS "ORIGEM", exc AS "FLAG_EXPURGO", fz::VARCHAR AS "DATA_CONGELAMENTO_BASE",
            closed::VARCHAR AS "CREATED_DATE_HZ_FECHAMENTO", p_size % 10 AS "SK_IMPACTO_RISCO",
            CASE WHEN keep THEN NULL ELSE start::VARCHAR END AS "DATA_INICIO_BASE",
+           CASE WHEN keep THEN NULL ELSE k.created::VARCHAR END AS "CREATED_DATE_HZ",
            coalesce((SELECT max(p_size) FROM part WHERE rpad(p_size::VARCHAR, 5, '0') = area), -1)
-           AS "SK_AREA"
-    FROM k WHERE (keep AND start <= DATE '1999-05-25') OR (late AND NOT
+           AS "SK_AREA",
+           ordem AS "ORDEM", op AS "OPERACAO", 'PM01' AS "Chave_Controle", NULL AS "Tipo_Ordem",
+           k.st AS "Status_Operacao", CASE WHEN mrel = 1 THEN 'ABER MREL' ELSE 'ABER' END AS "Status_sistema",
+           item AS "ITEM_MANUTENCAO", NULL AS "SUB_OPERACAO", NULL AS "SK_PLANO_MANUTENCAO",
+           kind AS "TIPO_ATIVIDADE_MANUTENCAO", NULL AS "Num_Pessoal_Planejado", fim AS "SK_DATA_FIM_REAL",
+           -1 AS "SK_HORA_FIM_REAL", -1 AS "SK_DATA_ENTRADA",
+           CAST(strftime(start, '%Y%m%d') AS INT) AS "SK_DATA_INICIO_BASE",
+           CASE WHEN k.st = 'REL CONF' THEN CAST(strftime(k.created, '%Y%m%d') AS INT) ELSE -1 END AS "SK_DATA_CONFIRMADO_EM",
+           -1 AS "SK_DATA_PLANEJADA", mrel AS "MREL_FLAG",
+           CASE WHEN kind = 300 THEN 'Plano Manutenção' ELSE 'Corretiva' END AS "DSC_TIPO_ATIVIDADE",
+           'SF' AS "SK_RISCO", loc AS "SK_LOCAL_INSTALACAO", 'Não Informado' AS "TEXTO_BREVE_OPERACAO",
+           -1 AS "SK_CENTRO_TRABALHO_RESPONSAVEL", -1 AS "SK_CENTRO_TRABALHO_OPERACAO",
+           'Não Informado' AS "TEXTO_BREVE", NULL AS "INCREMENTAL_DATE", k.closing::VARCHAR AS "DATA_FECHAMENTO_BASE",
+           c.st AS "STATUS_FECHAMENTO",
+           CASE WHEN c.st IS NULL THEN NULL WHEN c.st LIKE '%CONF%' OR c.st LIKE '%CNF%' THEN 1 ELSE 0 END
+           AS "STATUS_FECHAMENTO_FLAG"
+    FROM k LEFT JOIN (SELECT id, created, max(st) AS st FROM v GROUP BY 1, 2) c ON c.id = k.id AND c.created = k.closed
+    WHERE (keep AND start <= DATE '1999-05-25') OR (late AND NOT
          (keep AND start <= DATE '1999-05-25'))
     """,
 )
 def maintenance_fact_query(t: Tables):
-    return maintenance_fact(sample_inputs(t), SAMPLE_RUN, staged=True).select(
-        "ID_ORDEM_OPERACAO", "MES_P3M", "SK_UNIDADE", "SK_TIPO_ATIVIDADE_MANUTENCAO", "ORIGEM",
-        "FLAG_EXPURGO", "DATA_CONGELAMENTO_BASE", "CREATED_DATE_HZ_FECHAMENTO", "SK_IMPACTO_RISCO",
-        "DATA_INICIO_BASE", "SK_AREA",
-    )
+    # The priority is a hash that SQL does not have; the sub-area follows the rules of the area.
+    return maintenance_fact(sample_inputs(t), SAMPLE_RUN, staged=True).drop("SK_PRIORIDADE", "SK_SUBAREA")

@@ -297,7 +297,8 @@ SQL_ITEMS = f"""
             strftime(l_shipdate, '%Y-%m') AS mes_referencia, l_quantity AS q, {PRICE} AS bruto,
             CAST(round({PRICE} * CAST(l_discount AS DECIMAL(4,2)), 2) AS DECIMAL(18,2)) AS off,
             CAST(round({PRICE} * CAST(0.75 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) AS custo,
-            datediff('day', o_orderdate, l_shipdate) * 8 AS horas, l_tax
+            datediff('day', o_orderdate, l_shipdate) * 8 AS horas, l_tax,
+            CAST(o_orderdate AS DATE) AS pedido_dia, l_shipdate AS competencia
           FROM lineitem JOIN orders ON o_orderkey = l_orderkey
           WHERE o_orderstatus IN ('F', 'O') AND l_returnflag IN ('N', 'A') AND l_quantity >= 3
             AND l_tax > 0.02),
@@ -307,7 +308,8 @@ SQL_ITEMS = f"""
               CASE WHEN canal_venda IN ('E-COMMERCE', 'APP') THEN 1 ELSE 0 END AS dig,
               c_mktsegment AS segmento_cliente, p_type AS categoria, s_name AS tipo_campanha,
               CASE WHEN c_acctbal > 5000 THEN 'A' ELSE 'B' END AS cluster_valor,
-              CASE WHEN p_size > 25 THEN 'BIG' ELSE 'SMALL' END AS familia_receita
+              CASE WHEN p_size > 25 THEN 'BIG' ELSE 'SMALL' END AS familia_receita,
+              p_brand AS marca, CASE WHEN p_partkey IS NOT NULL THEN 0 END AS estrategico
             FROM i LEFT JOIN customer ON c_custkey = cliente_id
             LEFT JOIN part ON p_partkey = produto_id
             LEFT JOIN supplier ON s_suppkey = campaign_id AND s_acctbal > 0)
@@ -318,20 +320,20 @@ SQL_ITEMS = f"""
     "sales_curated",
     f"""
     WITH {SQL_ITEMS}
-    SELECT pedido_id, item_id, cliente_id, produto_id, campaign_id, mes_referencia, categoria,
-           tipo_campanha, CAST(total AS DOUBLE) AS valor_total,
-           CAST(margem AS DOUBLE) AS margem_bruta_item, perc AS desconto_percentual,
-           p24 AS pedido_24h, dig AS pedido_digital,
-           CASE WHEN total > 0 THEN 1 ELSE 0 END AS cliente_ativo_flag
+    SELECT pedido_id, item_id, cliente_id, produto_id, campaign_id, CAST(pedido_dia AS VARCHAR) AS data_pedido,
+           CAST(competencia AS VARCHAR) AS data_competencia, mes_referencia, regional, canal_venda,
+           segmento_cliente, cluster_valor, NULL AS tier_relacionamento,
+           categoria, NULL AS subcategoria, marca, familia_receita, estrategico AS flag_produto_estrategico,
+           status_pedido, tipo_movimento, CAST(q AS DOUBLE) AS quantidade, CAST(bruto AS DOUBLE) AS valor_bruto,
+           CAST(off AS DOUBLE) AS desconto_valor, CAST(total AS DOUBLE) AS valor_total, CAST(custo AS DOUBLE) AS custo_total,
+           CAST(margem AS DOUBLE) AS margem_bruta_item, perc AS desconto_percentual, horas AS tempo_entrega_horas,
+           p24 AS pedido_24h, dig AS pedido_digital, CASE WHEN total > 0 THEN 1 ELSE 0 END AS cliente_ativo_flag,
+           tipo_campanha, NULL AS origem_midia, NULL AS objetivo_comercial
     FROM cur
     """,
 )
 def sales_curated(t: Tables):
-    return curated_items(*sample_inputs(t)).select(
-        "pedido_id", "item_id", "cliente_id", "produto_id", "campaign_id", "mes_referencia",
-        "categoria", "tipo_campanha", "valor_total", "margem_bruta_item", "desconto_percentual",
-        "pedido_24h", "pedido_digital", "cliente_ativo_flag",
-    )
+    return curated_items(*sample_inputs(t))
 
 
 @query(
