@@ -82,8 +82,8 @@ def contact_dimension(
             *[F.asc(c) for c in CONTACT_KEYS[2:-1]],
         ],
         "position",
-        # One shared account may own a third of the contacts: number it month by month.
-        slices=[("month", F.trunc("created", "MM"), True)],
+        # One shared account may own a third of the contacts: number it hour by hour.
+        slices=[("hour", F.date_trunc("HOUR", F.col("created")), True)],
     )
     described = [
         "person", "document", "name", "email", *CONTACT_KEYS[2:-1], "created", "origin", "position",
