@@ -121,9 +121,20 @@ def _urls(spark, read):
     from braidlake.llm import url_filter
 
     pages = read("pages")
-    # The list of blocked URLs is read off the table: what hosts with such names publish.
-    listed = pages.select("url").filter(url_filter.host_of(F.col("url")).rlike("spam|casino|poker|pills|porn"))
-    return url_filter.judge(pages, url_filter.rules(*URL_RULES), listed)
+    return url_filter.judge(pages, url_filter.rules(*URL_RULES), block_list(pages))
+
+
+def block_list(pages: DataFrame) -> DataFrame:
+    """A list such as others publish: half of the pages (by a hash of the URL) in another spelling of the
+    same address, and as many addresses again that no page has."""
+    from pyspark.sql import functions as F
+
+    url = F.col("url")
+    spelled = F.regexp_replace(url, r"(?i)^([a-z]+://)(?:www\.)?", "$1www.")
+    tracked = F.when(url.rlike("[?#]"), spelled).otherwise(F.concat(spelled, F.lit("?utm_source=list")))
+    nowhere = F.regexp_replace(url, "^([^:]*://[^/?#]*)", F.concat(F.lit("$1/nowhere-"), F.md5(url)))
+    half = F.substring(F.md5(url), 1, 1) < "8"
+    return pages.filter(half).select(tracked.alias("url")).union(pages.select(nowhere.alias("url")))
 
 
 @query("op10_licenses", twins.licenses_sql(NOTICES))

@@ -306,6 +306,31 @@ def test_url_rules_and_list(spark):
     assert url_filter.judge(pages.limit(0), rule_list, listed).count() == 0
 
 
+def test_block_list_spells_addresses_otherwise(spark):
+    from braidlake.llm.queries import block_list
+
+    urls = ["http://a.com", "https://WWW.b.org/x/", "http://c.net/p?q=1#f", "http://d.io/#t", "no scheme", None, "http://e.fr:80/i?utm_a=1"]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    listed = block_list(pages).select("url", url_filter.canonical(F.col("url")).alias("c")).collect()
+    own = {r["c"] for r in pages.select(url_filter.canonical(F.col("url")).alias("c")).collect()}
+    half = [u for u in urls if u and hashlib.md5(u.encode()).hexdigest()[0] < "8"]
+    assert len(listed) == len(half) + len(urls) and half
+    known = [r for r in listed if "nowhere" not in (r["url"] or "")]
+    assert {r["c"] for r in known} <= own and not ({r["url"] for r in known} - {None, "no scheme"}) & set(urls)
+    assert not {r["c"] for r in listed if "nowhere" in (r["url"] or "")} & own
+
+
+def test_bloom_filter_lets_few_others_through(spark):
+    keys = spark.range(4000).selectExpr("concat('k', id) AS k")
+    blocks = url_filter.blocks_for(4000)
+    bits = url_filter.bloom(keys, "k", blocks)
+    others = spark.range(20000).selectExpr("concat('other', id) AS k")
+    held = url_filter._block(F.col("k"), blocks) == F.col("block")
+    for w in range(url_filter.WORDS):
+        held = held & (F.getbit(F.col(f"w{w}"), url_filter._bit(F.col("k"), w)) == 1)
+    assert others.join(bits, held, "left_semi").count() < 100  # under half a percent
+
+
 def test_bloom_filter_loses_no_key(spark):
     keys = spark.range(3000).selectExpr("concat('k', id) AS k")
     bits = url_filter.bloom(keys, "k", 8)  # far too small: nearly everything passes, no key is lost
