@@ -86,3 +86,12 @@ def test_catalog(spark):
     assert lake.use_catalog(spark, "spark_catalog") == "spark_catalog"
     with lake.cached(spark.range(3).withColumn("x", F.lit(1))) as kept:
         assert kept.is_cached and kept.count() == 3
+
+
+def test_a_spine_broadcasts_none_of_its_inputs(spark):
+    spine = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, name string")
+    inputs = {n: spark.createDataFrame([(1, n), (None, n)], f"k int, {n} string") for n in ("x", "y", "z")}
+    out = lake.join_spine(spine, inputs, ["k"], buckets=2)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in text and "Exchange" not in text and text.count("SortMergeJoin") == 3
+    assert rows(out) == [(1, "a", "x", "y", "z"), (2, "b", None, None, None), (None, "c", None, None, None)]
