@@ -112,12 +112,13 @@ def fan_out(
     tag: str = "part",
     value: str = "value",
     amount: str = AMOUNT,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """One row for each part that a fact row feeds: ``columns``, the tag and the signed value.
 
     The fact is read once, however many parts there are: a row becomes an array with an entry per
     part, NULL where it does not feed it, and only the entries are kept. Parts with units add ``_unit``
-    and ``_void``.
+    and ``_void``. Fact columns ``within`` stay beside the entries, so that rows dealt out by them still are.
     """
     units = any(p.unit is not None for p in parts)
     entries = []
@@ -130,7 +131,8 @@ def fan_out(
             unit = F.lit(None).cast("string") if p.unit is None else p.unit.cast("string")
             cells += [unit.alias("_unit"), void.alias("_void")]
         entries.append(F.when(feeds | void, F.struct(*cells)))
-    return fact.select(F.inline(F.array(*entries))).filter(F.col(tag).isNotNull())
+    kept = [F.col(c).alias(f"_w{i}") for i, c in enumerate(within)]
+    return fact.select(*kept, F.inline(F.array(*entries))).filter(F.col(tag).isNotNull())
 
 
 def routed_statement(
@@ -138,6 +140,7 @@ def routed_statement(
     keys: Sequence[str],
     total: str = "movement",
     memo: Sequence[str] = (),
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Statement with a column per part and their sum; every fact is read once.
 
@@ -145,22 +148,29 @@ def routed_statement(
     ``movement_statement`` does; ``memo`` parts are shown and not added to the total. Units are settled by
     a grouping of their own before parts become columns; both add up before they shuffle, so a key with
     most of the rows costs no more than others.
+
+    ``within`` names fact columns, such as the document, that all rows of a unit share. Units are then settled
+    per value of them, and a fact that a join has dealt out by them is not shuffled again for it.
     """
     signs = {p.name: p.sign for _, parts, _ in facts for p in parts}
     rules = {p.name: p.per_unit for _, parts, _ in facts for p in parts if p.unit is not None}
     routed = []
     for fact, parts, columns in facts:
-        rows = fan_out(fact, [Part(**{**vars(p), "sign": 1}) for p in parts], {k: columns[k] for k in keys}, "_part", "_v")
+        rows = fan_out(
+            fact, [Part(**{**vars(p), "sign": 1}) for p in parts], {k: columns[k] for k in keys}, "_part", "_v", within=within
+        )
         if rules and "_unit" not in rows.columns:
             rows = rows.withColumns({"_unit": F.lit(None).cast("string"), "_void": F.lit(False)})
         routed.append(rows)
     stacked = reduce(lambda a, b: a.unionByName(b), routed)
     if rules:
-        largest = [n for n, rule in rules.items() if rule == "max"]
-        unit = stacked.groupBy(*keys, "_part", "_unit").agg(
-            F.sum("_v").alias("_sum"), F.max("_v").alias("_max"), F.max("_void").alias("_void")
+        largest = F.col("_part").isin([n for n, rule in rules.items() if rule == "max"])
+        # A row has its value in one of the two, the other stays NULL.
+        unit = stacked.groupBy(*[f"_w{i}" for i in range(len(within))], *keys, "_part", "_unit").agg(
+            F.sum(F.when(~largest, F.col("_v"))).alias("_sum"), F.max(F.when(largest, F.col("_v"))).alias("_max"),
+            F.max("_void").alias("_void"),
         )
-        settled = F.when(F.col("_part").isin(largest), F.col("_max")).otherwise(F.col("_sum")) if largest else F.col("_sum")
+        settled = F.when(largest, F.col("_max")).otherwise(F.col("_sum"))
         stacked = unit.withColumn("_v", F.when(~F.col("_void"), settled)).filter("_v IS NOT NULL")
     zero = F.lit(0).cast("decimal(38,2)")
     out = stacked.groupBy(*keys).agg(

@@ -193,7 +193,7 @@ def statement_load(t: Tables):
     keys = [*STATEMENT_KEYS, "month"]
 
     def moved(df: DataFrame) -> DataFrame:
-        return mo.routed_statement([(df, parts, {k: F.col(k) for k in keys})], keys)
+        return mo.routed_statement([(df, parts, {k: F.col(k) for k in keys})], keys, within=["doc"])
 
     with_all = lake.stage(moved(lines), "moved")
     may, june = add_months(RUN, -1), month_of(RUN)

@@ -154,24 +154,24 @@ def statement_parts() -> list[mo.Part]:
     Lines hold a document's party, product and months of creation and payment beside their own code,
     payment, note and amounts. Payments and debit adjustments count once per document; a debit
     adjustment that another line of the document bills with the same amount does not count at all;
-    of a note the largest amount counts; what is passed on belongs to the cut-off month.
+    of a note the largest amount counts; what is passed on belongs to the cut-off month. Units are those of
+    a document: settle them within it.
     """
     code, own = F.col("code"), F.col("is_own")
     paid, cut = {"month": F.col("paid_month")}, {"month": F.add_months("paid_month", 1), "product": F.lit("PASSED")}
-    doc = F.col("doc").cast("string")
     return [
         mo.Part("gross", code != "R", F.col("amount")),
         mo.Part("reversed", (code == "R") & own, -F.col("amount")),
         mo.Part(
             "confirmed", (code == "N") & (F.col("line") <= 2), F.col("amount"), -1, paid,
-            F.concat_ws("|", doc, "paid", "amount"), "max",
+            F.concat_ws("|", "paid", "amount"), "max",
         ),
         mo.Part(
-            "debit", code == "A", F.col("adjustment"), -1, unit=F.concat_ws("|", doc, "adjustment"),
+            "debit", code == "A", F.col("adjustment"), -1, unit=F.concat_ws("|", "adjustment"),
             per_unit="max", unless=code == "N",
         ),
         mo.Part("credit", F.col("discount") >= F.lit("0.08").cast("decimal(4,2)"), -F.col("rebate"), -1),
-        mo.Part("billed", ~own, F.col("fee"), -1, unit=F.concat_ws("|", doc, "note"), per_unit="max"),
+        mo.Part("billed", ~own, F.col("fee"), -1, unit=F.concat_ws("|", "note"), per_unit="max"),
         mo.Part("operating_fee", F.col("line") == 1, F.col("fee"), 1, paid),
         mo.Part("sva", F.col("item") % 7 == 0, F.col("rebate"), -1, paid),
         mo.Part("purchases", (F.col("item") % 5 == 0) & own, F.col("amount"), -1, paid),
@@ -428,7 +428,10 @@ def settlement_lines(t: Tables) -> DataFrame:
         F.col("o_orderpriority").alias("product"), month_start("o_orderdate").alias("month"),
     )
     price = money("l_extendedprice")
-    return t.lineitem.join(docs, "l_orderkey").select(
+    # Dealt out by document, so that its lines lie together when its units are settled. Parts stay as they are
+    # dealt, since a line becomes several rows of a grouping: joined up to a size they would need much memory.
+    deals = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return t.lineitem.repartition(deals, "l_orderkey").join(docs.hint("merge"), "l_orderkey").select(
         F.col("l_orderkey").alias("doc"), "company", "product", "month", F.col("l_linenumber").alias("line"),
         F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("shop"), F.col("l_returnflag").alias("code"),
         (F.col("l_linestatus") == "F").alias("is_own"), day("l_shipdate").alias("paid"),
@@ -488,4 +491,6 @@ SQL_FIGURES = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in (*COMPONENTS, "mo
 @query("statement_full", f"WITH {sql_statement()} SELECT company, product, month::VARCHAR AS month, {SQL_FIGURES} FROM moved")
 def statement_full(t: Tables):
     keys = ["company", "product", "month"]
-    return mo.routed_statement([(settlement_lines(t), statement_parts(), {k: F.col(k) for k in keys})], keys)
+    return mo.routed_statement(
+        [(settlement_lines(t), statement_parts(), {k: F.col(k) for k in keys})], keys, within=["doc"]
+    )

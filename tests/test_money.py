@@ -1,4 +1,5 @@
 import random
+import re
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
@@ -110,6 +111,28 @@ def test_router_reads_the_fact_once(spark, tmp_path):
     assert rows(both) == [("a", 20, 0, 0, 20), ("all", 0, 0, 5, -5), ("b", 13, 0, 0, 13), ("sentinel", 0, 4, 0, -4)]
 
 
+def test_units_within_a_document_need_no_shuffle_of_their_own(spark, tmp_path):
+    spark.createDataFrame(
+        [(1, "a", "N", D("10.00")), (1, "a", "N", D("10.00")), (2, "a", "N", D("10.00")), (2, "b", "A", D("5.00")),
+         (2, "b", "N", D("5.00")), (3, "b", "A", D("5.00")), (None, "b", "A", D("7.00")), (None, "b", "A", D("7.00"))],
+        "doc int, who string, code string, v decimal(18,2)",
+    ).write.parquet(str(tmp_path / "f"))
+    fact = spark.read.parquet(str(tmp_path / "f")).repartition(3, "doc")
+    code, v, unit = F.col("code"), F.col("v"), F.col("v")
+    parts = [
+        money.Part("gross", F.lit(True), v),
+        money.Part("paid", code == "N", v, -1, unit=unit, per_unit="max"),
+        money.Part("debit", code == "A", v, -1, unit=unit, unless=code == "N"),
+    ]
+    out = money.routed_statement([(fact, parts, {"who": F.col("who")})], ["who"], within=["doc"])
+    exchanges = re.findall(r"Exchange hashpartitioning\((.*?)\)", out._jdf.queryExecution().executedPlan().toString())
+    assert len(exchanges) == 2 and not any("_unit" in e for e in exchanges)  # the fact by document, the sums by key
+    # By hand: documents 1 and 2 pay 10 each; in 2 the debit of 5 is void; amounts of no document are one unit's sum.
+    assert rows(out) == [("a", 30, 20, 0, 10), ("b", 29, 5, 19, 5)]
+    whole = [money.Part(**{**vars(p), "unit": F.concat_ws("|", "doc", "v")}) if p.unit is not None else p for p in parts]
+    assert rows(money.routed_statement([(fact, whole, {"who": F.col("who")})], ["who"])) == rows(out)
+
+
 def test_fan_out_keeps_lines_and_signs(spark):
     df = spark.createDataFrame([("p", 5, True), ("q", 7, None)], "who string, v int, ok boolean")
     out = money.fan_out(
