@@ -27,6 +27,8 @@ from braidlake.sources import lake
 
 PREFIX = "_merge-"
 LIST = "COMMIT"
+# Up to so many partitions are written without a shuffle: every task then opens a file in each.
+FEW = 16
 
 
 @dataclass(frozen=True)
@@ -166,11 +168,11 @@ def find_changes(
     kept: Sequence[str],
 ) -> DataFrame:
     """Source rows that add or change a row: their columns, ``_found``, and under ``_old`` the
-    partition columns and the ``kept`` columns of the stored row.
+    partition columns and the ``kept`` columns of the stored row, whose keys are those of the source row.
 
     Only keys, fingerprint, partition and kept columns of the stored rows are read and shuffled.
     """
-    names = list(dict.fromkeys([*keys, *partition_by, *kept]))
+    names = list(dict.fromkeys([*partition_by, *kept])) or list(keys)
     old = stored.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col(hash_col).alias("_hash"),
@@ -219,10 +221,12 @@ def merge_partitions(
     columns = [c for c in table.columns if c not in stamps]
     types = {f.name: f.dataType for f in table.schema}
     work = f"{path}/{PREFIX}{uuid.uuid4().hex}"
-    source.select(*[F.col(c).cast(types[c]).alias(c) for c in columns]).write.parquet(f"{work}/source")
-    source = spark.read.schema(T.StructType([table.schema[c] for c in columns])).parquet(f"{work}/source")
+    source = source.select(*[F.col(c).cast(types[c]).alias(c) for c in columns])
     stored = table if scope is None else table.filter(scope)
     if set(partition_by) <= set(keys):
+        # Read twice, for its partitions and for its rows.
+        source.write.parquet(f"{work}/source")
+        source = spark.read.schema(T.StructType([table.schema[c] for c in columns])).parquet(f"{work}/source")
         stored = stored.filter(_among(partition_by, source.select(*partition_by).distinct().collect()))
 
     kept = [inserted] if inserted else []
@@ -245,7 +249,9 @@ def merge_partitions(
     names, touched = sorted(set(named.values())), list(dict.fromkeys(tuple(r)[1:] for r in rows))
 
     # A stored row goes if it is the one that a changed row was matched with.
-    replaced = changes.filter("_found").select(*[F.col(f"_old.{c}").alias(f"_o_{c}") for c in dict.fromkeys([*keys, *partition_by])])
+    replaced = changes.filter("_found").select(
+        *[F.col(f"_old.{c}" if c in partition_by else c).alias(f"_o_{c}") for c in dict.fromkeys([*keys, *partition_by])]
+    )
     same = all_equal([(F.col(c), F.col(f"_o_{c}")) for c in dict.fromkeys([*keys, *partition_by])])
     stay = table.filter(_among(partition_by, touched)).join(replaced, same, "left_anti")
     stamped = {}
@@ -254,7 +260,8 @@ def merge_partitions(
     if changed:
         stamped[changed] = now.cast(types[changed])
     fresh = changes.withColumns(stamped).select(*table.columns)
-    lake.write(stay.unionByName(fresh), lake.Sink(f"{work}/new", mode="error", partition_by=partition_by))
+    sink = lake.Sink(f"{work}/new", mode="error", partition_by=partition_by, spread=len(touched) > FEW)
+    lake.write(stay.unionByName(fresh), sink)
 
     return Merged(n["new"], n["old"], _commit(spark, path, work, names, len(partition_by)))
 

@@ -196,3 +196,19 @@ def test_replacing_a_window_of_partitions(spark, tmp_path):
     with pytest.raises(ValueError, match="outside the scope"):
         merge.replace_partitions(merge.read_as(spark, path, stored.schema, ["month"]), path, ["month"], F.col("month") >= "2000-03")
     assert merge.recover(spark, path) == "nothing"
+
+
+def test_a_merge_shuffles_and_stages_no_row_that_it_need_not(spark, tmp_path, monkeypatch):
+    sinks, paths = [], []
+    put, commit = lake.write, merge._commit
+    monkeypatch.setattr(lake, "write", lambda df, sink: (sinks.append(sink), put(df, sink)))
+    monkeypatch.setattr(merge, "_commit", lambda spark, path, work, *a: (paths.extend(os.listdir(work)), commit(spark, path, work, *a))[1])
+    path = str(tmp_path / "t")
+    columns = "id int, part int, row_hash string"
+    for data in ([(1, 1, "a"), (2, 1, "b"), (3, 2, "c")], [(1, 2, "x"), (2, 1, "b"), (4, 3, "n")]):
+        merge.merge_partitions(spark.createDataFrame(data, columns), path, ["id"], ["part"], "row_hash", F.lit("now"))
+    # A key may lie in any partition, so the source is read once only and its changed rows alone are staged.
+    assert "changes" in paths and "source" not in paths
+    assert sinks[-1].path.endswith("/new") and not sinks[-1].spread  # three partitions
+    stored = spark.read.parquet(path).select("id", "part", "row_hash")
+    assert sorted(map(tuple, stored.collect())) == [(1, 2, "x"), (2, 1, "b"), (3, 2, "c"), (4, 3, "n")]
