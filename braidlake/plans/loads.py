@@ -202,6 +202,7 @@ def statement_load(t: Tables):
         .agg(F.sum("movement").cast("decimal(38,2)").alias("closing"))
         .withColumn("month", F.lit(add_months(may, -1)))
     )
+    before = lake.stage(before, "before")
     path = lake.scratch(t.spark, "statement")
 
     def load(previous: DataFrame, movement: DataFrame, month: dt.date, stamp: Column) -> None:
