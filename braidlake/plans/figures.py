@@ -316,7 +316,7 @@ def late_movements(t: Tables):
     path = lake.scratch(t.spark, "balances")
     series = mo.roll_forward_series(moves.filter("NOT late"), ["l_partkey"], RUN)
     series = series.withColumns({"year": F.year("month"), "row_hash": F.lit("stored"), "changed": F.lit(False)})
-    lake.write(series, lake.Sink(path, partition_by=["year"]))
+    lake.write(series, lake.Sink(path, partition_by=["year"], spread=False))
     stored = lake.read(t.spark, path).drop("year", "row_hash", "changed")
     delta = mo.late_movements(stored, moves.filter("late AND month <= '2000-06-01'"), ["l_partkey"], RUN)
     merge.merge_partitions(
