@@ -90,3 +90,11 @@ def test_survivors_are_limited_before_the_shuffle(spark):
 def test_sliced_ranks_shuffle_the_rows_once(spark):
     counts, _ = plan_report.summary(entry.queries()["row_number_kept"](spark, ROOT))
     assert counts["Exchange hashpartitioning"] <= 4
+
+
+def test_lines_of_sales_and_settlements_stay_as_they_are_dealt(spark):
+    from braidlake.plans import catalog
+
+    for name in ("sales_gold", "statement_full"):
+        df = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString(), name
