@@ -4,7 +4,8 @@ Two lines are linked if the Jaccard similarity of their character shingles (ever
 characters; a shorter line is its own shingle) is at least ``alike``. The signature of a line has
 the minima of all its shingles' hashes, each under an exclusive-or with a constant of its own, so the chance of
 a common minimum is the similarity itself: with 18 bands of 4 a pair at 0.8 is missed with
-probability (1 - 0.8^4)^18 = 7.6e-5. Each distinct line is sketched once. All shingles decide in the end.
+probability (1 - 0.8^4)^18 = 7.6e-5. Minima are taken branch by branch of the hashes' top bits, see ``branched``.
+Each distinct line is sketched once. All shingles decide in the end.
 
 Equal lines are one class from the start, told apart by two 64-bit hashes; of different lines that share
 the first hash by chance only those with the smaller second one are compared with others. Links become
@@ -26,10 +27,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from braidlake.llm.common import OUTLINE_WORDS, Staged, bind, connect, free_name, possible_hits
+from braidlake.llm.common import OUTLINE_WORDS, Staged, bind, connect, free_name, possible_hits, release
 
 WORD = r"[^\x20\x09-\x0D]"
 PIECE = 64  # shingles that begin in one piece of a line
+BRANCH_BITS = 3
 
 
 @dataclass(frozen=True)
@@ -79,13 +81,37 @@ def shingles(line: Column, chars: int) -> Column:
     return F.array_distinct(F.transform(pieces, lambda x: F.xxhash64(x)))
 
 
+def branched(n: int) -> tuple[list[int], list[tuple[int, int]]]:
+    """A few constants d, and ``n`` pairs (t, j) of which each t XOR d[j] is a permutation's constant.
+
+    The t differ in the top bits only. The minimum under t XOR d lies in one branch of hashes with equal
+    top bits, and t does not reorder a branch, so minima under the few d within every branch give those
+    under all n. The d differ in their next four bits, which pick other hashes of a branch. The pairs are
+    shuffled, so that bands of a short line, whose branches hold one hash or none, combine different ones.
+    """
+    below, few = 60 - BRANCH_BITS, -(-n >> BRANCH_BITS)
+    drawn = constants(100 + (few << BRANCH_BITS))
+    inner = [(j * 7 % 16) << below | drawn[j] % (1 << below) for j in range(few)]
+    top = [t << 64 - BRANCH_BITS for t in range(1 << BRANCH_BITS)]
+    pairs = [(t - 2**64 if t >= 2**63 else t, j) for j in range(few) for t in top]
+    return inner, [pairs[i] for i in sorted(range(len(pairs)), key=drawn[100:].__getitem__)][:n]
+
+
 def bands(lines: DataFrame, s: Settings) -> DataFrame:
-    """(node, bands): the band keys of every distinct (node, line), lines dealt by node before."""
-    least = each_shingle(lines, s.chars).groupBy("node").agg(
-        *[F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{i}") for i, c in enumerate(constants(s.bands * s.rows))]
+    """(node, bands): the band keys of every distinct (node, line), lines dealt by node before.
+
+    Every shingle meets the constants of its branch only; see ``branched``.
+    """
+    inner, pairs = branched(s.bands * s.rows)
+    each = each_shingle(lines, s.chars).withColumn("branch", F.shiftrightunsigned("h", 64 - BRANCH_BITS))
+    inside = each.groupBy("node", "branch").agg(
+        *[F.min(F.col("h").bitwiseXOR(F.lit(d))).alias(f"w{j}") for j, d in enumerate(inner)]
+    )
+    least = inside.groupBy("node").agg(
+        *[F.min(F.col(f"w{j}").bitwiseXOR(F.lit(t))).alias(f"m{i}") for i, (t, j) in enumerate(pairs)]
     )
     keys = [F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * s.rows, (b + 1) * s.rows)]) for b in range(s.bands)]
-    return least.select("node", F.array(*keys).alias("bands"))
+    return least.select("node", F.array_distinct(F.array(*keys)).alias("bands"))
 
 
 def outlined(nodes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
@@ -148,19 +174,18 @@ def removed(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 
     long_ones = named.filter(F.length("line") >= s.chars).select("node", "check", "line")
     sketches = Staged(bands(of_nodes(long_ones), s), "sketches")
+    release(docs.sparkSession)
+    # A node has a key once, so a key that is there twice has two nodes.
     band_rows = sketches.df.select("node", F.explode("bands").alias("key"))
-    shared = (
-        band_rows.groupBy("key").agg(F.min("node").alias("m"), F.max("node").alias("x")).filter("m <> x").select("key")
-    )
-    shared = Staged(shared, "shared")
-    members = Staged(
-        possible_hits(band_rows, "key", shared.df, "key").distinct().join(shared.df, "key", "left_semi"), "bands"
-    )
+    shared = Staged(band_rows.groupBy("key").agg(F.count("*").alias("met")).filter("met > 1").select("key"), "shared")
+    release(docs.sparkSession)
+    members = Staged(possible_hits(band_rows, "key", shared.df, "key").join(shared.df, "key", "left_semi"), "bands")
     shared.drop()
     sketches.drop()
     wanted = Staged(members.df.select("node").distinct(), "wanted")
     texts = of_nodes(possible_hits(long_ones, "node", wanted.df, "node")).join(wanted.df, "node", "left_semi")
     texts = Staged(texts.withColumn("n", F.size(shingles(F.col("line"), s.chars))), "texts")
+    release(docs.sparkSession)
     roots = connect(
         members.df.join(texts.df.select("node", "n"), "node"),
         lambda pairs: verify(pairs, texts.df, s),
@@ -170,6 +195,7 @@ def removed(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     )
     for table in (members, texts, wanted):
         table.drop()
+    release(docs.sparkSession)
     # A line that does not stand for its node is a component of its own with its equals.
     alone = F.when(F.col("check") != F.col("least"), F.col("check"))
     rooted = (
@@ -193,6 +219,7 @@ def removed(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     out = Staged(gone.select("doc_id", "mark", F.array_join(mask, "").alias("mask")), "masks")
     for table in (rows, classes, clash, roots, doomed):
         table.drop()
+    release(docs.sparkSession)
     return out.df
 
 

@@ -383,6 +383,21 @@ def test_rates_reach_the_target_shares(docs):
         assert rates[source] == pytest.approx(n**0.5 / weights * whole / n)
 
 
+def test_branchwise_minima_are_those_of_all_constants_and_few_a_shingle(spark):
+    s = line_dedup.Settings()
+    inner, pairs = line_dedup.branched(s.bands * s.rows)
+    assert len(inner) == 9 and len({t ^ inner[j] for t, j in pairs}) == s.bands * s.rows
+    rows = [(n, "".join(chr(97 + (i * i + n) % (3 + n % 20)) for i in range(8 + n))) for n in range(80)]
+    lines = spark.createDataFrame(rows, "node long, line string")
+    hashes = line_dedup.each_shingle(lines, s.chars).groupBy("node").agg(F.collect_list("h").alias("hs")).collect()
+    least = [[r["node"]] + [min(h ^ t ^ inner[j] for h in r["hs"]) for t, j in pairs] for r in hashes]
+    least = spark.createDataFrame(least, "node long, " + ", ".join(f"m{i} long" for i in range(len(pairs))))
+    keys = [F.xxhash64(F.lit(b), *[f"m{i}" for i in range(b * s.rows, (b + 1) * s.rows)]) for b in range(s.bands)]
+    want = least.select("node", F.array_distinct(F.array(*keys)).alias("bands"))
+    assert line_dedup.bands(lines, s).exceptAll(want).count() == 0
+    assert want.count() == len(rows)
+
+
 # ---- 10: licenses
 def test_license_notices_are_found(spark, empty):
     filler = "thand ering onst ble tion " * 20
