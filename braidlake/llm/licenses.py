@@ -10,6 +10,8 @@ similarity j, a band collides with probability j and one of the bands with 1 - (
 A collision only proposes. The template's distinct pairs must then be found to ``contained`` in the
 tokens around the window (the template's length on both sides), which is exact.
 
+Only windows that hold a pair of some template are sketched: no other window can share a minimum.
+
 All of it is built-in functions. Documents are not shuffled: the template bands are broadcast, whose size
 ``templates`` bounds by raising an error, and only confirmed matches leave a task.
 
@@ -80,24 +82,39 @@ def starts(hashes: Column, s: Settings) -> Column:
 
 
 def band_keys(hashes: Column, first: Column, s: Settings) -> Column:
-    """Keys of all windows, band by band: windows of band 0, then those of band 1, and so on."""
+    """Keys of the windows, band by band: windows of band 0, then those of band 1, and so on."""
 
     def of(c: int) -> Column:
-        moved = F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(c)))
-        return bind(moved, lambda m: F.transform(first, lambda i: F.array_min(F.slice(m, i, s.window - 1))))
+        def least(i: Column) -> Column:
+            return F.array_min(F.transform(F.slice(hashes, i, s.window - 1), lambda h: h.bitwiseXOR(F.lit(c))))
+
+        return F.transform(first, least)
 
     return F.concat(*[of(c) for c in constants(s.bands)])
 
 
-def sketched(text: Column, s: Settings) -> Column:
-    """Struct of the number of tokens, p (their pairs), first (window starts) and keys of a text."""
+def sketched(text: Column, s: Settings, known: Column | None = None) -> Column:
+    """Struct of the number of tokens, p (their pairs), first (window starts) and keys of a text.
+
+    A window's minimum is that of a template only if the window holds the template's pair, so with
+    ``known``, the pairs of all templates, windows without any of them are left out before they are sketched.
+    """
 
     def parts(t: Column, p: Column, first: Column) -> Column:
         return F.struct(
             F.size(t).alias("length"), p.alias("p"), first.alias("first"), band_keys(p, first, s).alias("keys")
         )
 
-    return bind(tokens(text), lambda t: bind(pairs(t), lambda p: bind(starts(p, s), lambda first: parts(t, p, first))))
+    def worthwhile(p: Column) -> Column:
+        if known is None:
+            return starts(p, s)
+        none = F.array().cast("array<int>")
+        holding = lambda met: F.filter(starts(p, s), lambda i: F.arrays_overlap(F.slice(p, i, s.window - 1), met))
+        return bind(F.array_intersect(p, known), lambda met: F.when(F.size(met) == 0, none).otherwise(holding(met)))
+
+    return bind(
+        tokens(text), lambda t: bind(pairs(t), lambda p: bind(worthwhile(p), lambda first: parts(t, p, first)))
+    )
 
 
 def templates(spark: SparkSession, texts: Mapping[str, str], s: Settings) -> tuple[DataFrame, DataFrame]:
@@ -119,13 +136,13 @@ def scan(docs: DataFrame, texts: Mapping[str, str] = NOTICES, s: Settings = Sett
     if bound > MOST_BANDS:
         raise ValueError(f"{bound} template bands; at most {MOST_BANDS} are broadcast")
     table = F.broadcast(keys.join(known, "name"))
+    every = known.agg(F.array_distinct(F.flatten(F.collect_list("shingles"))).alias("known"))
     text = F.col("text").cast("string")
-    scanned = docs.select(
-        F.col("doc_id").cast("long"), F.xxhash64(text).alias("mark"), sketched(text, s).alias("w")
-    ).filter("w.length > 0")
-    hits = scanned.select(
-        "doc_id", "mark", F.col("w.p").alias("p"), F.col("w.first").alias("first"), F.posexplode("w.keys").alias("at", "key")
-    ).join(table, "key")
+    # As rows of a generator the sketch is computed once, however often its parts are read.
+    scanned = docs.select(F.col("doc_id").cast("long"), text.alias("text")).join(F.broadcast(every)).select(
+        "doc_id", F.xxhash64("text").alias("mark"), F.inline(F.array(sketched(F.col("text"), s, F.col("known"))))
+    )
+    hits = scanned.select("doc_id", "mark", "p", "first", F.posexplode("keys").alias("at", "key")).join(table, "key")
     place = F.get("first", F.expr("at % size(first)"))
     around = F.slice(
         F.col("p"), F.greatest(F.lit(1), place - F.col("length")), F.lit(s.window) + 2 * F.col("length")

@@ -399,6 +399,22 @@ def test_branchwise_minima_are_those_of_all_constants_and_few_a_shingle(spark):
 
 
 # ---- 10: licenses
+def test_license_windows_without_a_template_pair_are_not_sketched(spark):
+    s = licenses.Settings()
+    notice = licenses.NOTICES["MIT"]
+    rows = [(0, "one two three " * 50), (1, "one two three " * 50 + notice + " four five six" * 50), (2, None), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = licenses.templates(spark, {"MIT": notice}, s)[0].select(F.col("shingles").alias("known"))
+    text = F.col("text")
+    both = df.join(known).select(
+        "doc_id", licenses.sketched(text, s).alias("w"), licenses.sketched(text, s, F.col("known")).alias("x")
+    )
+    kept = {r["doc_id"]: (r["w"], r["x"]) for r in both.collect()}
+    assert [len(kept[i][1]["first"]) if kept[i][1] and kept[i][1]["first"] else 0 for i in (0, 2, 3)] == [0, 0, 0]
+    w, x = kept[1]
+    assert 0 < len(x["first"]) < 6 < len(w["first"]) and set(x["keys"]) <= set(w["keys"])
+
+
 def test_license_notices_are_found(spark, empty):
     filler = "thand ering onst ble tion " * 20
     texts = [(i, f"{filler}\n{n}\n{filler}") for i, n in enumerate(licenses.NOTICES.values())]
