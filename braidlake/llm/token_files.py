@@ -38,28 +38,32 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from braidlake.llm.common import Staged, drop, map_text, new_path
+from braidlake.llm.common import Staged, drop, map_text, new_path, slices
 
 NULL_ID = np.iinfo(np.int64).min
 BLOCK_VALUES = 1 << 18
 CACHED_CHARS = 64
 CACHED_PIECES = 1_000_000  # entries; a full cache is emptied
-CACHED_STEMS = 800_000
 STOPS = ".,;:!?"
 
-# A space before something that is not white space starts a pre-token of this tokenizer family.
-PIECES = re.compile(r"(?= \S)")
+# A space or line feed before something that is not white space starts a pre-token of this tokenizer
+# family, whatever stands before it.
+PIECES = re.compile(r"(?=[ \n]\S)")
 BLANK_AFTER = re.compile(r" (?=\s|\Z)")
+NEWLINE = re.compile(r"\n(?=\S)")
 
 
 # ---------------------------------------------------------------- encoding with the library
 class TextEncoder:
     """Whole texts through the ``tokenizers`` library, piece by piece with a bounded cache.
 
-    Pieces end before a space that is followed by something else, where a pre-token always starts,
-    so the ids of a text are those of its pieces in a row. New pieces are joined again and encoded
-    as one text; the number of bytes of each id tells where a piece ends. Texts that hold the string of
-    an added token, and all texts of a tokenizer whose pre-tokens end elsewhere, are encoded whole.
+    Pieces end before a space or line feed that is followed by something else, where a pre-token always
+    starts, so the ids of a text are those of its pieces in a row. A piece that starts with one space
+    is named by what follows it, one that starts with one line feed by itself, any other by itself with a space in
+    front; no piece of the first kind starts with white space, so names are unambiguous. A batch looks
+    each of its names up once. New pieces are joined again and encoded as one text; the number of bytes
+    of each id tells where a piece ends. Texts that hold the string of an added token, and all texts of a
+    tokenizer whose pre-tokens end elsewhere, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -69,8 +73,9 @@ class TextEncoder:
         # Where these stand in a text the library reads one id; blanks before them are split otherwise.
         self.added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()} - {""})
         self.by_pieces = splits_at_spaces(json.loads(self.tokenizer.to_str()))
+        if self.by_pieces and hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # it is asked for no piece twice
         self.pieces: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
         size = self.tokenizer.get_vocab_size()
         # every character of a byte-level token stands for one byte
         self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
@@ -79,82 +84,95 @@ class TextEncoder:
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _join(self, keys: list[str]) -> dict[str, bytes]:
+    def _join(self, keys: set[str]) -> dict[str, bytes]:
         """Ids of pieces from the library; named as in ``encode_all``."""
         out = {k: self._encode(k[1:]).tobytes() for k in keys if k[0] == " "}
         plain = [k for k in keys if k[0] != " "]
         for start in range(0, len(plain), 4000):
             part = plain[start : start + 4000]
-            ids = self._encode(" " + " ".join(part))
+            part = [k if k[0] == "\n" else " " + k for k in part]
+            ids = self._encode("".join(part))
             ends = np.cumsum(self.sizes[ids])
-            at = np.cumsum([len(k.encode()) + 1 for k in part])
+            at = np.cumsum([len(k.encode()) for k in part])
             cuts = (4 * (np.searchsorted(ends, at) + 1)).tolist()
             flat = ids.tobytes()
-            out.update((k, flat[a:b]) for k, a, b in zip(part, [0, *cuts], cuts))
+            out.update((k, flat[a:b]) for k, a, b in zip(plain[start : start + 4000], [0, *cuts], cuts))
         return out
 
     def _new(self, keys: set[str]) -> dict[str, bytes]:
         """Ids of pieces that the cache lacks.
 
         Letters followed by stops end a pre-token there, so such a piece is put together from the
-        ids of its letters, which other pieces share, and those of the stops.
+        ids of its letters and those of the stops, which are pieces too.
         """
-        parts, whole = {}, []
+        parts, whole = {}, set()
         for k in keys:
-            stem = k.rstrip(STOPS)
-            if stem != k and stem.isalpha():
-                parts[k] = stem, k[len(stem) :]
-            else:
-                whole.append(k)
-        # " ." names the stops as they stand after letters
-        needed = {x for stem, tail in parts.values() for x in (stem, " " + tail)} | {k for k in whole if k.isalpha()}
-        lacking = needed - self.stems.keys()
-        found = self._join([*lacking, *(k for k in whole if k not in needed)])
-        known = self.stems.get
-        out = {k: found.get(k) or known(k) for k in whole}
+            if not k.isalpha():
+                stem = k.rstrip(STOPS)
+                if stem != k and stem.isalpha():
+                    # " ." names the stops as they stand after letters
+                    parts[k] = stem, " " + k[len(stem) :]
+                    continue
+            whole.add(k)
+        known = self.pieces
+        whole.update(x for two in parts.values() for x in two if x not in known)
+        out = self._join(whole)
         for k, (stem, tail) in parts.items():
-            tail = " " + tail
-            out[k] = (found.get(stem) or known(stem)) + (found.get(tail) or known(tail))
-        if len(self.stems) + len(lacking) > CACHED_STEMS:
-            self.stems.clear()
-        self.stems.update((k, found[k]) for k in lacking if len(k) <= CACHED_CHARS)
+            out[k] = (out.get(stem) or known[stem]) + (out.get(tail) or known[tail])
         return out
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit bytes."""
-        keys, whole = [], {}
+        out, first, rest = [b""] * len(texts), {}, [None] * len(texts)
         for i, t in enumerate(texts):
             if not t:
-                keys.append([])
-            elif not self.by_pieces or any(x in t for x in self.added):
-                keys.append([])
-                whole[i] = self._encode(t).tobytes()
+                continue
+            if not self.by_pieces or any(x in t for x in self.added):
+                out[i] = self._encode(t).tobytes()
             elif BLANK_AFTER.search(t):
-                keys.append(
-                    [p[1:] if p[0] == " " and p[1:2].strip() else " " + p for p in PIECES.split(t) if p]
-                )
+                first[i] = [_name(p) for p in PIECES.split(t) if p]
             else:
-                k = t.split(" ")
-                k[:1] = [" " + k[0]] if k[0] else []  # nothing before a space at the start
-                keys.append(k)
-        held = [list(map(self.pieces.get, ks)) for ks in keys]
-        fresh: set[str] = set()
-        for ks, found in zip(keys, held):
-            if not all(found):
-                fresh.update(k for k, ids in zip(ks, found) if not ids)
+                head, space, rest[i] = NEWLINE.sub(" \n", t).partition(" ")
+                first[i] = [" " + head] if head else []  # nothing before a space at the start
+                if not space:
+                    rest[i] = None
+        # The other names of all texts, numbered by Arrow.
+        split = pa.compute.split_pattern(pa.array(rest, pa.string()), " ")
+        coded = split.flatten().dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        held = list(map(self.pieces.get, names))
+        fresh = {k for k, ids in zip(names, held) if not ids}
+        fresh.update(k for ks in first.values() for k in ks if k not in self.pieces)
         new = self._new(fresh) if fresh else {}
-        out = [
-            b"".join(found) if all(found) else b"".join([i or new[k] for k, i in zip(ks, found)])
-            for ks, found in zip(keys, held)
-        ]
+        held = [ids or new[k] for k, ids in zip(names, held)]
+        flat, ends = gather(held, coded.indices.to_numpy())
+        known = self.pieces.get
+        spans = ends[split.offsets.to_numpy()].tolist()
+        for i, ks in first.items():
+            out[i] = b"".join([known(k) or new[k] for k in ks]) + flat[spans[i] : spans[i + 1]].tobytes()
         if len(self.pieces) + len(new) > CACHED_PIECES:
             self.pieces.clear()
         self.pieces.update((k, v) for k, v in new.items() if len(k) <= CACHED_CHARS)
-        for i, ids in whole.items():
-            out[i] = ids
         return out
 
 
+def _name(piece: str) -> str:
+    if piece[0] in " \n" and piece[1:2].strip():
+        return piece[1:] if piece[0] == " " else piece
+    return " " + piece
+
+
+def gather(values: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of ``values[c]`` for all codes in a row, and where those of every code start and the last end."""
+    ids = np.frombuffer(b"".join(values), "<u4")
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    starts = np.cumsum(sizes) - sizes
+    ends = np.append(0, np.cumsum(sizes[codes]))
+    at = np.repeat((starts[codes] - ends[:-1]).astype(np.int32), sizes[codes])
+    at += np.arange(len(at), dtype=np.int32)
+    return ids[at], ends
+
+
 def splits_at_spaces(spec: dict) -> bool:
     """True for byte-level tokenizers without a normalizer, whose pattern starts a pre-token at such a space."""
     steps = spec.get("pre_tokenizer") or {}
@@ -262,13 +280,10 @@ def frequencies(encoded: DataFrame) -> DataFrame:
     def work(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for blob in batch["ids"].to_pylist():
-                more = np.bincount(_loosen(blob))
-                if len(more) > len(total):
-                    more[: len(total)] += total
-                    total = more
-                else:
-                    total[: len(more)] += more
+            for part in slices(batch, "ids", 1 << 20):
+                more = np.bincount(np.concatenate([_loosen(blob) for blob in part["ids"].to_pylist()]), minlength=len(total))
+                more[: len(total)] += total
+                total = more
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 

@@ -80,6 +80,21 @@ def test_added_tokens_are_read_as_the_library_reads_them():
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text or "", add_special_tokens=False).ids, text
 
 
+def test_lines_are_cut_apart_and_blanks_read_as_the_library_reads_them():
+    from tokenizers import Tokenizer
+
+    t, e = Tokenizer.from_file(JSON), token_files.TextEncoder(JSON)
+    rng = random.Random(7)
+    parts = ["a", "bc.", "don't", " ", " ", "\n", "\n", "\t", "\r", "\x1c", "\x85", "\u3000", "漢", "12", "!?", "’"]
+    texts = [["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3)] for _ in range(1500)]
+    for some in texts:
+        for text, ids in zip(some, e.encode_all(some)):
+            assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+    e.pieces.clear()
+    e.encode_all([f"line {i}.\nnext line" for i in range(50)])
+    assert not [k for k in e.pieces if "\n" in k[1:]]  # no piece joins the words on both sides of a line's end
+
+
 def test_coding_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 3, 4, 5, 1000):
