@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 from braidlake.llm.common import map_text
 
 CACHED_CHARS = 64  # longer pieces are encoded each time, so that the cache stays small
-CACHED_PIECES = 500_000  # entries of each cache; a full one is emptied
+CACHED_PIECES = 500_000  # entries of the cache; a full one is emptied
+SLICE_BYTES = 2_000_000  # of text encoded at a time: what is new in it is held several times over
 
 # A space before something that is not white space always starts a pre-token, whatever precedes it.
 PIECES = re.compile(r"(?= \S)")
@@ -42,12 +43,16 @@ def piece_keys(text: str) -> list[str]:
     space in front; the former never starts with white space, so names are unambiguous.
     """
     if BLANK_AFTER.search(text):
-        return [p[1:] if p[0] == " " and p[1:2].strip() else " " + p for p in PIECES.split(text) if p]
+        return [key_of(p) for p in PIECES.split(text) if p]
     keys = text.split(" ")
     keys[0] = " " + keys[0]
     return keys
 
 
+def key_of(piece: str) -> str:
+    return piece[1:] if piece[0] == " " and piece[1:2].strip() else " " + piece
+
+
 def piece_of(key: str) -> str:
     return key[1:] if key[0] == " " else " " + key
 
@@ -248,7 +253,6 @@ class Encoder:
             pairs = [line.split() for line in lines if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.find = regex.compile(pattern).findall
-        self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         vocabulary = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
@@ -260,10 +264,10 @@ class Encoder:
         self.bytes_to_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
 
     def _merge(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of pre-tokens; those of a token's own bytes need no merging."""
+        """Ids of pre-tokens by their names; those of a token's own bytes need no merging."""
         out, short, coded = {}, [], []
         for word in words:
-            piece = word.encode()
+            piece = piece_of(word).encode()
             rank = self.ranks.get(piece)
             if rank is not None:
                 out[word] = rank.to_bytes(4, "little")
@@ -277,7 +281,10 @@ class Encoder:
         return out
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of every text. What is new to the caches is merged in one go."""
+        """Ids of every text. What is new to the cache is merged in one go.
+
+        A pre-token is named like a piece, and most pieces are one, so both lie in one cache.
+        """
         keys = [piece_keys(t) if t else [] for t in texts]
         held = [list(map(self.pieces.get, ks)) for ks in keys]
         fresh: set[str] = set()
@@ -286,19 +293,17 @@ class Encoder:
                 fresh.update(k for k, ids in zip(ks, found) if not ids)
         if not fresh:
             return [b"".join(found) for found in held]
-        parts = {k: self.find(piece_of(k)) for k in fresh}
-        new = {w for ws in parts.values() for w in ws} - self.words.keys()
-        merged = self._merge(list(new))
-        words, known = self.words.get, merged.get
-        more = {k: b"".join([known(w) or words(w) for w in ws]) for k, ws in parts.items()}
+        parts = {k: [key_of(w) for w in self.find(piece_of(k))] for k in fresh}
+        more = self._merge(list({w for ws in parts.values() for w in ws} - self.pieces.keys()))
+        words, known = self.pieces.get, more.get
+        more.update([(k, b"".join([known(w) or words(w) for w in ws])) for k, ws in parts.items() if len(ws) != 1])
         out = [
             b"".join(found) if all(found) else b"".join([i or more[k] for k, i in zip(ks, found)])
             for ks, found in zip(keys, held)
         ]
-        for cache, extra in ((self.words, merged), (self.pieces, more)):
-            if len(cache) + len(extra) > CACHED_PIECES:
-                cache.clear()
-            cache.update((k, v) for k, v in extra.items() if len(k) <= CACHED_CHARS)
+        if len(self.pieces) + len(more) > CACHED_PIECES:
+            self.pieces.clear()
+        self.pieces.update((k, v) for k, v in more.items() if len(k) <= CACHED_CHARS)
         return out
 
     def decode_all(self, coded: list[bytes]) -> list[bytes]:
@@ -336,7 +341,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             [batch["doc_id"], pa.array(ids, pa.binary())], names=["doc_id", "ids"]
         )
 
-    return map_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "text", SCHEMA, work)
+    return map_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "text", SCHEMA, work, SLICE_BYTES)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -350,7 +355,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             [batch["doc_id"], pa.array(out, pa.binary())], names=["doc_id", "bytes"]
         )
 
-    return map_text(encoded.select("doc_id", "ids"), "ids", schema, work)
+    return map_text(encoded.select("doc_id", "ids"), "ids", schema, work, SLICE_BYTES)
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -384,4 +389,4 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ),
         )
 
-    return map_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "text", schema, work)
+    return map_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "text", schema, work, SLICE_BYTES)

@@ -95,6 +95,14 @@ def test_lines_are_cut_apart_and_blanks_read_as_the_library_reads_them():
     assert not [k for k in e.pieces if "\n" in k[1:]]  # no piece joins the words on both sides of a line's end
 
 
+def test_bpe_holds_a_word_once():
+    e = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    words = ["word" + "".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(3000)]
+    e.encode_all([" ".join(words)])
+    caches = [c for c in vars(e).values() if isinstance(c, dict) and c is not e.ranks]
+    assert sum(map(len, caches)) <= len(words)
+
+
 def test_coding_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 3, 4, 5, 1000):
