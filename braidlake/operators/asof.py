@@ -134,12 +134,13 @@ def rollout_split(
     """Old-system rows not yet rolled out on their start, and new-system rows that are.
 
     A roll-out on or before the start exists exactly when the unit's first one is, so one join to
-    the first roll-out of each unit serves both systems and cannot multiply rows.
+    the first roll-out of each unit serves both systems and cannot multiply rows. Units are few, so
+    the table of their first roll-outs is broadcast and the rows stay where they are.
     """
     first = rollout.groupBy(F.col(unit).alias("_unit")).agg(F.min(rollout_date).alias("_first"))
     out = F.coalesce(F.col("_first") <= F.col(start), F.lit(False))
     keep = ((F.col(origin) == old) & ~out) | ((F.col(origin) == new) & out)
-    return df.join(first, df[unit] == first["_unit"], "left").filter(keep).select(df["*"])
+    return df.join(F.broadcast(first), df[unit] == first["_unit"], "left").filter(keep).select(df["*"])
 
 
 def append_history(

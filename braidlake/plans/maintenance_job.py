@@ -113,7 +113,11 @@ def _items(df: DataFrame, origin: str) -> DataFrame:
 
 
 def order_operations(inputs: MaintenanceInputs, rules: MaintenanceRules, run_date: dt.date) -> DataFrame:
-    """Operation versions of both systems with their keys, flags and planning month."""
+    """Operation versions of both systems with their keys, flags and planning month.
+
+    Plants, areas, sub-areas and days are reference tables that do not grow with the orders. They are broadcast,
+    as the wide versions would otherwise be shuffled once for each before their sizes are known.
+    """
     since, _ = planning_bounds(inputs.calendar, run_date)
     low = since.strftime("%Y%m%d")
     units = select.latest_by(inputs.units, ["SAP_CODIGO"], "CREATED_DATE_HZ").select(
@@ -122,7 +126,7 @@ def order_operations(inputs: MaintenanceInputs, rules: MaintenanceRules, run_dat
     legacy = _operations(
         inputs.legacy, rules.legacy_planned, rules.legacy_corrective, "E", low
     ).join(
-        units.select(F.col("SAP_CODIGO").alias("Centro_planejamento"), "COD_UNIDADE_LAKE"),
+        F.broadcast(units.select(F.col("SAP_CODIGO").alias("Centro_planejamento"), "COD_UNIDADE_LAKE")),
         "Centro_planejamento", "left",
     )
     names = dict(inputs.current_names)
@@ -130,8 +134,10 @@ def order_operations(inputs: MaintenanceInputs, rules: MaintenanceRules, run_dat
     current = _operations(
         renamed, rules.current_planned, rules.current_corrective, "H", low
     ).join(
-        units.filter(F.col("HANA_CODIGO").isNotNull()).select(
-            F.col("HANA_CODIGO").alias("Centro_planejamento"), "COD_UNIDADE_LAKE"
+        F.broadcast(
+            units.filter(F.col("HANA_CODIGO").isNotNull()).select(
+                F.col("HANA_CODIGO").alias("Centro_planejamento"), "COD_UNIDADE_LAKE"
+            )
         ),
         "Centro_planejamento", "left",
     )
@@ -158,7 +164,7 @@ def order_operations(inputs: MaintenanceInputs, rules: MaintenanceRules, run_dat
         F.col("COD_SUBAREA_LAKE").cast("int").alias("COD_SUBAREA_LAKE"),
     )
     flagged = (
-        placed.join(areas, "AREA", "left").join(subareas, "SUBAREA", "left")
+        placed.join(F.broadcast(areas), "AREA", "left").join(F.broadcast(subareas), "SUBAREA", "left")
         .join(
             inputs.excluded.select(
                 F.col("NUM_ORDEM").alias("Ordem"), F.lit(1).alias("FLAG_EXPURGO")
@@ -171,7 +177,7 @@ def order_operations(inputs: MaintenanceInputs, rules: MaintenanceRules, run_dat
         F.concat(F.col("AnoP3m").cast("string"), F.lpad(F.col("MesP3m").cast("string"), 2, "0"))
         .alias("MES_P3M"),
     )
-    dated = flagged.join(months, "Inicio_Base", "left")
+    dated = flagged.join(F.broadcast(months), "Inicio_Base", "left")
     minus = F.lit(-1)
 
     def key(col: str, to: str = "int"):
@@ -251,7 +257,7 @@ def maintenance_fact(
         F.try_to_date("DATA_CONGELAMENTO_BASE", "yyyy-MM-dd").alias("DATA_CONGELAMENTO_BASE"),
         F.try_to_date("DATA_FECHAMENTO_P3M", "yyyy-MM-dd").alias("DATA_FECHAMENTO_BASE"),
     )
-    dated = versions.join(freezes, "MES_P3M", "left")
+    dated = versions.join(F.broadcast(freezes), "MES_P3M", "left")
     frozen = asof.freeze_snapshot(
         dated, ["ORDEM"], "CREATED_DATE_HZ", "DATA_CONGELAMENTO_BASE"
     )
