@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 
 from braidlake.llm.common import OUTLINE_WORDS, Staged, bind, connect, free_name, possible_hits, release
 
-WORD = r"[^\x20\x09-\x0D]"
-PIECE = 64  # shingles that begin in one piece of a line
+SPACE = " \t\n\x0b\f\r"
 BRANCH_BITS = 3
 
 
@@ -56,29 +55,29 @@ def constants(n: int) -> list[int]:
     return out
 
 
+def spelled(line: Column) -> Column:
+    """A line with four bytes a character, so that a shingle is read by position at no search."""
+    return F.encode(line, "UTF-32")
+
+
+def starts(wide: Column, chars: int) -> Column:
+    """Where the shingles of a ``spelled`` line start; a shorter line is its own shingle."""
+    return F.sequence(F.lit(1), F.greatest(F.length(wide) - 4 * chars + 1, F.lit(1)), F.lit(4))
+
+
 def each_shingle(lines: DataFrame, chars: int) -> DataFrame:
     """(node, h): a hash of every shingle of (node, line), repeated ones included.
 
-    A line is cut into pieces that overlap by a shingle, in time linear in its length; in a piece the
-    shingles are read by position. Shingles are rows, which is compiled code, where array functions are interpreted.
+    Shingles are rows, which is compiled code, where array functions are interpreted.
     """
-    cut = r"(?s)(?=(.{1,%d})).{1,%d}" % (PIECE + chars - 1, PIECE)
-    line = F.col("line")
-    short = F.length(line) < chars
-    pieces = F.when(short, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(cut), F.lit(1)))
-    rows = lines.select("node", F.explode(pieces).alias("piece"), short.alias("short"))
-    starts = F.least(F.length("piece") - chars + 1, F.lit(PIECE))
-    starts = F.when(F.col("short"), 1).otherwise(starts)  # the last piece may hold no shingle
-    rows = rows.withColumn("starts", starts).filter("starts > 0")
-    rows = rows.select("node", "piece", F.explode(F.sequence(F.lit(1), F.col("starts"))).alias("at"))
-    return rows.select("node", F.xxhash64(F.substr("piece", F.col("at"), F.lit(chars))).alias("h"))
+    rows = lines.select("node", spelled(F.col("line")).alias("wide"))
+    rows = rows.select("node", "wide", F.explode(starts(F.col("wide"), chars)).alias("at"))
+    return rows.select("node", F.xxhash64(F.substr("wide", F.col("at"), F.lit(4 * chars))).alias("h"))
 
 
 def shingles(line: Column, chars: int) -> Column:
-    """Hashes of all distinct shingles of a line."""
-    every = F.regexp_extract_all(line, F.lit(r"(?s)(?=(.{%d}))" % chars), F.lit(1))
-    pieces = F.when(F.length(line) < chars, F.array(line)).otherwise(every)
-    return F.array_distinct(F.transform(pieces, lambda x: F.xxhash64(x)))
+    """Hashes of all shingles of a line, repeated ones included."""
+    return bind(spelled(line), lambda w: F.transform(starts(w, chars), lambda at: F.xxhash64(F.substr(w, at, F.lit(4 * chars)))))
 
 
 def branched(n: int) -> tuple[list[int], list[tuple[int, int]]]:
@@ -115,11 +114,16 @@ def bands(lines: DataFrame, s: Settings) -> DataFrame:
 
 
 def outlined(nodes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """(node, bits): a bit per shingle of every node's line."""
+    """(node, bits): a bit per shingle of every node's line.
+
+    A shingle meets the words of its group only.
+    """
     each = each_shingle(texts.join(nodes, "node", "left_semi").select("node", "line"), s.chars)
     word, bit = F.pmod(F.shiftright("h", 6), F.lit(OUTLINE_WORDS)), F.expr("shiftleft(1L, cast(h & 63 as int))")
-    words = each.groupBy("node").agg(
-        *[F.coalesce(F.bit_or(F.when(word == i, bit)), F.lit(0).cast("long")).alias(f"b{i}") for i in range(OUTLINE_WORDS)]
+    each = each.select("node", F.shiftright(word, 3).alias("group"), word.bitwiseAND(F.lit(7)).alias("word"), bit.alias("bit"))
+    groups = each.groupBy("node", "group").agg(*[F.bit_or(F.when(F.col("word") == i, F.col("bit"))).alias(f"b{i}") for i in range(8)])
+    words = groups.groupBy("node").agg(
+        *[F.coalesce(F.max(F.when(F.col("group") == i // 8, F.col(f"b{i % 8}"))), F.lit(0).cast("long")).alias(f"b{i}") for i in range(OUTLINE_WORDS)]
     )
     return words.select("node", F.array(*[f"b{i}" for i in range(OUTLINE_WORDS)]).alias("bits"))
 
@@ -137,22 +141,31 @@ def lines_of(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     return (
         docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("mark"), F.posexplode(F.split(text, "\n")).alias("no", "line"))
-        .filter(F.col("line").rlike(WORD))
+        .filter(F.btrim("line", F.lit(SPACE)) != "")
     )
 
 
 def verify(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """(a, b, linked, far) from all shingles of both lines."""
-    both = pairs.join(texts.select(F.col("node").alias("b"), F.col("line").alias("lb")), "b").join(
-        texts.select(F.col("node").alias("a"), F.col("line").alias("la")), "a"
-    )
+    one, other = (texts.select(F.col("node").alias(x), F.col("line").alias(f"l{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
+    both = pairs.join(other, "b").join(one, "a")
+    common = F.size(F.array_intersect(shingles(F.col("la"), s.chars), shingles(F.col("lb"), s.chars)))
+    like = bind(common, lambda c: c / (F.col("na") + F.col("nb") - c))
+    judged = bind(like, lambda j: F.struct((j >= s.alike).alias("linked"), (1 - j).alias("far")))
+    return both.select("a", "b", F.inline(F.array(judged)))
 
-    def judged(one: Column, other: Column) -> Column:
-        common = F.size(F.array_intersect(one, other))
-        return bind(common / (F.size(one) + F.size(other) - common), lambda j: F.struct((j >= s.alike).alias("linked"), (1 - j).alias("far")))
 
-    sets = bind(shingles(F.col("la"), s.chars), lambda one: bind(shingles(F.col("lb"), s.chars), lambda other: judged(one, other)))
-    return both.select("a", "b", F.inline(F.array(sets)))
+def unlike_buckets(members: DataFrame) -> DataFrame:
+    """(node, key) without the buckets that hold the same nodes as another one.
+
+    Alike lines meet in most of their bands, and each further bucket of the same nodes has the same pairs. Buckets
+    are the same if their sizes and two sums over hashes of their nodes are.
+    """
+    mixed = [F.xxhash64(F.lit(i), "node").cast("decimal(20,0)") for i in range(2)]
+    sums = [F.sum(m).alias(f"sum{i}") for i, m in enumerate(mixed)]
+    buckets = members.groupBy("key").agg(F.count("*").alias("met"), *sums)
+    kept = buckets.groupBy("met", "sum0", "sum1").agg(F.min("key").alias("key")).select("key")
+    return members.join(kept, "key", "left_semi").select("node", "key")
 
 
 def removed(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -170,21 +183,25 @@ def removed(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     clash = Staged(clash.select("node", "least"), "clashes")
 
     def of_nodes(lines: DataFrame) -> DataFrame:
-        return lines.groupBy("node").agg(F.min_by("line", "check").alias("line"))
+        # dealt out first: most lines are there once, so nothing is saved by a sort and a grouping before that
+        return lines.repartition("node").groupBy("node").agg(F.min_by("line", "check").alias("line"))
 
     long_ones = named.filter(F.length("line") >= s.chars).select("node", "check", "line")
     sketches = Staged(bands(of_nodes(long_ones), s), "sketches")
     release(docs.sparkSession)
     # A node has a key once, so a key that is there twice has two nodes.
     band_rows = sketches.df.select("node", F.explode("bands").alias("key"))
-    shared = Staged(band_rows.groupBy("key").agg(F.count("*").alias("met")).filter("met > 1").select("key"), "shared")
+    met = band_rows.select("key").repartition("key").groupBy("key").agg(F.count("*").alias("met"))
+    shared = Staged(met.filter("met > 1").select("key"), "shared")
     release(docs.sparkSession)
-    members = Staged(possible_hits(band_rows, "key", shared.df, "key").join(shared.df, "key", "left_semi"), "bands")
+    every = Staged(possible_hits(band_rows, "key", shared.df, "key").join(shared.df, "key", "left_semi"), "bands")
     shared.drop()
     sketches.drop()
+    members = Staged(unlike_buckets(every.df), "bands")
+    every.drop()
     wanted = Staged(members.df.select("node").distinct(), "wanted")
     texts = of_nodes(possible_hits(long_ones, "node", wanted.df, "node")).join(wanted.df, "node", "left_semi")
-    texts = Staged(texts.withColumn("n", F.size(shingles(F.col("line"), s.chars))), "texts")
+    texts = Staged(texts.withColumn("n", F.size(F.array_distinct(shingles(F.col("line"), s.chars)))), "texts")
     release(docs.sparkSession)
     roots = connect(
         members.df.join(texts.df.select("node", "n"), "node"),

@@ -215,6 +215,25 @@ def test_lines_with_few_breaks_meet(spark):
     assert got(out, "n_removed") == [(0,)] * 20 + [(1,)] * 20
 
 
+def test_shingles_are_read_by_position_and_not_by_search(spark):
+    texts = ["short", "eightlet", "ninelette", "\U0001F600" * 9 + "\u6f22\u5b57", "abcdefgh" * 400, "x" * 5000]
+    lines = spark.createDataFrame(list(enumerate(texts)), "node long, line string")
+    each = line_dedup.each_shingle(lines, 8)
+    assert "regexp" not in each._jdf.queryExecution().executedPlan().toString()
+    rows = each.groupBy("node").agg(F.sort_array(F.collect_list("h")).alias("hs"))
+    arrays = lines.select("node", F.sort_array(line_dedup.shingles(F.col("line"), 8)).alias("hs"))
+    assert rows.exceptAll(arrays).count() == arrays.exceptAll(rows).count() == 0
+    want = [(i, max(1, len(t) - 7), len({t[k : k + 8] for k in range(max(1, len(t) - 7))})) for i, t in enumerate(texts)]
+    assert got(rows.select("node", F.size("hs").alias("n"), F.size(F.array_distinct("hs")).alias("d")), "node", "n", "d") == want
+
+
+def test_buckets_of_the_same_nodes_are_one(spark):
+    buckets = {10: [1, 2], 11: [2, 1], 12: [1, 2, 3], 13: [3, 2, 1], 14: [2, 3], 15: [1, 3]}
+    rows = [(node, key) for key, nodes in buckets.items() for node in nodes]
+    left = line_dedup.unlike_buckets(spark.createDataFrame(rows, "node long, key long"))
+    assert got(left, "key", "node") == [(10, 1), (10, 2), (12, 1), (12, 2), (12, 3), (14, 2), (14, 3), (15, 1), (15, 3)]
+
+
 # ---- 4: neighbours
 def test_tree_search_recall_and_odd_vectors(spark):
     rng = np.random.default_rng(5)
